@@ -107,7 +107,7 @@ def _best_rule_per_remark(df: DataFrame, rules: DataFrame, remark: str) -> DataF
     table = F.broadcast(rules.select(*Rule._fields))
     matches = F.when(
         F.col("is_regex"),
-        F.col(remark).rlike(F.concat(F.lit("(?i)"), F.col("raw_pattern"))),
+        F.rlike(remark, F.concat(F.lit("(?i)"), F.col("raw_pattern"))),
     ).otherwise(F.col(remark) == F.lower("raw_pattern"))
     rank = F.struct("priority", "raw_pattern", "category_code")
     return (
