@@ -8,9 +8,6 @@ from cashweave.functions.parsing import TOTAL
 from cashweave.operators.keyed import lookup_join
 from cashweave.operators.typed import typed_ledger
 
-# Bridge rows per account. As a decimal, products with amounts stay exact.
-_COUNT = "decimal(10,0)"
-
 
 def _named_bridge(bridge: DataFrame, va: str, sku: str, merchant: str) -> DataFrame:
     return bridge.where(F.col("va_number").isNotNull() & F.col("sku_id").isNotNull()).select(
@@ -59,14 +56,17 @@ def _per_product(sides: DataFrame) -> DataFrame:
     the other side and none of its rows on this side has an amount.
     """
 
+    def added(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0))
+
     def total(side: str, other: str) -> Column:
-        known = (F.sum(f"{side}_n_amounts") > 0) | (F.sum(f"{other}_n") > 0)
-        return F.when(known, F.sum(f"{side}_amount").cast(TOTAL))
+        known = (added(f"{side}_n_amounts") > 0) | (added(f"{other}_n") > 0)
+        return F.when(known, added(f"{side}_amount").cast(TOTAL))
 
     return (
         sides.groupBy("sku_id", "merchant_id")
         .agg(
-            (F.sum("out_n") + F.sum("in_n")).alias("n_rows"),
+            (added("out_n") + added("in_n")).alias("n_rows"),
             total("out", "in").alias("transfer_out_to_other_sku"),
             total("in", "out").alias("transfer_in_from_other_sku"),
         )
@@ -76,13 +76,13 @@ def _per_product(sides: DataFrame) -> DataFrame:
 
 
 def _one_side(rows: DataFrame, side: str) -> DataFrame:
-    """Name the measures after one side; the other side gets zeros."""
+    """Name the measures after one side; the other side has none."""
     other = "in" if side == "out" else "out"
     return rows.select(
         "sku_id",
         "merchant_id",
-        *[F.coalesce(F.col(m), F.lit(0)).alias(f"{side}_{m}") for m in _MEASURES],
-        *[F.lit(0).alias(f"{other}_{m}") for m in _MEASURES],
+        *[F.col(m).alias(f"{side}_{m}") for m in _MEASURES],
+        *[F.lit(None).alias(f"{other}_{m}") for m in _MEASURES],
     )
 
 
@@ -98,6 +98,12 @@ def transfers_agg(transfers: DataFrame) -> DataFrame:
     return _per_product(_one_side(sent, "out").unionByName(_one_side(got, "in")))
 
 
+def _times(measure: str, rows: str) -> Column:
+    """A measure once per bridge row. Amounts stay exact: the count is a decimal."""
+    count = F.col(rows)
+    return F.col(measure) * (count.cast("decimal(10,0)") if measure.endswith("amount") else count)
+
+
 def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     """Same result as ``transfers_agg`` of all transfer rows, without them.
 
@@ -119,10 +125,8 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
         )
     )
     mapped = _named_bridge(bridge, "va_number", "sku_id", "merchant_id")
-    same = mapped.groupBy("va_number", "sku_id").agg(
-        F.count(F.lit(1)).cast(_COUNT).alias("same_rows")
-    )
-    facing = same.groupBy("va_number").agg(F.sum("same_rows").cast(_COUNT).alias("all_rows"))
+    same = mapped.groupBy("va_number", "sku_id").agg(F.count(F.lit(1)).alias("same_rows"))
+    facing = same.groupBy("va_number").agg(F.sum("same_rows").alias("all_rows"))
     several = same.groupBy("sku_id").count().where("count > 1").select("sku_id")
     own_rows = mapped.join(same, ["va_number", "sku_id"])
     movable = mapped.join(several, "sku_id", "left_semi")
@@ -135,38 +139,26 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
             pairs.join(facing.withColumnRenamed("va_number", far), far)
             .groupBy(own)
             .agg(
-                *[F.sum(F.col(m) * F.col("all_rows")).cast(TOTAL).alias(m) for m in _MEASURES],
-                *[
-                    F.sum(F.when(is_self, F.col(m)).otherwise(0)).cast(TOTAL).alias(f"self_{m}")
-                    for m in _MEASURES
-                ],
+                *[F.sum(_times(m, "all_rows")).alias(m) for m in _MEASURES],
+                *[F.sum(F.when(is_self, F.col(m))).alias(f"self_{m}") for m in _MEASURES],
             )
         )
         base = own_rows.withColumnRenamed("va_number", own).join(toward, own)
         inside = pairs.join(movable.withColumnRenamed("va_number", own), own).join(
             same.withColumnRenamed("va_number", far), [far, "sku_id"]
         )
-        rows = base.select(
-            "sku_id",
-            "merchant_id",
+        key = ["sku_id", "merchant_id"]
+        leaving = base.select(
+            *key,
             *[
-                (F.col(m) - F.col(f"self_{m}") * F.col("same_rows")).cast(TOTAL).alias(m)
+                (F.col(m) - F.coalesce(_times(f"self_{m}", "same_rows"), F.lit(0))).alias(m)
                 for m in _MEASURES
             ],
-        ).unionByName(
-            inside.select(
-                "sku_id",
-                "merchant_id",
-                *[
-                    F.when(is_self, F.lit(0))
-                    .otherwise(-F.col(m) * F.col("same_rows"))
-                    .cast(TOTAL)
-                    .alias(m)
-                    for m in _MEASURES
-                ],
-            )
         )
-        return _one_side(rows, name)
+        staying = inside.select(
+            *key, *[F.when(~is_self, -_times(m, "same_rows")).alias(m) for m in _MEASURES]
+        )
+        return _one_side(leaving.unionByName(staying), name)
 
     sent = side("out", "sender_va", "receiver_va")
     got = side("in", "receiver_va", "sender_va")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -43,47 +44,47 @@ def presented(df: DataFrame) -> DataFrame:
 class Tables(Bound):
     """Core tables and marts over the bound feeds, built when asked for."""
 
-    @property
+    @cached_property
     def external(self) -> DataFrame:
         return typed.typed_external(self.external_accounts)
 
-    @property
+    @cached_property
     def expected(self) -> DataFrame:
         return typed.typed_expected(self.repmt_sku)
 
-    @property
+    @cached_property
     def sales(self) -> DataFrame:
         return typed.typed_sales(self.repmt_sales)
 
-    @property
+    @cached_property
     def txn(self) -> DataFrame:
         return ledger.va_txn(self.va_txn, SHIPPED_RULES, self.bridge)
 
-    @property
+    @cached_property
     def flows(self) -> DataFrame:
         return ledger.va_txn_flows(self.va_txn, SHIPPED_RULES, self.bridge)
 
-    @property
+    @cached_property
     def flow_totals(self) -> DataFrame:
         return ledger.flow_totals(self.va_txn, SHIPPED_RULES, self.bridge)
 
-    @property
+    @cached_property
     def pivot(self) -> DataFrame:
         return ledger.flows_pivot(self.flow_totals)
 
-    @property
+    @cached_property
     def transfer_rows(self) -> DataFrame:
         return transfers.inter_sku_transfers(self.va_txn, self.bridge)
 
-    @property
+    @cached_property
     def transfer_totals(self) -> DataFrame:
         return transfers.transfer_totals(self.va_txn, self.bridge)
 
-    @property
+    @cached_property
     def level1(self) -> DataFrame:
         return l1.level1(self.bridge, self.merchant, self.external, self.flow_totals, self.sales)
 
-    @property
+    @cached_property
     def level2a(self) -> DataFrame:
         return l2.level2a(
             self.pivot,
@@ -94,7 +95,7 @@ class Tables(Bound):
             self.merchant,
         )
 
-    @property
+    @cached_property
     def level2b(self) -> DataFrame:
         return l2.level2b(self.sku, self.merchant, self.sales, self.expected, self.pivot)
 
@@ -204,7 +205,7 @@ def _validated_mapping(t: Tables) -> DataFrame:
 def _known_merchants(t: Tables) -> DataFrame:
     """Merchants on file so far: suppliers of nation 15 and above."""
     return upserts.merchant_rows(
-        t._table("supplier").where("s_nationkey >= 15").select(F.col("s_name").alias("merchant_name"))
+        t.table("supplier").where("s_nationkey >= 15").select(F.col("s_name").alias("merchant_name"))
     )
 
 

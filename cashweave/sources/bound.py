@@ -11,14 +11,16 @@ with two, under two notes, without expectations.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cashweave.functions.names import merchant_key, merchant_norm
 from cashweave.operators.typed import REPAYMENT_MEASURES
 
+# Tables whose rows are turned into text and parsed again.
+_ROW_TABLES = ("lineitem",)
+
 # Parts per supplier in the generated tables.
 _PARTS_PER_MERCHANT = 20
 
@@ -46,33 +48,49 @@ REMARKS = [
 ]
 
 
-@dataclass(frozen=True)
 class Bound:
     """Text feeds and reference tables over one directory of parquet files."""
 
-    spark: SparkSession
-    directory: str
-
-    def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
-
-    @property
+    def __init__(self, spark: SparkSession, directory: str) -> None:
+        self.spark = spark
+        self.directory = directory
+        self._read: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        """A table, opened once."""
+        if name not in self._read:
+            self._read[name] = self._open(name)
+        return self._read[name]
+
+    def _open(self, name: str) -> DataFrame:
+        """A table with no fewer splits than there are cores.
+
+        Only a table smaller than one split per core has fewer; dealing out its
+        rows is cheap. Any larger table is read as it is split.
+        """
+        table = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if name in _ROW_TABLES and table.rdd.getNumPartitions() < cores:
+            return table.repartition(cores, "l_orderkey", "l_partkey")
+        return table
+
+    @cached_property
     def merchant(self) -> DataFrame:
         name = F.col("s_name")
-        return self._table("supplier").select(
+        return self.table("supplier").select(
             merchant_key(name).alias("merchant_id"),
             name.alias("merchant_name"),
             merchant_norm(name).alias("merchant_name_norm"),
         )
 
-    @property
+    @cached_property
     def sku(self) -> DataFrame:
-        return self._table("part").select(
+        return self.table("part").select(
             _sku(F.col("p_partkey")).alias("sku_id"),
             merchant_key(_merchant_name(F.col("p_partkey"))).alias("merchant_id"),
         )
 
-    @property
+    @cached_property
     def bridge_batch(self) -> DataFrame:
         """The mapping file: note, product, account."""
         part = F.col("p_partkey")
@@ -92,9 +110,9 @@ class Bound:
                 for wanted, note, account in (own, next_one, second_note)
             ]
         )
-        return self._table("part").select(F.inline(F.array_compact(kinds)))
+        return self.table("part").select(F.inline(F.array_compact(kinds)))
 
-    @property
+    @cached_property
     def bridge(self) -> DataFrame:
         part = F.substring_index("sku_id", "-", -1).cast("long")
         return self.bridge_batch.select(
@@ -106,12 +124,12 @@ class Bound:
             F.lit(None).cast("date").alias("valid_to"),
         )
 
-    @property
+    @cached_property
     def external_accounts(self) -> DataFrame:
         """Bank pulls: line items whose status is F."""
         padded = F.concat(F.lit(" "), _account(F.col("l_partkey")), F.lit(" "))
         return (
-            self._table("lineitem")
+            self.table("lineitem")
             .where("l_linestatus = 'F'")
             .select(
                 padded.alias("beneficiary_bank_account_number"),
@@ -121,12 +139,12 @@ class Bound:
             )
         )
 
-    @property
+    @cached_property
     def va_txn(self) -> DataFrame:
         """The ledger. Few senders, so outflows crowd on few products."""
         no_receiver = (F.col("l_tax") == 0) & (F.col("l_discount") == 0)
         turn = F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(len(REMARKS)))
-        return self._table("lineitem").select(
+        return self.table("lineitem").select(
             F.concat(F.lit("S-"), F.col("l_suppkey")).alias("sender_virtual_account_id"),
             _account(F.col("l_suppkey")).alias("sender_virtual_account_number"),
             F.lit("").alias("sender_note_id"),
@@ -146,7 +164,7 @@ class Bound:
             ),
         )
 
-    @property
+    @cached_property
     def repmt_sku(self) -> DataFrame:
         """Repayments by product: all but parts of size 13."""
         price, size = _amount("p_retailprice"), F.col("p_size").cast("string")
@@ -154,7 +172,7 @@ class Bound:
         texts = [price, size, F.concat(F.lit("RM "), size), F.lit(" - ")]
         measures = {m: texts[i % len(texts)] for i, m in enumerate(REPAYMENT_MEASURES)}
         return (
-            self._table("part")
+            self.table("part")
             .where("p_size != 13")
             .select(
                 _merchant_name(F.col("p_partkey")).alias("merchant"),
@@ -163,11 +181,11 @@ class Bound:
             )
         )
 
-    @property
+    @cached_property
     def repmt_sales(self) -> DataFrame:
         """Sales by product: line items that were returned."""
         return (
-            self._table("lineitem")
+            self.table("lineitem")
             .where("l_returnflag = 'R'")
             .select(
                 F.concat(_merchant_name(F.col("l_partkey")), F.lit(" ")).alias("merchant"),
@@ -178,7 +196,7 @@ class Bound:
             )
         )
 
-    @property
+    @cached_property
     def raw_tables(self) -> dict[str, DataFrame]:
         return {
             "external_accounts": self.external_accounts,

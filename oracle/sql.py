@@ -219,8 +219,9 @@ _TABLES = f"""
 def _level1(name: str, codes: str) -> str:
     return f"""
   {name}_received AS (
-    SELECT sku_id, va_number, sum(signed_amount) AS amount FROM flows
-    WHERE direction = 'inflow' AND category_code IN ({codes}) GROUP BY sku_id, va_number),
+    SELECT sku_id, va_number,
+      coalesce(sum(signed_amount) FILTER (category_code IN ({codes})), 0) AS amount FROM flows
+    WHERE direction = 'inflow' GROUP BY sku_id, va_number),
   {name} AS (
     SELECT u.sku_id, u.va_number AS account_number, u.merchant_name AS merchant,
       CASE WHEN u.va_sku_rank = 1 THEN coalesce(p.amount, 0) ELSE 0 END AS amount_pulled,
