@@ -1,0 +1,253 @@
+import random
+
+from pyspark.sql import Window, functions as F
+
+from cashweave.operators import ledger, transfers
+from cashweave.operators.categorise import SHIPPED_RULES
+from cashweave.operators.typed import typed_expected, typed_external, typed_sales
+from cashweave.plans import level1 as l1, level2 as l2, reports
+from small import D, bridge, expected, external, merchants, rows, sales
+from small import ledger as raw_ledger
+
+
+def _level1(spark, mapping, pulls=(), moves=(), sold=(), known=("m",)):
+    table = bridge(spark, *mapping)
+    flows = ledger.flow_totals(raw_ledger(spark, *moves), SHIPPED_RULES, table)
+    return l1.level1(
+        table,
+        merchants(spark, *known),
+        typed_external(external(spark, *pulls)),
+        flows,
+        typed_sales(sales(spark, *sold)),
+    )
+
+
+COLUMNS = ("sku_id", "account_number", "amount_pulled", "amount_received", "sales_proceeds")
+
+
+def test_shared_account(spark):
+    mart = _level1(
+        spark,
+        [(None, "A", "VA-1", "m"), (None, "B", "VA-1", "m")],
+        pulls=[(" VA-1 ", "100")],
+        moves=[(None, "VA-1", "100", "merchant-repayment")],
+    )
+    assert rows(mart, *COLUMNS) == [
+        ("A", "VA-1", D(100), D(100), D(0)),
+        ("B", "VA-1", D(0), D(100), D(0)),
+    ]
+    assert rows(mart, "variance_pulled_vs_received", "variance_received_vs_sales") == [
+        (D(-100), D(-100)),
+        (D(0), D(-100)),
+    ]
+
+
+def test_product_on_two_accounts(spark):
+    mart = _level1(
+        spark, [(None, "A", "VA-2", "m"), (None, "A", "VA-1", "m")], sold=[("M", " A ", "50")]
+    )
+    assert rows(mart, *COLUMNS) == [
+        ("A", "VA-1", D(0), D(0), D(50)),
+        ("A", "VA-2", D(0), D(0), D(0)),
+    ]
+
+
+def test_two_notes_keep_two_rows(spark):
+    mart = _level1(
+        spark,
+        [("N1", "A", "VA-1", "m"), ("N2", "A", "VA-1", "m")],
+        pulls=[("VA-1", "5")],
+        moves=[(None, "VA-1", "3", "merchant-repayment")],
+        sold=[("M", "A", "9")],
+    )
+    assert rows(mart, *COLUMNS) == [
+        ("A", "VA-1", D(0), D(6), D(0)),
+        ("A", "VA-1", D(5), D(6), D(9)),
+    ]
+
+
+def test_unknown_merchants_drop_out_before_ranking(spark):
+    mart = _level1(
+        spark,
+        [(None, "A", "VA-1", "gone"), (None, "B", "VA-1", "m")],
+        pulls=[("VA-1", "5")],
+    )
+    assert rows(mart, *COLUMNS) == [("B", "VA-1", D(5), D(0), D(0))]
+
+
+def test_first_rows_are_those_of_row_number(spark):
+    dice = random.Random(3)
+    mapping = {
+        (dice.choice([None, "N1", "N2"]), dice.choice(["A", "B", None]), dice.choice(["V1", "V2", "V3", None]), "m")
+        for _ in range(30)
+    }
+    universe = l1.universe(bridge(spark, *mapping), merchants(spark, "m"))
+    for group, other in (("sku_id", "va_number"), ("va_number", "sku_id")):
+        window = Window.partitionBy(group).orderBy(F.asc_nulls_last(other), F.asc_nulls_first("note_id"))
+        ranked = universe.withColumn("rank", F.row_number().over(window)).where("rank = 1")
+        keys = ("sku_id", "va_number", "note_id")
+        assert rows(l1.first_rows(universe, group), *keys) == rows(ranked, *keys)
+
+
+def test_missing_keys_do_not_lose_rows(spark):
+    mart = _level1(
+        spark, [(None, "A", None, "m"), (None, None, "VA-1", "m")], pulls=[("VA-1", "5")], sold=[("M", "A", "9")]
+    )
+    assert rows(mart, *COLUMNS) == [
+        (None, "VA-1", D(5), D(0), D(0)),
+        ("A", None, D(0), D(0), D(9)),
+    ]
+
+
+def test_export_headings(spark):
+    export = l1.level1_export(_level1(spark, [(None, "A", "VA-1", "m")], pulls=[("VA-1", "5")]))
+    assert export.columns == [
+        "SKU ID", "Account Number", "Merchant", "Amount Pulled", "Amount Received",
+        "Variance Pulled vs Received", "Sales Proceeds", "Variance Received vs Sales",
+    ]
+    assert export.first()["Variance Pulled vs Received"] == 5
+
+
+def _level2(spark, mapping, moves=(), plan=(), sold=(), skus=(("A", "m"), ("B", "m")), known=("m", "n")):
+    table = bridge(spark, *mapping)
+    raw = raw_ledger(spark, *moves)
+    pivot = ledger.flows_pivot(ledger.flow_totals(raw, SHIPPED_RULES, table))
+    sku = spark.createDataFrame(list(skus), "sku_id string, merchant_id string")
+    exp, sal = typed_expected(expected(spark, *plan)), typed_sales(sales(spark, *sold))
+    moved = transfers.transfer_totals(raw, table)
+    people = merchants(spark, *known)
+    return (
+        l2.level2a(pivot, exp, sku, sal, moved, people),
+        l2.level2b(sku, people, sal, exp, pivot),
+    )
+
+
+def test_products_on_one_side_keep_nulls(spark):
+    mart, _ = _level2(
+        spark,
+        [(None, "A", "VA-1", "m")],
+        moves=[("VA-1", None, "4", "management fee")],
+        plan=[{"merchant": "M", "sku_id": "B", "acquirer_fees_expected": "9"}, {"sku_id": "unknown", "acquirer_fees_expected": "1"}],
+        sold=[("M", "B", "7")],
+    )
+    assert len(mart.columns) == 58
+    picked = (
+        "SKU ID", "Management Fee Paid", "Management Fee Expected", "Management Fee Outstanding",
+        "Variance", "Other", "Sales Proceeds", "Mgmt Fee Settled?", "Mgmt Fee Paid > Expected?",
+    )
+    assert rows(mart, *picked) == [
+        ("A", D(4), None, None, D(-4), D(0), D(0), "No", "No"),
+        ("B", None, D(9), None, None, None, D(7), "No", "No"),
+    ]
+
+
+def test_waterfall_figures_and_flags(spark):
+    mart, _ = _level2(
+        spark,
+        [(None, "A", "VA-1", "m"), (None, "B", "VA-2", "m")],
+        moves=[
+            (None, "VA-1", "100", "merchant-repayment"),
+            ("VA-1", None, "5", "acquirer-fee"),
+            ("VA-1", None, "20", "sr principal"),
+            ("VA-1", "VA-2", "30", "loan"),
+            ("VA-2", "VA-1", "1", "loan"),
+        ],
+        plan=[{"sku_id": "A", "acquirer_fees_expected": "4", "sr_principal_expected": "20"}],
+        sold=[("M", "A", "90")],
+    )
+    row = mart.where("`SKU ID` = 'A'").first()
+    wanted = {
+        "Merchant": "Merchant m",
+        "Amount Received": 100,
+        "Amount Distributed Down the Repayment Waterfall": 25,
+        "Fund Transferred to Other SKU": 30,
+        "Fund Transferred from Other SKU": 1,
+        "Variance": 100 + 1 - 25 - 30,
+        "Other": 10,
+        "Mgmt Fee Paid > Expected?": "Yes",
+        "Mgmt Fee Settled?": "Yes",
+        "Sr Principal Paid > Expected?": "No",
+        "Sr Principal Settled?": "Yes",
+        "Senior Principal Outstanding": 0,
+        "Management Fee Outstanding": -1,
+        "SPAR Outstanding": 0,
+    }
+    assert {k: row[k] for k in wanted} == wanted
+
+
+def test_merchants_without_id_never_meet(spark):
+    """A NULL merchant on the paid side does not match, so two rows remain."""
+    mart, _ = _level2(
+        spark,
+        [(None, "A", "VA-1", None)],
+        moves=[("VA-1", None, "4", "spar")],
+        plan=[{"sku_id": "A", "spar_merchant": "4"}],
+    )
+    assert rows(mart, "SKU ID", "Merchant", "SPAR Paid", "SPAR Expected") == [
+        ("A", None, D(4), None),
+        ("A", "Merchant m", None, D(4)),
+    ]
+
+
+def test_reported_against_ledger(spark):
+    _, mart = _level2(
+        spark,
+        [(None, "A", "VA-1", "m")],
+        moves=[
+            (None, "VA-1", "100", "merchant-repayment"),
+            ("VA-1", None, "10.05", "sr interest"),
+            ("VA-1", None, "2", "jr interest"),
+        ],
+        plan=[{"sku_id": "A", "sr_interest_paid": "11", "additional_interests_paid_to_fh": "1"}],
+        sold=[("M", "A", "120")],
+    )
+    assert len(mart.columns) == 42
+    row = mart.where("`SKU ID` = 'A'").first()
+    wanted = {
+        "Total Fund Inflow": D(100),
+        "Total Fund Inflow Variance": D(20),
+        "Senior Interest Paid Variance": D("0.95"),
+        "FH Platform Fee": D("1.205"),
+        "FH Platform Fee Variance": D("-0.205"),
+        "Total Fund Inflow (UI)": D(120),
+        "Adminstrative Fee Paid": D(0),
+    }
+    assert {k: row[k] for k in wanted} == wanted
+    other = mart.where("`SKU ID` = 'B'").first()
+    assert (other["Total Fund Inflow"], other["FH Platform Fee"]) == (0, 0)
+
+
+def test_two_merchants_of_one_product_fan_out(spark):
+    _, mart = _level2(
+        spark,
+        [(None, "A", "VA-1", "m"), (None, "A", "VA-2", "n")],
+        moves=[("VA-1", None, "1", "spar"), ("VA-2", None, "2", "spar")],
+    )
+    assert rows(mart.where("`SKU ID` = 'A'"), "Merchant", "SPAR") == [
+        ("Merchant m", D(1)),
+        ("Merchant m", D(2)),
+    ]
+
+
+def test_fee_keeps_all_decimals(spark):
+    _, mart = _level2(
+        spark, [(None, "A", "VA-1", "m")], moves=[("VA-1", None, "0.000123", "sr interest")]
+    )
+    assert mart.where("`SKU ID` = 'A'").first()["FH Platform Fee"] == D("0.0000123")
+
+
+def test_reports(spark):
+    mart = _level1(
+        spark,
+        [(None, s, f"VA-{s}", "m") for s in "ABCD"],
+        sold=[("M", "A", "1"), ("M", "B", "9"), ("M", "C", "5")],
+    )
+    assert [r["sku_id"] for r in reports.level1_top_variance(mart, 2).collect()] == ["B", "C"]
+    assert [r["sku_id"] for r in reports.in_report_order(mart).collect()] == list("ABCD")
+    assert reports.level1_rows_for(mart, "B").count() == 1
+    assert reports.level1_rows_for(mart, "B", "VA-C").count() == 0
+    assert reports.level1_count(mart).first()[0] == 4
+    assert reports.merchant_rollup(mart).first()["total_sales"] == 15
+    assert reports.level1_count_if_defined(spark, "not_there") is None
+    pulls = typed_external(external(spark, ("V1", "5"), ("V2", "x"), ("V3", "7")))
+    assert [r["va_number"] for r in reports.top_pulled(pulls, 2).collect()] == ["V2", "V3"]
