@@ -178,8 +178,9 @@ def marts(store: Store) -> dict[str, DataFrame]:
 
 
 def write_marts(store: Store) -> None:
+    views = marts(store)
     for name in ("level1", "level2a", "level2b"):
-        store.write(marts(store)[name], "mart", name)
+        store.write(views[name], "mart", name)
 
 
 # The names analysts query the tables and views under.
@@ -216,8 +217,9 @@ def publish_views(store: Store) -> list[str]:
         df = core_flows(store) if table == "va_txn_flows" else store.read(layer, table)
         df.createOrReplaceTempView(name)
         names.append(name)
+    views = marts(store)
     for mart, name in PUBLISHED_VIEWS.items():
-        marts(store)[mart].createOrReplaceTempView(name)
+        views[mart].createOrReplaceTempView(name)
         names.append(name)
     return names
 
@@ -225,10 +227,9 @@ def publish_views(store: Store) -> list[str]:
 def save_marts(store: Store, database: str = "mart") -> None:
     """Save the marts as catalog tables, so that ``mart.v_level1`` can be queried."""
     store.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    views = marts(store)
     for name in ("level1", "level1_export", "level2a", "level2b"):
-        marts(store)[name].write.mode("overwrite").saveAsTable(
-            f"{database}.{PUBLISHED_VIEWS[name]}"
-        )
+        views[name].write.mode("overwrite").saveAsTable(f"{database}.{PUBLISHED_VIEWS[name]}")
 
 
 def suite(

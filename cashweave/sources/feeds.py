@@ -175,9 +175,7 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataF
         )
     except AnalysisException:
         return spark.createDataFrame([], "path string, name string")
-    return found.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name")
-    )
+    return found.select("path", F.substring_index("path", "/", -1).alias("name"))
 
 
 def file_exists(spark: SparkSession, path: str) -> bool:
@@ -323,12 +321,17 @@ def canonicalise(df: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header; missing and empty cells are both written as nothing."""
+    """CSV with a header; missing and empty cells are both written as nothing.
+
+    Blanks around a value stay: trimming is up to the typed tables.
+    """
     (
         df.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
