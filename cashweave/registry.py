@@ -304,7 +304,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "level2a": lambda t: t.level2a,
     "level2a_preview": lambda t: reports.level2a_preview(t.level2a),
     "level2b": lambda t: t.level2b,
-    "drilldown": lambda t: reports.drilldown(t.level1, t.sales, t.level2a, "SKU-1%"),
+    "drilldown": lambda t: reports.drilldown(t.level1, t.sales, t.level2a, "SKU-%"),
     # Reference data
     "insert_ignore": _insert_ignore,
     "upsert": _upsert,

@@ -583,7 +583,7 @@ _RESULTS = {
       {_cents('a."Fund Transferred to Other SKU"', "Fund Transferred to Other SKU")},
       {_cents('a."Fund Transferred from Other SKU"', "Fund Transferred from Other SKU")}
       FROM level1 l LEFT JOIN sold s ON s.sku_id = l.sku_id
-      LEFT JOIN level2a a ON a."SKU ID" = l.sku_id WHERE l.sku_id LIKE 'SKU-1%'""",
+      LEFT JOIN level2a a ON a."SKU ID" = l.sku_id WHERE l.sku_id LIKE 'SKU-%'""",
     "insert_ignore": """SELECT coalesce(s.sku_id, e.sku_id) AS sku_id,
       CASE WHEN s.sku_id IS NULL THEN 'expected' ELSE 'sales' END AS origin
       FROM (SELECT DISTINCT sku_id FROM sales) s

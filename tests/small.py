@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
 from cashweave.sources.feeds import EXTERNAL_ACCOUNTS, REPMT_SALES, REPMT_SKU, VA_TXN
 
 BRIDGE = "note_id string, sku_id string, va_number string, merchant_id string"
@@ -13,9 +17,16 @@ def D(text):
     return None if text is None else Decimal(text)
 
 
+def local(spark, entries, ddl):
+    """A frame the planner knows to be tiny."""
+    schema = StructType.fromDDL(ddl)
+    dicts = [dict(zip(schema.names, e)) for e in entries]
+    return spark.createDataFrame(pa.Table.from_pylist(dicts, to_arrow_schema(schema)), schema)
+
+
 def _frame(spark, columns, rows):
     schema = ", ".join(f"{c} string" for c in columns)
-    return spark.createDataFrame([tuple(r.get(c) for c in columns) for r in rows], schema)
+    return local(spark, [tuple(r.get(c) for c in columns) for r in rows], schema)
 
 
 def ledger(spark, *rows):
@@ -57,13 +68,12 @@ def expected(spark, *rows):
 
 def bridge(spark, *rows):
     """Rows (note, sku, account, merchant id)."""
-    return spark.createDataFrame(list(rows), BRIDGE)
+    return local(spark, rows, BRIDGE)
 
 
 def merchants(spark, *ids):
-    return spark.createDataFrame(
-        [(i, f"Merchant {i}") for i in ids], "merchant_id string, merchant_name string"
-    )
+    named = [(i, f"Merchant {i}") for i in ids]
+    return local(spark, named, "merchant_id string, merchant_name string")
 
 
 def rows(df, *columns):
