@@ -185,6 +185,11 @@ def mapping_report(bridge: DataFrame, external: DataFrame) -> DataFrame:
     return exists_in(bridge, external, "va_number")
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any few rows."""
+    return df.limit(n)
+
+
 def level1_count(mart: DataFrame) -> DataFrame:
     return mart.agg(F.count(F.lit(1)).alias("level1_rows"))
 

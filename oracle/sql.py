@@ -168,13 +168,13 @@ _TABLES = f"""
           THEN signed_amount ELSE 0 END) AS amount_received,
       {_paid_columns()}
     FROM flows GROUP BY sku_id, merchant_id),
-  transfers AS (
+  sent AS MATERIALIZED (
     SELECT l.sender_va, l.receiver_va, l.amount, l.day,
-      s.sku_id AS from_sku_id, s.merchant_id AS from_merchant_id,
-      r.sku_id AS to_sku_id, r.merchant_id AS to_merchant_id
-    FROM ledger l
-    JOIN bridge s ON s.va_number = l.sender_va
-    JOIN bridge r ON r.va_number = l.receiver_va AND r.sku_id <> s.sku_id),
+      s.sku_id AS from_sku_id, s.merchant_id AS from_merchant_id
+    FROM ledger l JOIN bridge s ON s.va_number = l.sender_va),
+  transfers AS (
+    SELECT s.*, r.sku_id AS to_sku_id, r.merchant_id AS to_merchant_id
+    FROM sent s JOIN bridge r ON r.va_number = s.receiver_va AND r.sku_id <> s.from_sku_id),
   moved AS (
     SELECT sku_id, merchant_id, sum(out_amount) AS moved_out, sum(in_amount) AS moved_in
     FROM (
