@@ -45,57 +45,59 @@ def inter_sku_transfers(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-# Per side of a transfer: rows, rows with an amount, and the amounts added up.
+# Per movement or pair of accounts: rows, rows with an amount, the amounts.
 _MEASURES = ("n", "n_amounts", "amount")
 
 
-def _per_product(sides: DataFrame) -> DataFrame:
-    """Add up both sides per product and merchant.
+def _both_ends(moves: DataFrame, sender: dict[str, str], receiver: dict[str, str]) -> DataFrame:
+    """Each row once per end: ``out`` tells the sending end from the receiving."""
+    ends = F.array(
+        *[
+            F.struct(F.lit(out).alias("out"), *[F.col(c).alias(n) for n, c in names.items()])
+            for out, names in ((True, sender), (False, receiver))
+        ]
+    )
+    return moves.select(*_MEASURES, F.inline(ends))
+
+
+def _per_product(ends: DataFrame) -> DataFrame:
+    """Add up both ends per product and merchant.
 
     A side is NULL only where a plain sum would be: the product has no rows on
     the other side and none of its rows on this side has an amount.
     """
 
-    def added(column: str) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0))
+    def added(measure: str, out: bool) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("out") == out, F.col(measure))), F.lit(0))
 
-    def total(side: str, other: str) -> Column:
-        known = (added(f"{side}_n_amounts") > 0) | (added(f"{other}_n") > 0)
-        return F.when(known, added(f"{side}_amount").cast(TOTAL))
+    def total(out: bool) -> Column:
+        known = (added("n_amounts", out) > 0) | (added("n", not out) > 0)
+        return F.when(known, added("amount", out).cast(TOTAL))
 
     return (
-        sides.groupBy("sku_id", "merchant_id")
+        ends.groupBy("sku_id", "merchant_id")
         .agg(
-            (added("out_n") + added("in_n")).alias("n_rows"),
-            total("out", "in").alias("transfer_out_to_other_sku"),
-            total("in", "out").alias("transfer_in_from_other_sku"),
+            F.sum("n").alias("n_rows"),
+            total(True).alias("transfer_out_to_other_sku"),
+            total(False).alias("transfer_in_from_other_sku"),
         )
         .where("n_rows > 0")
         .drop("n_rows")
     )
 
 
-def _one_side(rows: DataFrame, side: str) -> DataFrame:
-    """Name the measures after one side; the other side has none."""
-    other = "in" if side == "out" else "out"
-    return rows.select(
-        "sku_id",
-        "merchant_id",
-        *[F.col(m).alias(f"{side}_{m}") for m in _MEASURES],
-        *[F.lit(None).alias(f"{other}_{m}") for m in _MEASURES],
-    )
-
-
 def transfers_agg(transfers: DataFrame) -> DataFrame:
     """Transfers out and in per product and merchant, from transfer rows."""
     measured = transfers.withColumns(
         {"n": F.lit(1), "n_amounts": F.col("amount").isNotNull().cast("int")}
     )
-    sent = measured.withColumnsRenamed(
-        {"from_sku_id": "sku_id", "from_merchant_id": "merchant_id"}
+    return _per_product(
+        _both_ends(
+            measured,
+            {"sku_id": "from_sku_id", "merchant_id": "from_merchant_id"},
+            {"sku_id": "to_sku_id", "merchant_id": "to_merchant_id"},
+        )
     )
-    got = measured.withColumnsRenamed({"to_sku_id": "sku_id", "to_merchant_id": "merchant_id"})
-    return _per_product(_one_side(sent, "out").unionByName(_one_side(got, "in")))
 
 
 def _times(measure: str, rows: str) -> Column:
@@ -124,45 +126,46 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
             F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
         )
     )
+    directed = _both_ends(
+        pairs,
+        {"own": "sender_va", "far": "receiver_va"},
+        {"own": "receiver_va", "far": "sender_va"},
+    )
     mapped = _named_bridge(bridge, "va_number", "sku_id", "merchant_id")
     same = mapped.groupBy("va_number", "sku_id").agg(F.count(F.lit(1)).alias("same_rows"))
-    facing = same.groupBy("va_number").agg(F.sum("same_rows").alias("all_rows"))
+    facing = same.groupBy(F.col("va_number").alias("far")).agg(
+        F.sum("same_rows").alias("all_rows")
+    )
     several = same.groupBy("sku_id").count().where("count > 1").select("sku_id")
-    own_rows = mapped.join(same, ["va_number", "sku_id"])
-    movable = mapped.join(several, "sku_id", "left_semi")
-
-    def side(name: str, own: str, far: str) -> DataFrame:
-        # Conditions on the pair stay inside the sums: as filters they would
-        # reach the scan and make each use of ``pairs`` read the ledger again.
-        is_self = F.col(own) == F.col(far)
-        toward = (
-            pairs.join(facing.withColumnRenamed("va_number", far), far)
-            .groupBy(own)
-            .agg(
-                *[F.sum(_times(m, "all_rows")).alias(m) for m in _MEASURES],
-                *[F.sum(F.when(is_self, F.col(m))).alias(f"self_{m}") for m in _MEASURES],
-            )
-        )
-        base = own_rows.withColumnRenamed("va_number", own).join(toward, own)
-        inside = pairs.join(movable.withColumnRenamed("va_number", own), own).join(
-            same.withColumnRenamed("va_number", far), [far, "sku_id"]
-        )
-        key = ["sku_id", "merchant_id"]
-        leaving = base.select(
-            *key,
-            *[
-                (F.col(m) - F.coalesce(_times(f"self_{m}", "same_rows"), F.lit(0))).alias(m)
-                for m in _MEASURES
-            ],
-        )
-        staying = inside.select(
-            *key, *[F.when(~is_self, -_times(m, "same_rows")).alias(m) for m in _MEASURES]
+    own_rows = mapped.join(same, ["va_number", "sku_id"]).withColumnRenamed("va_number", "own")
+    movable = mapped.join(several, "sku_id", "left_semi").withColumnRenamed("va_number", "own")
+
+    # Conditions on the pair stay inside the sums: as filters they would reach
+    # the scan and make each use of ``pairs`` read the ledger again.
+    is_self = F.col("own") == F.col("far")
+    toward = (
+        directed.join(facing, "far")
+        .groupBy("own", "out")
+        .agg(
+            *[F.sum(_times(m, "all_rows")).alias(m) for m in _MEASURES],
+            *[F.sum(F.when(is_self, F.col(m))).alias(f"self_{m}") for m in _MEASURES],
         )
-        return _one_side(leaving.unionByName(staying), name)
-
-    sent = side("out", "sender_va", "receiver_va")
-    got = side("in", "receiver_va", "sender_va")
-    return _per_product(sent.unionByName(got))
+    )
+    inside = directed.join(movable, "own").join(
+        same.withColumnRenamed("va_number", "far"), ["far", "sku_id"]
+    )
+    key = ["sku_id", "merchant_id", "out"]
+    leaving = own_rows.join(toward, "own").select(
+        *key,
+        *[
+            (F.col(m) - F.coalesce(_times(f"self_{m}", "same_rows"), F.lit(0))).alias(m)
+            for m in _MEASURES
+        ],
+    )
+    staying = inside.select(
+        *key, *[F.when(~is_self, -_times(m, "same_rows")).alias(m) for m in _MEASURES]
+    )
+    return _per_product(leaving.unionByName(staying))
 
 
 def latest_transfers(transfers: DataFrame, n: int = 50) -> DataFrame:

@@ -39,14 +39,19 @@ def _text(template: str, *columns: Column) -> Column:
     return F.concat(*pieces)
 
 
-def _side_by_side(values: dict[str, DataFrame]) -> DataFrame:
-    """One row from one-column, one-row frames."""
-    tagged = [
-        df.select(F.lit(name).alias("name"), F.col(f"`{df.columns[0]}`").alias("value"))
-        for name, df in values.items()
-    ]
-    return reduce(DataFrame.unionByName, tagged).agg(
-        *[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in values]
+def _side_by_side(*frames: DataFrame) -> DataFrame:
+    """One row with the columns of all frames, which have one row each."""
+
+    def values(df: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in df.columns]
+        return df.select(F.inline(F.array(*pairs)))
+
+    return reduce(DataFrame.unionByName, [values(df) for df in frames]).agg(
+        *[
+            F.max(F.when(F.col("name") == name, F.col("value"))).alias(name)
+            for df in frames
+            for name in df.columns
+        ]
     )
 
 
@@ -59,8 +64,8 @@ def sku_column(mart: DataFrame) -> str:
     return "sku_id" if "sku_id" in mart.columns else "SKU ID"
 
 
-def _distinct_skus(df: DataFrame) -> DataFrame:
-    return df.agg(F.count_distinct(F.col(f"`{sku_column(df)}`")).alias("n"))
+def _distinct_skus(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count_distinct(F.col(f"`{sku_column(df)}`")).alias(name))
 
 
 def check_headers(spark: SparkSession, headers: dict[str, tuple[list[str], list[str]]]) -> DataFrame:
@@ -73,7 +78,7 @@ def check_headers(spark: SparkSession, headers: dict[str, tuple[list[str], list[
 def check_raw_data(tables: dict[str, DataFrame]) -> DataFrame:
     """There is at least one row in any raw table."""
     facts = _side_by_side(
-        {name: df.agg(F.count(F.lit(1)).alias("n")) for name, df in tables.items()}
+        *[df.agg(F.count(F.lit(1)).alias(name)) for name, df in tables.items()]
     )
     total = reduce(lambda a, b: a + b, [F.col(name) for name in tables])
     return _result(facts, "raw_data", FAIL, total > 0, _text("{} raw rows", total))
@@ -81,7 +86,7 @@ def check_raw_data(tables: dict[str, DataFrame]) -> DataFrame:
 
 def check_coverage(sales: DataFrame, bridge: DataFrame, severity: str = WARN) -> DataFrame:
     """As many mapped products as products in sales. Counts, not sets."""
-    facts = _side_by_side({"expected": _distinct_skus(sales), "mapped": _distinct_skus(bridge)})
+    facts = _side_by_side(_distinct_skus(sales, "expected"), _distinct_skus(bridge, "mapped"))
     expected, mapped = F.col("expected"), F.col("mapped")
     return _result(
         facts,
@@ -102,12 +107,10 @@ def check_row_counts(
 ) -> DataFrame:
     """Every mart has as many products as sales has."""
     facts = _side_by_side(
-        {
-            "raw": _distinct_skus(sales),
-            "level1": _distinct_skus(level1),
-            "level2a": _distinct_skus(level2a),
-            "level2b": _distinct_skus(level2b),
-        }
+        _distinct_skus(sales, "raw"),
+        _distinct_skus(level1, "level1"),
+        _distinct_skus(level2a, "level2a"),
+        _distinct_skus(level2b, "level2b"),
     )
     same = reduce(
         lambda a, b: a & b, [F.col(m) == F.col("raw") for m in ("level1", "level2a", "level2b")]
@@ -138,20 +141,21 @@ def check_totals(
     mapped = bridge.groupBy("va_number").agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("times"))
     pulls = external.groupBy("va_number").agg(F.sum("buy_amount").alias("amount"))
     receipt = (F.col("category_code").isin(*RECEIVED_CODES)) & (F.col("direction") == "inflow")
-    per_sku = level1.groupBy("sku_id").agg(F.max("sales_proceeds").alias("sold"))
+    # The mart once for all three of its totals.
+    per_sku = level1.groupBy("sku_id").agg(
+        F.sum("amount_pulled").alias("pulled"),
+        F.sum("amount_received").alias("received"),
+        F.max("sales_proceeds").alias("sales"),
+    )
 
-    def total(df: DataFrame, column: Column) -> DataFrame:
-        return df.agg(F.coalesce(F.sum(column), F.lit(0)).cast("decimal(38,6)").alias("v"))
+    def total(column: Column, name: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0)).cast("decimal(38,6)").alias(name)
 
     facts = _side_by_side(
-        {
-            "mart_pulled": total(level1, F.col("amount_pulled")),
-            "raw_pulled": total(pulls.join(mapped, "va_number"), F.col("amount") * F.col("times")),
-            "mart_received": total(level1, F.col("amount_received")),
-            "raw_received": total(flows.where(receipt), F.col("signed_amount")),
-            "mart_sales": total(per_sku, F.col("sold")),
-            "raw_sales": total(sales, F.col("sales_proceeds")),
-        }
+        per_sku.agg(*[total(F.col(m), f"mart_{m}") for m in ("pulled", "received", "sales")]),
+        pulls.join(mapped, "va_number").agg(total(F.col("amount") * F.col("times"), "raw_pulled")),
+        flows.agg(total(F.when(receipt, F.col("signed_amount")), "raw_received")),
+        sales.agg(total(F.col("sales_proceeds"), "raw_sales")),
     )
     measures = ("pulled", "received", "sales")
     close = [
