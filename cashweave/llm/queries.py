@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from cashweave.llm import substrings
+from cashweave.llm import sharding, substrings, urls
 
 QUERIES = {
+    "op3_url_filters": urls.op3_url_filters,
+    "op6_sharding": sharding.op6_sharding,
     "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 
 ORACLES = {
+    "op3_url_filters": urls.OP3_SQL,
     "op10_substring_dedup": substrings.OP10_SQL,
 }
