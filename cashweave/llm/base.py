@@ -65,7 +65,7 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(column: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts of about `most` bytes.
 
     Bounds the memory of the vectorised steps; a longer text is a slice of its own.

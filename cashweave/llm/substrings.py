@@ -2,7 +2,7 @@
 
 Every window of `window` consecutive words gets a Rabin-Karp hash. Windows travel
 packed: one row for a bucket of hashes and a batch of texts, with hashes, document
-ids and places as byte planes, about nine bytes a window. Within a batch, a window
+ids and places as byte planes, about eight bytes a window. Within a batch, a window
 that several documents of the batch have sends on only the smallest of them (and
 decides the rest on the spot), so that a passage which stands in a third of all
 documents arrives as one entry for each batch. A bucket's task finds the smallest
@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from cashweave.llm.base import planes, slices, table, unnamed, unplanes
 from cashweave.llm.tokens import spans, window_hashes, word_hashes
 
-BATCH_WINDOWS = 1 << 21
-BUCKET_WINDOWS = 1 << 23
+BATCH_WINDOWS = 1 << 20
+BUCKET_WINDOWS = 1 << 22
 HASH_BYTES = 7
 _PACKED = "bucket int, hashes binary, docs binary, twins binary, places binary"
 _MARKS = "bucket int, docs binary, twins binary, places binary"
@@ -49,6 +49,21 @@ def _undelta(z: np.ndarray) -> np.ndarray:
     return np.cumsum(d)
 
 
+def _steps(places: np.ndarray, docs: np.ndarray, twins: np.ndarray) -> np.ndarray:
+    """Each place less the one before in the same text; rising places give small numbers."""
+    d = np.diff(places.astype(np.int64), prepend=np.int64(0))
+    new = _runs(docs, twins)
+    d[new] = places[new]
+    return d
+
+
+def _unsteps(steps: np.ndarray, docs: np.ndarray, twins: np.ndarray) -> np.ndarray:
+    total = np.cumsum(steps.astype(np.uint32).view(np.int32).astype(np.int64))
+    new = _runs(docs, twins)
+    before = np.where(new > 0, total[new - 1], 0)
+    return total - np.repeat(before, np.diff(np.append(new, len(steps))))
+
+
 def _runs(*keys: np.ndarray) -> np.ndarray:
     """Where a new combination of the (sorted) keys begins."""
     new = np.ones(len(keys[0]), bool)
@@ -74,25 +89,25 @@ def _decided(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return smallest, order
 
 
-def _rows(bucket: np.ndarray, buckets: int, columns: dict[str, tuple[np.ndarray, int, bool]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """One packed row for each bucket that has entries; columns: values, width, as differences."""
+def _rows(bucket: np.ndarray, buckets: int, schema: pa.Schema, docs: np.ndarray, twins: np.ndarray, places: np.ndarray, hashes: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """One packed row for each bucket that has entries."""
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     full = np.flatnonzero(np.diff(edges))
     out: dict[str, list] = {name: [] for name in schema.names}
     for b in full:
         take = order[edges[b] : edges[b + 1]]
+        doc, twin = docs[take], twins[take]
         out["bucket"].append(int(b))
-        for name, (values, width, differ) in columns.items():
-            out[name].append(planes(_delta(values[take]) if differ else values[take], width))
+        out["docs"].append(planes(_delta(doc), 8))
+        out["twins"].append(planes(_delta(twin), 4))
+        out["places"].append(planes(_steps(places[take], doc, twin), 4))
+        if hashes is not None:
+            out["hashes"].append(planes(hashes[take], HASH_BYTES))
     if len(full):
         yield pa.RecordBatch.from_pydict(out, schema=schema)
 
 
-def _entry_columns(docs, twins, places):
-    return {"docs": (docs, 8, True), "twins": (twins, 4, True), "places": (places, 4, True)}
-
-
 _MARK_SCHEMA = pa.schema([("bucket", pa.int32()), ("docs", pa.binary()), ("twins", pa.binary()), ("places", pa.binary())])
 _PACKED_SCHEMA = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("twins", pa.binary()), ("places", pa.binary())])
 
@@ -109,19 +124,19 @@ def _window_packer(window: int, bits: int, doc_buckets: int):
             smallest, _ = _decided(hashes, docs)
             gone = ~smallest
             if gone.any():
-                for row in _rows(_doc_bucket(docs[gone], doc_buckets), doc_buckets, _entry_columns(docs[gone], twins[gone], places[gone]), _MARK_SCHEMA):
+                for row in _rows(_doc_bucket(docs[gone], doc_buckets), doc_buckets, _MARK_SCHEMA, docs[gone], twins[gone], places[gone]):
                     yield pa.RecordBatch.from_arrays([pa.array(-1 - row.column(0).to_numpy(), pa.int32()), pa.array([b""] * row.num_rows, pa.binary()), *row.columns[1:]], schema=_PACKED_SCHEMA)
             hashes, docs, twins, places = hashes[smallest], docs[smallest], twins[smallest], places[smallest]
             top = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-            yield from _rows(top, 1 << bits, {"hashes": (hashes, HASH_BYTES, False)} | _entry_columns(docs, twins, places), _PACKED_SCHEMA)
+            yield from _rows(top, 1 << bits, _PACKED_SCHEMA, docs, twins, places, hashes)
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            twin = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            twin = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int32)
             for lo, _, data, at in slices(batch.column(2)):
                 starts, ends, first = spans(data, at)
                 hashes, text, places = window_hashes(word_hashes(data, starts, ends), first, window)
-                held.append((hashes, ids[lo:][text], twin[lo:][text], places))
+                held.append((hashes, ids[lo:][text], twin[lo:][text], places.astype(np.int32)))
                 size += len(hashes)
                 if size >= BATCH_WINDOWS:
                     yield from flush()
@@ -133,8 +148,11 @@ def _window_packer(window: int, bits: int, doc_buckets: int):
 
 
 def _unpack(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [[_undelta(unplanes(raw, width)) for raw in rows.column(name).to_pylist()] for name, width in (("docs", 8), ("twins", 4), ("places", 4))]
-    docs, twins, places = (np.concatenate(p) for p in parts)
+    parts = []
+    for doc, twin, step in zip(*(rows.column(c).to_pylist() for c in ("docs", "twins", "places")), strict=True):
+        docs, twins = _undelta(unplanes(doc, 8)), _undelta(unplanes(twin, 4)).astype(np.int32)
+        parts.append((docs, twins, _unsteps(unplanes(step, 4), docs, twins).astype(np.int32)))
+    docs, twins, places = (np.concatenate(p) for p in zip(*parts, strict=True))
     return docs, twins, places
 
 
@@ -150,7 +168,7 @@ def _judge(doc_buckets: int):
         docs, twins, places = docs[~smallest], twins[~smallest], places[~smallest]
         order = np.lexsort((places, docs))
         docs, twins, places = docs[order], twins[order], places[order]
-        packed = list(_rows(_doc_bucket(docs, doc_buckets), doc_buckets, _entry_columns(docs, twins, places), _MARK_SCHEMA))
+        packed = list(_rows(_doc_bucket(docs, doc_buckets), doc_buckets, _MARK_SCHEMA, docs, twins, places))
         return pa.Table.from_batches(packed, schema=_MARK_SCHEMA)
 
     return judge
