@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from cashweave.llm.base import slices, table, unnamed
 
 MARK = "▁"
-MEMORY = 120_000
+MEMORY = 200_000
 SCAN = 24
+_NEVER = float("-inf")
 #: Kinds of pieces in model files.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _ENCODED = "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string"
@@ -129,6 +130,8 @@ class Pieces:
         self.names = [p.piece for p in model.pieces]
         self.kinds = [p.type or NORMAL for p in model.pieces]
         self.ids = {p.piece: (i, p.score) for i, p in enumerate(model.pieces) if self.kinds[i] in (NORMAL, USER, UNUSED)}
+        self.scores = {n: score for n, (_, score) in self.ids.items()}
+        self.raw = [self._raw(n, k) for n, k in zip(self.names, self.kinds, strict=True)]
         self.unknown = self.kinds.index(UNKNOWN)
         self.end = self.names.index("</s>")
         self.bytes = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(self.names, self.kinds, strict=True)) if k == BYTE}
@@ -141,6 +144,15 @@ class Pieces:
         self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if apart else re.compile("(?s).+")
         self.known = _Memory(self._chunk, memory)
 
+    @staticmethod
+    def _raw(name: str, kind: int) -> bytes:
+        """What a piece decodes to, as bytes."""
+        if kind == BYTE:
+            return bytes([int(name[3:5], 16)])
+        if kind == CONTROL:
+            return b""
+        return " ⁇ ".encode() if kind == UNKNOWN else name.replace(MARK, " ").encode()
+
     def normalise(self, text: bytes) -> tuple[bytes, np.ndarray]:
         """(normalised text with space marks, place in the original of every byte and the end)."""
         out, place = self.map.replace(text)
@@ -165,17 +177,17 @@ class Pieces:
         return out, place
 
     def _merge(self, text: str) -> list[str]:
-        symbols, ids = list(text), self.ids
+        symbols, ids, score_of = list(text), self.ids, self.scores.get
         if len(symbols) <= SCAN:
-            while len(symbols) > 1:
-                best, at = None, -1
-                for i in range(len(symbols) - 1):
-                    hit = ids.get(symbols[i] + symbols[i + 1])
-                    if hit is not None and (best is None or hit[1] > best):
-                        best, at = hit[1], i
-                if at < 0:
-                    break
-                symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+            scores = [score_of(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+            while scores and (best := max(scores)) != _NEVER:
+                i = scores.index(best)
+                symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+                del scores[i]
+                if i < len(scores):
+                    scores[i] = score_of(symbols[i] + symbols[i + 1], _NEVER)
+                if i:
+                    scores[i - 1] = score_of(symbols[i - 1] + symbols[i], _NEVER)
             return symbols
         # Long chunks: the same order from a heap over linked symbols.
         left, right = list(range(-1, len(symbols) - 1)), list(range(1, len(symbols) + 1))
@@ -223,16 +235,7 @@ class Pieces:
 
     def _text(self, ids) -> str:
         """Pieces as text, the space marks as spaces and all of them kept."""
-        out: list[bytes] = []
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
-                out.append(bytes([int(self.names[i][3:5], 16)]))
-            elif kind == UNKNOWN:
-                out.append(" ⁇ ".encode())
-            elif kind != CONTROL:
-                out.append(self.names[i].replace(MARK, " ").encode())
-        return _replaced(b"".join(out))
+        return _replaced(b"".join([self.raw[i] for i in ids]))
 
     def decode(self, ids) -> str:
         text = self._text(ids)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from cashweave.llm import sharding, simhash, substrings, urls
+from cashweave.llm import pieces, sharding, simhash, substrings, urls
 
 QUERIES = {
     "op3_url_filters": urls.op3_url_filters,
     "op5_simhash": simhash.op5_simhash,
     "op6_sharding": sharding.op6_sharding,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 
