@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cashweave.llm import pieces, sharding, simhash, substrings, urls
+from cashweave.llm import pieces, quality, sharding, simhash, substrings, urls
 
 QUERIES = {
     "op3_url_filters": urls.op3_url_filters,
+    "op4_quality_rules": quality.op4_quality_rules,
     "op5_simhash": simhash.op5_simhash,
     "op6_sharding": sharding.op6_sharding,
     "op9_sentencepiece": pieces.op9_sentencepiece,
