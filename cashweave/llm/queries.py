@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cashweave.llm import pieces, quality, sharding, simhash, substrings, urls
+from cashweave.llm import pieces, quality, sharding, simhash, substrings, toxicity, urls
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_url_filters": urls.op3_url_filters,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_simhash": simhash.op5_simhash,
