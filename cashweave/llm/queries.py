@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cashweave.llm import pieces, quality, sharding, simhash, substrings, toxicity, urls
+from cashweave.llm import language, pieces, quality, sharding, simhash, substrings, toxicity, urls
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_simhash": simhash.op5_simhash,
     "op6_sharding": sharding.op6_sharding,
+    "op8_language_id": language.op8_language_id,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": substrings.op10_substring_dedup,
 }
