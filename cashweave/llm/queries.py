@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cashweave.llm import language, pieces, quality, sharding, simhash, substrings, toxicity, urls
+from cashweave.llm import brown, language, pieces, quality, sharding, simhash, substrings, toxicity, urls
 
 QUERIES = {
+    "op1_brown_lm": brown.op1_brown_lm,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_url_filters": urls.op3_url_filters,
     "op4_quality_rules": quality.op4_quality_rules,
