@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cashweave.llm import brown, language, pieces, quality, sharding, simhash, substrings, toxicity, urls
+from cashweave.llm import brown, decontaminate, language, pieces, quality, sharding, simhash, substrings, toxicity, urls
 
 QUERIES = {
     "op1_brown_lm": brown.op1_brown_lm,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_simhash": simhash.op5_simhash,
     "op6_sharding": sharding.op6_sharding,
+    "op7_decontamination": decontaminate.op7_decontamination,
     "op8_language_id": language.op8_language_id,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": substrings.op10_substring_dedup,
