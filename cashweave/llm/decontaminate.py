@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages are windows of words. A word is a cell of a hashed vocabulary (lower-cased
-A-Z) with its inverse document frequency over all passages of the corpus. The latent
+Passages are windows of words. A word is a cell of a hashed vocabulary (in lower
+case) with its inverse document frequency over all passages of the corpus. The latent
 space comes from a distributed randomised SVD of the TF-IDF passages of the benchmark:
 tasks multiply their passages with a random matrix made from the cells' hashes, the
 driver sees two small sums (its rank squared, and rank by benchmark cells). Every
@@ -258,8 +258,8 @@ def _verdict(batch, lo, key, value, data, at, first, items) -> list[tuple]:
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """(doc_id, item_id, cosine, in_order, answer) of every text that has an item of the benchmark."""
     schema = "doc_id long, item_id long, cosine double, in_order double, answer boolean"
-    source = unnamed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    listed = unnamed(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("long")).where("text is not null").distinct()
+    source = unnamed(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
+    listed = unnamed(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("long")).withColumn("text", F.lower("text")).where("text is not null").distinct()
     idf = weights(source)
     count = listed.count()
     blocks = max(1, -(-count // BLOCK_ITEMS))
