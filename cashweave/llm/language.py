@@ -154,7 +154,7 @@ def identify(docs: DataFrame, languages: Languages, keep: tuple[str, ...] = ())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
-                        *batch.columns[2:],
+                        *(batch.column(c) for c in keep),
                         pa.array([names[c] if k else UNDETERMINED for c, k in zip(chosen, known, strict=True)], pa.string()),
                         pa.array(np.where(known, np.minimum(best, 1.0), 0.0)),
                         pa.array(sets, pa.list_(pa.string())),
@@ -163,7 +163,7 @@ def identify(docs: DataFrame, languages: Languages, keep: tuple[str, ...] = ())
                     names=["doc_id", *keep, "lang_pred", "score", "languages", "shares"],
                 )
 
-    source = unnamed(docs, "doc_id", "text", *keep).withColumn("doc_id", F.col("doc_id").cast("long"))
+    source = unnamed(docs, *dict.fromkeys(["doc_id", "text", *keep])).withColumn("doc_id", F.col("doc_id").cast("long"))
     extra = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields if f.name in keep]
     return source.mapInArrow(batches_of, ", ".join(["doc_id long", *extra, "lang_pred string, score double, languages array<string>, shares array<double>"]))
 
