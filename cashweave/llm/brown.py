@@ -238,6 +238,14 @@ def cluster(blocks: DataFrame, rounds: int = ROUNDS, bits: int = 6) -> tuple[Dat
     return current, answers
 
 
+def _sums(values: np.ndarray, begins: np.ndarray, full: np.ndarray) -> np.ndarray:
+    """Sums over texts; each is added up by itself, so that long blocks cost no digits."""
+    out = np.zeros(len(full), values.dtype)
+    if full.any():
+        out[full] = np.add.reduceat(values, begins[full])
+    return out
+
+
 def _scorer(matrix: np.ndarray, tokens_in: np.ndarray, types_in: np.ndarray):
     """Scores of all texts of blocks. tokens_in, types_in: by class, the end being a class of its own."""
     total = tokens_in.sum()
@@ -262,10 +270,9 @@ def _scorer(matrix: np.ndarray, tokens_in: np.ndarray, types_in: np.ndarray):
             logs = np.where(seen, log_step[prior, word] + np.log10(counts + ADDED) - log_room[word], log_unseen[prior])
             plain = np.log10(counts + ADDED)
             edges = np.concatenate([[0], np.cumsum(b.lengths)])
-            sums = [np.concatenate([[0], np.cumsum(v)]) for v in (logs, plain, counts > 0)]
-            s, p, known = (v[edges[1:]] - v[edges[:-1]] for v in sums)
-            last = np.full(len(b.lengths), _EDGE)
             full = b.lengths > 0
+            s, p, known = (_sums(v, edges[:-1], full) for v in (logs, plain, (counts > 0).astype(np.int64)))
+            last = np.full(len(b.lengths), _EDGE)
             last[full] = np.where(own[edges[1:][full] - 1] == UNKNOWN, _WIDTH, own[edges[1:][full] - 1])
             n = b.lengths + 1
             ends = tokens_in[_EDGE]
