@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from cashweave.llm.base import slices, table, unnamed
 
 MARK = "▁"
-MEMORY = 200_000
+MEMORY = 400_000
 SCAN = 24
 _NEVER = float("-inf")
 #: Kinds of pieces in model files.
@@ -132,6 +132,7 @@ class Pieces:
         self.ids = {p.piece: (i, p.score) for i, p in enumerate(model.pieces) if self.kinds[i] in (NORMAL, USER, UNUSED)}
         self.scores = {n: score for n, (_, score) in self.ids.items()}
         self.raw = [self._raw(n, k) for n, k in zip(self.names, self.kinds, strict=True)]
+        self.cells = {n: (i.to_bytes(4, "little"), len(n.encode()).to_bytes(2, "little"), self.raw[i]) for n, (i, _) in self.ids.items()}
         self.unknown = self.kinds.index(UNKNOWN)
         self.end = self.names.index("</s>")
         self.bytes = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(self.names, self.kinds, strict=True)) if k == BYTE}
@@ -215,23 +216,24 @@ class Pieces:
 
     def _chunk(self, chunk: str) -> tuple[bytes, bytes, str]:
         """(ids, bytes of each piece in the normalised text, decoded) of one chunk."""
-        ids, widths = [], []
-        parts = self.user.split(chunk) if self.user else [chunk]
-        for k, part in enumerate(parts):
-            for piece in [part] if k % 2 else self._merge(part):
-                if not piece:
-                    continue
-                raw, hit = piece.encode(), self.ids.get(piece)
-                if hit is not None:
-                    ids.append(hit[0])
-                    widths.append(len(raw))
-                elif self.bytes:  # spans of the bytes of one character end where it ends
-                    ids += [self.bytes[b] for b in raw]
-                    widths += [0] * (len(raw) - 1) + [len(raw)]
-                else:
-                    ids.append(self.unknown)
-                    widths.append(len(raw))
-        return np.array(ids, "<i4").tobytes(), np.array(widths, "<u2").tobytes(), self._text(ids)
+        of = self.cells.get
+        if self.user is None:
+            symbols = self._merge(chunk)
+        else:
+            symbols = [p for k, part in enumerate(self.user.split(chunk)) for p in ([part] if k % 2 else self._merge(part)) if p]
+        cells = [of(p) or self._other(p) for p in symbols]
+        if len(cells) == 1:
+            ids, widths, raw = cells[0]
+        else:
+            ids, widths, raw = map(b"".join, zip(*cells, strict=True))
+        return ids, widths, _replaced(raw)
+
+    def _other(self, symbol: str) -> tuple[bytes, bytes, bytes]:
+        """A character that is no piece: its bytes, whose spans end where the character ends."""
+        raw = symbol.encode()
+        if not self.bytes:
+            return self.unknown.to_bytes(4, "little"), len(raw).to_bytes(2, "little"), self.raw[self.unknown]
+        return b"".join(self.bytes[b].to_bytes(4, "little") for b in raw), bytes(2 * len(raw) - 2) + len(raw).to_bytes(2, "little"), raw
 
     def _text(self, ids) -> str:
         """Pieces as text, the space marks as spaces and all of them kept."""
@@ -246,10 +248,11 @@ class Pieces:
         out, place = self.normalise(text.encode())
         known = self.known
         done = [known[c] for c in self.chunks.findall(out.decode())]
-        ids = np.frombuffer(b"".join([d[0] for d in done]), "<i4")
-        ends = np.cumsum(np.frombuffer(b"".join([d[1] for d in done]), "<u2"), dtype=np.int64)
+        id_bytes, widths, texts = zip(*done, strict=True) if done else ((), (), ())
+        ids = np.frombuffer(b"".join(id_bytes), "<i4")
+        ends = np.cumsum(np.frombuffer(b"".join(widths), "<u2"), dtype=np.int64)
         begins = np.concatenate([[0], ends])[: len(ends)]
-        decoded = "".join([d[2] for d in done])
+        decoded = "".join(texts)
         if (self.prefix or self.trim) and decoded[:1] == " ":
             decoded = decoded[1:]
         last = len(text.encode()) if len(ids) else 0
