@@ -1,14 +1,14 @@
 """Sharding: bytes, tokens and rows are balanced together by vector bin packing.
 
-Rows with equal texts form a group and stay together. A group that is large beside
-a shard (over 1/64 of one, by bytes, tokens or rows) is cut into pieces below that
-size by row. All other groups are gathered into parcels by a hash of the text. There
-are so many parcels (4096 and the pieces) whatever the size of the table, and so the
-placement fits the driver: largest first, each goes to the shard where the dot
-product of its vector and the shard's residual capacity is highest.
+Rows with equal texts form a group and stay together. Only a group that is large
+beside a shard (over a quarter of one, by bytes, tokens or rows) is cut into pieces
+below that size, by row. All other groups are gathered into parcels by a hash of the
+text. There are so many parcels (4096 and the pieces) whatever the size of the table,
+and so the placement fits the driver: largest first, each goes to the shard where the
+dot product of its vector and the shard's residual capacity is highest.
 
-A row's slot within its shard is the parcel's offset there plus the row's rank in
-its parcel, so no task ever sorts a whole shard.
+A row's slot within its shard is the offset there of its part of a parcel plus the
+row's rank in that part, so no task ever sorts a whole shard.
 
 Defined cases: a null text counts as an empty one; null and repeated ids are rows
 like any other; an empty table gives an empty result; other columns are not read.
@@ -24,7 +24,8 @@ from pyspark.sql.window import Window
 from cashweave.llm.base import staged, table, unnamed
 
 PARCELS = 4096
-PIECES_IN_SHARD = 64
+PIECES_IN_SHARD = 4
+PARTS_OF_PIECE = 16
 ROW_BYTES = 16
 _GROUP = ["text_hash", "text_crc32", "size"]
 _MEASURES = ["bytes", "tokens", "rows"]
@@ -72,25 +73,27 @@ def shard(docs: DataFrame, shards: int, parcels: int = PARCELS) -> DataFrame:
     total = measured.agg(*sums).first()
     limits = [max(1.0, (total[m] or 0) / (shards * PIECES_IN_SHARD)) for m in _MEASURES]
     pieces = F.ceil(F.greatest(*[F.col(m) / limit for m, limit in zip(_MEASURES, limits, strict=True)]))
-    # At most 64 * shards groups for each measure can be over its limit.
+    # Few groups can be over a limit: PIECES_IN_SHARD * shards for each measure at most.
     large = measured.groupBy(*_GROUP).agg(*sums).withColumn("pieces", pieces).where("pieces > 1").select(*_GROUP, "pieces")
-    parcel = F.when(
-        F.col("pieces").isNotNull(),
-        F.concat_ws("-", F.hex("text_hash"), F.hex("text_crc32"), F.pmod(F.xxhash64("row"), F.col("pieces"))),
-    ).otherwise(F.pmod(F.col("text_hash"), F.lit(parcels)).cast("string"))
-    dealt = measured.join(F.broadcast(large), _GROUP, "left").select("doc_id", "size", "text_crc32", "tokens", "row", parcel.alias("parcel"))
-    loads = dealt.groupBy("parcel").agg(*sums).orderBy("parcel").collect()
-    vectors = np.array([[r[m] for m in _MEASURES] for r in loads], float).reshape(-1, 3)
-    at = place(vectors, shards)
+    is_large, row = F.col("pieces").isNotNull(), F.xxhash64("row")
+    parcel = F.when(is_large, F.concat_ws("-", F.hex("text_hash"), F.hex("text_crc32"), F.pmod(row, F.col("pieces")))).otherwise(F.pmod(F.col("text_hash"), F.lit(parcels)).cast("string"))
+    part = F.when(is_large, F.pmod(F.shiftright(row, 32), F.lit(PARTS_OF_PIECE))).otherwise(F.lit(0)).cast("int")
+    dealt = measured.join(F.broadcast(large), _GROUP, "left").select("doc_id", "size", "text_crc32", "tokens", "row", parcel.alias("parcel"), part.alias("part"))
+    parts = dealt.groupBy("parcel", "part").agg(*sums).orderBy("parcel", "part").collect()
+    loads: dict[str, np.ndarray] = {}
+    for r in parts:
+        loads[r["parcel"]] = loads.get(r["parcel"], 0) + np.array([r[m] for m in _MEASURES], float)
+    at = dict(zip(loads, place(np.array(list(loads.values())).reshape(-1, 3), shards).tolist(), strict=True))
     offsets, filled = [], np.zeros(shards, np.int64)
-    for r, s in zip(loads, at.tolist(), strict=True):
-        offsets.append((r["parcel"], s, int(filled[s])))
+    for r in parts:
+        s = at[r["parcel"]]
+        offsets.append((r["parcel"], r["part"], s, int(filled[s])))
         filled[s] += r["rows"]
-    placed = spark.createDataFrame(offsets, "parcel string, shard int, offset long")
-    rank = F.row_number().over(Window.partitionBy("parcel").orderBy("doc_id", "row")) - 1
+    placed = spark.createDataFrame(offsets, "parcel string, part int, shard int, offset long")
+    rank = F.row_number().over(Window.partitionBy("parcel", "part").orderBy("doc_id", "row")) - 1
     return (
         dealt.withColumn("rank", rank)
-        .join(F.broadcast(placed), "parcel")
+        .join(F.broadcast(placed), ["parcel", "part"])
         .select("doc_id", "size", "text_crc32", "tokens", "shard", (F.col("offset") + F.col("rank")).alias("slot"))
     )
 

