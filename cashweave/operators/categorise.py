@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cashweave.operators.keyed import lookup_join
 
-# Above this many rules a CASE expression gets too long for generated code.
+# Up to so many rules one expression is the faster form; the answer is the same.
 CASE_RULES = 300
 
-# Rules are written by people. A larger table is taken for a wrong input.
-MAX_RULES = 50_000
+# Rules in one expression of the longer form.
+CHUNK_RULES = 100
 
 UNCATEGORISED = "uncategorized"
 
@@ -71,24 +71,25 @@ def rules_in_order(rules: DataFrame) -> DataFrame:
     return rules.orderBy("priority", "raw_pattern", "category_code")
 
 
+def _rank(rule: Rule) -> tuple:
+    """Ties on priority are settled by pattern, then code."""
+    return rule.priority, rule.raw_pattern, rule.category_code
+
+
 def _listed(rules: Rules) -> list[Rule]:
     if isinstance(rules, DataFrame):
-        rows = rules.select(*Rule._fields).limit(MAX_RULES + 1).collect()
-        if len(rows) > MAX_RULES:
-            raise ValueError(f"more than {MAX_RULES} remark rules")
-        rules = [Rule(*row) for row in rows]
-    # Ties on priority are settled by pattern, then code.
-    return sorted(rules, key=lambda r: (r.priority, r.raw_pattern, r.category_code))
+        rules = [Rule(*row) for row in rules.select(*Rule._fields).toLocalIterator()]
+    return sorted(rules, key=_rank)
 
 
 def _applies(remark: Column, rule: Rule) -> Column:
     pattern = rule.raw_pattern
     if not rule.is_regex:
         return remark == pattern.lower()
-    if not _REGEX_SIGNS.search(pattern):
+    if pattern.isascii() and not _REGEX_SIGNS.search(pattern):
         # Plain text needs no regex engine; remarks are lower case already.
         return remark.contains(pattern.lower())
-    return remark.rlike(f"(?i){pattern}")
+    return remark.rlike(f"(?iu){pattern}")
 
 
 def _case(remark: Column, rules: list[Rule], default: str | None) -> Column:
@@ -101,21 +102,47 @@ def _case(remark: Column, rules: list[Rule], default: str | None) -> Column:
     return chain.otherwise(found)
 
 
-def _best_rule_per_remark(df: DataFrame, rules: DataFrame, remark: str) -> DataFrame:
-    """Distinct remarks against all rules, the best rule kept per remark."""
-    # The bar is the number of rules, which _listed has checked.
-    table = F.broadcast(rules.select(*Rule._fields))
-    matches = F.when(
-        F.col("is_regex"),
-        F.rlike(remark, F.concat(F.lit("(?i)"), F.col("raw_pattern"))),
-    ).otherwise(F.col(remark) == F.lower("raw_pattern"))
+def _first_regex(remark: Column, rules: list[Rule]) -> Column:
+    """The best regex rule as (priority, pattern, code); rules are in order.
+
+    Constant patterns, compiled once; chunks keep the expressions short.
+    """
+    empty = F.lit(None).cast(_FOUND)
+    chunks = []
+    for start in range(0, len(rules), CHUNK_RULES):
+        chain = None
+        for rule in rules[start : start + CHUNK_RULES]:
+            hit = F.struct(
+                F.lit(rule.priority).alias("priority"),
+                F.lit(rule.raw_pattern).alias("raw_pattern"),
+                F.lit(rule.category_code).alias("category_code"),
+            )
+            applies = _applies(remark, rule)
+            chain = F.when(applies, hit) if chain is None else chain.when(applies, hit)
+        chunks.append(chain.otherwise(empty))
+    return F.coalesce(*chunks) if chunks else empty
+
+
+_FOUND = "struct<priority:int,raw_pattern:string,category_code:string>"
+
+
+def _best_rule_per_remark(df: DataFrame, rules: Rules, remark: str) -> DataFrame:
+    """Distinct remarks and the best rule of each: exact ones by join, regex ones by expression."""
+    spark = df.sparkSession
+    if isinstance(rules, DataFrame):
+        table = rules.select(*Rule._fields)
+        regex = _listed(table.where("is_regex"))
+        exact = table.where(~F.coalesce("is_regex", F.lit(False)))
+    else:
+        listed = _listed(rules)
+        regex = [r for r in listed if r.is_regex]
+        exact = rules_frame(spark, [r for r in listed if not r.is_regex])
     rank = F.struct("priority", "raw_pattern", "category_code")
-    return (
-        df.select(remark)
-        .distinct()
-        .join(table, matches, "inner")
-        .groupBy(remark)
-        .agg(F.min_by("category_code", rank).alias("category_code"))
+    exact = exact.groupBy(F.lower("raw_pattern").alias(remark)).agg(F.min(rank).alias("__exact"))
+    found = df.select(remark).distinct().join(exact, remark, "left")
+    best = F.least(F.col("__exact").cast(_FOUND), _first_regex(F.col(remark), regex))
+    return found.select(remark, best["category_code"].alias("category_code")).where(
+        F.col("category_code").isNotNull()
     )
 
 
@@ -130,17 +157,19 @@ def categorise(
 
     ``case`` compiles the rules into one expression: no join and no shuffle.
     ``join`` looks up each distinct remark once and joins the answer back, for
-    rule tables too long for that. ``auto`` goes by the number of rules.
+    rule tables too long for that: exact rules meet remarks in an equi-join,
+    regex rules are expressions. Both give the same answer for any rules;
+    ``auto`` goes by their number.
     """
-    listed = _listed(rules)
     if strategy == "auto":
-        strategy = "case" if len(listed) <= CASE_RULES else "join"
+        rules = rules if isinstance(rules, DataFrame) else list(rules)
+        number = rules.limit(CASE_RULES + 1).count() if isinstance(rules, DataFrame) else len(rules)
+        strategy = "case" if number <= CASE_RULES else "join"
     if strategy == "case":
-        return df.withColumn("category_code", _case(F.col(remark), listed, default))
+        return df.withColumn("category_code", _case(F.col(remark), _listed(rules), default))
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
-    table = rules_frame(df.sparkSession, listed)
-    found = lookup_join(df, _best_rule_per_remark(df, table, remark), remark, "left")
+    found = lookup_join(df, _best_rule_per_remark(df, rules, remark), remark, "left")
     if default is not None:
         found = found.withColumn(
             "category_code", F.coalesce("category_code", F.lit(default))

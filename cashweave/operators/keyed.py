@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# A side is broadcast only when a count shows it has at most this many rows
-# (narrow key tables: about 100 bytes a row).
+# A side is broadcast only when measured to have at most so many rows and bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
-# A key is hot when it holds more than 1/HOT_PARTS of all rows. There can be no
-# more than HOT_PARTS such keys, whatever the size of the data.
-HOT_PARTS = 256
+# A key is hot when it has more rows than a task should get, and is split into
+# parts of that size. The number of such keys is at most the number of tasks of
+# that size which all rows would fill.
+ROWS_PER_TASK = 2_000_000
+
+
+# Rows without a key are dealt out over so many parts.
+_SPREAD = 1024
 
 
 def null_safe_join(
@@ -29,22 +34,32 @@ def null_safe_join(
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count up to the bound (an action) and tell whether it is kept."""
-    return df.limit(rows + 1).count() <= rows
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, roughly: texts by their length, anything else eight."""
+    text = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    fixed = F.lit(8 * (len(df.columns) - len(text)))
+    return reduce(
+        lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in text], fixed
+    )
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Measure up to the bound (an action) and tell whether rows and bytes keep it."""
+    seen = df.limit(rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_width(df).cast("long")).alias("width")
+    ).first()
+    return seen["n"] <= rows and (seen["width"] or 0) <= most
 
 
-def hot_keys(df: DataFrame, key: str, parts: int = HOT_PARTS) -> DataFrame:
-    """Keys with more than 1/parts of the rows, and how often to split each.
+def hot_keys(df: DataFrame, key: str, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more rows than a task should get, and into how many parts to split each.
 
-    The counts are pre-aggregated per input split; at most ``parts`` rows come
-    out, so the result may always be broadcast.
+    The counts are pre-aggregated per input split.
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    total = counts.agg(F.sum("count").alias("total"))
-    return counts.select(
-        key, F.floor(F.col("count") * parts / total.scalar()).alias("copies")
-    ).where("copies >= 1")
+    return counts.where(F.col("count") > per_task).select(
+        key, F.ceil(F.col("count") / per_task).alias("copies")
+    )
 
 
 def salted_join(
@@ -52,7 +67,7 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str,
-    parts: int = HOT_PARTS,
+    per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Equi-join on one key that splits the hot keys of the left side.
 
@@ -63,8 +78,10 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
-    hot = F.broadcast(hot_keys(left, key, parts))
-    copies = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(
+    hot = hot_keys(left, key, per_task)
+    if fits_broadcast(hot):
+        hot = F.broadcast(hot)
+    copies = F.when(F.col(key).isNull(), F.lit(_SPREAD)).otherwise(
         F.coalesce(F.col("copies"), F.lit(1))
     )
     dealt = left.join(hot, key, "left").withColumn(
@@ -87,15 +104,16 @@ def lookup_join(
     key: str,
     how: str = "inner",
     rows: int = BROADCAST_ROWS,
+    per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Row-level join of a very large side to a key table.
 
-    Without a shuffle while the key table is provably small, else with its hot
-    keys split.
+    Without a shuffle while the key table is measured to be small, else with its
+    hot keys split.
     """
     if fits_broadcast(right, rows):
         return left.join(F.broadcast(right), key, how)
-    return salted_join(left, right, key, how)
+    return salted_join(left, right, key, how, per_task)
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -185,6 +185,24 @@ def flow_summary(flows: DataFrame) -> DataFrame:
     )
 
 
+def txn_counts(raw: DataFrame, rules: Rules, bridge: DataFrame) -> DataFrame:
+    """Rows of ``va_txn`` per category, without making them.
+
+    The ledger is counted per receiver and category first; a count is then
+    worth as many rows as the receiver has in the bridge, and one if none.
+    """
+    rows = categorise(typed_ledger(raw, trim_remarks=False), rules)
+    counts = rows.groupBy("receiver_va", "category_code").agg(F.count(F.lit(1)).alias("n"))
+    times = _bridge_keys(bridge).groupBy(F.col("va_number").alias("receiver_va")).agg(
+        F.count(F.lit(1)).alias("times")
+    )
+    worth = F.col("n") * F.coalesce("times", F.lit(1))
+    return counts.join(times, "receiver_va", "left").groupBy("category_code").agg(
+        F.sum(worth).alias("n")
+    )
+
+
 def category_breakdown(txn: DataFrame) -> DataFrame:
     """Transactions per category, the uncategorised ones under NULL."""
-    return txn.groupBy("category_code").agg(F.count(F.lit(1)).alias("n"))
+    n = F.sum("n") if "n" in txn.columns else F.count(F.lit(1))
+    return txn.groupBy("category_code").agg(n.alias("n"))

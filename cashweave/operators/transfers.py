@@ -106,6 +106,31 @@ def _times(measure: str, rows: str) -> Column:
     return F.col(measure) * (count.cast("decimal(10,0)") if measure.endswith("amount") else count)
 
 
+def _inside(directed: DataFrame, movable: DataFrame, same: DataFrame) -> DataFrame:
+    """Pairs of accounts whose both ends belong to one product with several accounts.
+
+    Two orders of joining: an account's products with its counterparties, or its
+    products with their other accounts. Which makes fewer rows is counted for
+    each account beforehand, and each account takes the cheaper one.
+    """
+    far = same.withColumnRenamed("va_number", "far")
+    accounts = same.groupBy("sku_id").agg(F.count(F.lit(1)).alias("accounts"))
+    products = movable.join(accounts, "sku_id").groupBy("own").agg(
+        F.count(F.lit(1)).alias("products"), F.sum("accounts").alias("by_product")
+    )
+    partners = directed.groupBy("own").agg(F.count(F.lit(1)).alias("partners"))
+    way = products.join(partners, "own").select(
+        "own", (F.col("products") * F.col("partners") <= F.col("by_product")).alias("by_partner")
+    )
+    chosen = movable.join(way, "own")
+    first = directed.join(chosen.where("by_partner").drop("by_partner"), "own").join(
+        far, ["far", "sku_id"]
+    )
+    reach = chosen.where("not by_partner").drop("by_partner").join(far, "sku_id")
+    second = directed.join(reach, ["own", "far"])
+    return first.unionByName(second.select(*first.columns))
+
+
 def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     """Same result as ``transfers_agg`` of all transfer rows, without them.
 
@@ -114,7 +139,8 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     its total is the one of its account (``toward``: each pair times the bridge
     rows facing it) less the part that stays within the product: on the account
     itself, or on other accounts of the same product (``inside``). No product
-    of one account is ever paired with the products of the other.
+    of one account is ever paired with the products of the other, nor each
+    product with each counterparty where that is more than it need be.
     """
     pairs = (
         typed_ledger(raw)
@@ -151,9 +177,7 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
             *[F.sum(F.when(is_self, F.col(m))).alias(f"self_{m}") for m in _MEASURES],
         )
     )
-    inside = directed.join(movable, "own").join(
-        same.withColumnRenamed("va_number", "far"), ["far", "sku_id"]
-    )
+    inside = _inside(directed, movable, same.join(several, "sku_id", "left_semi"))
     key = ["sku_id", "merchant_id", "out"]
     leaving = own_rows.join(toward, "own").select(
         *key,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cashweave.operators.keyed import null_safe_join
 from cashweave.operators.ledger import RECEIVED_CODES
@@ -198,17 +198,25 @@ PARITY_AMOUNTS = ["amount_pulled", "amount_received", "sales_proceeds"]
 def parity_differences(
     expected: DataFrame, actual: DataFrame, tolerance: Decimal = CENT
 ) -> DataFrame:
-    """One row per key that is missing, extra, or differs by more than allowed."""
+    """One row per row that is missing, extra, or differs by more than allowed.
+
+    A key may repeat (one product and account under two notes) or be NULL: the
+    rows of a key are matched in the order of their amounts.
+    """
     columns = [*PARITY_AMOUNTS, "merchant"]
+    within = Window.partitionBy(*PARITY_KEYS).orderBy(*columns)
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
         return df.select(
-            *PARITY_KEYS,
+            *[F.col(k).alias(f"{prefix}_{k}") for k in PARITY_KEYS],
+            F.row_number().over(within).alias(f"{prefix}_nth"),
             F.lit(True).alias(f"{prefix}_row"),
             *[F.col(c).alias(f"{prefix}_{c}") for c in columns],
         )
 
-    both = side(expected, "e").join(side(actual, "a"), PARITY_KEYS, "full")
+    same = [F.col(f"e_{k}").eqNullSafe(F.col(f"a_{k}")) for k in (*PARITY_KEYS, "nth")]
+    both = side(expected, "e").join(side(actual, "a"), reduce(lambda a, b: a & b, same), "full")
+    both = both.withColumns({k: F.coalesce(f"e_{k}", f"a_{k}") for k in PARITY_KEYS})
 
     def cents(column: str) -> Column:
         return F.round(F.coalesce(column, F.lit(0)), 2)

@@ -144,16 +144,14 @@ def total_rows(tables: dict[str, DataFrame]) -> DataFrame:
 def chain_status(
     bridge: DataFrame, external: DataFrame, sales: DataFrame, txn: DataFrame, level1: DataFrame
 ) -> DataFrame:
-    """Row counts along the chain, side by side."""
-    counts = _tagged_counts(
-        {
-            "map_rows": bridge,
-            "external_rows": external,
-            "sales_rows": sales,
-            "inflow_rows": txn.where(F.col("category_code") == "merchant_repayment"),
-            "level1_rows": level1,
-        }
+    """Row counts along the chain, side by side. txn: ledger rows, or their counts (``n``)."""
+    counted = _tagged_counts(
+        {"map_rows": bridge, "external_rows": external, "sales_rows": sales, "level1_rows": level1}
     )
+    repaid = txn.where(F.col("category_code") == "merchant_repayment")
+    n = F.coalesce(F.sum("n"), F.lit(0)) if "n" in txn.columns else F.count(F.lit(1))
+    inflows = repaid.agg(n.alias("cnt")).select(F.lit("inflow_rows").alias("tbl"), "cnt")
+    counts = counted.unionByName(inflows)
     names = ["map_rows", "external_rows", "sales_rows", "inflow_rows", "level1_rows"]
     return counts.agg(
         *[F.max(F.when(F.col("tbl") == name, F.col("cnt"))).alias(name) for name in names]

@@ -60,6 +60,10 @@ class Tables(Bound):
     def txn(self) -> DataFrame:
         return ledger.va_txn(self.va_txn, SHIPPED_RULES, self.bridge)
 
+    @cached_property
+    def txn_counts(self) -> DataFrame:
+        return ledger.txn_counts(self.va_txn, SHIPPED_RULES, self.bridge)
+
     @cached_property
     def flows(self) -> DataFrame:
         return ledger.va_txn_flows(self.va_txn, SHIPPED_RULES, self.bridge)
@@ -121,9 +125,8 @@ def _period_totals(t: Tables) -> DataFrame:
 
 
 def _accounting_parse(t: Tables) -> DataFrame:
-    measures = ["acquirer_fees_expected", "acquirer_fees_paid", "fh_admin_fees_paid"]
     return t.repmt_sku.groupBy("merchant").agg(
-        *[F.sum(accounting_amount(F.col(m))).alias(m) for m in measures]
+        *[F.sum(accounting_amount(F.col(m))).alias(m) for m in typed.REPAYMENT_MEASURES]
     )
 
 
@@ -281,7 +284,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "categorise_case": _categorise("case"),
     "categorise_join": _categorise("join"),
     "va_txn": lambda t: t.txn,
-    "category_breakdown": lambda t: ledger.category_breakdown(t.txn),
+    "category_breakdown": lambda t: ledger.category_breakdown(t.txn_counts),
     "va_txn_flows": lambda t: t.flows,
     "flow_totals": lambda t: t.flow_totals,
     "flow_summary": lambda t: ledger.flow_summary(t.flow_totals),
@@ -328,6 +331,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "check_parity": _check_parity,
     "check_suite": _checks,
     "parity_differences": _parity_differences,
+    "parity_self": lambda t: quality.parity_differences(t.level1, t.level1),
     "key_differences": _key_differences,
     "outside_band": lambda t: quality.outside_band(t.level1, Decimal("-4.00"), Decimal("0.05")),
     "unmapped_skus": lambda t: quality.unmapped_skus(t.sales, t.bridge),
@@ -335,7 +339,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t.bridge.select("note_id", "sku_id", "va_number"), t.external
     ),
     "chain_status": lambda t: reports.chain_status(
-        t.bridge, t.external, t.sales, t.txn, t.level1
+        t.bridge, t.external, t.sales, t.txn_counts, t.level1
     ),
     "raw_counts": lambda t: reports.raw_counts(t.raw_tables),
     "total_rows": lambda t: reports.total_rows(t.raw_tables),

@@ -18,9 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cashweave.functions.names import merchant_key, merchant_norm
 from cashweave.operators.typed import REPAYMENT_MEASURES
 
-# Tables whose rows are turned into text and parsed again.
-_ROW_TABLES = ("lineitem",)
-
 # Parts per supplier in the generated tables.
 _PARTS_PER_MERCHANT = 20
 
@@ -59,21 +56,9 @@ class Bound:
     def table(self, name: str) -> DataFrame:
         """A table, opened once."""
         if name not in self._read:
-            self._read[name] = self._open(name)
+            self._read[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
         return self._read[name]
 
-    def _open(self, name: str) -> DataFrame:
-        """A table with no fewer splits than there are cores.
-
-        Only a table smaller than one split per core has fewer; dealing out its
-        rows is cheap. Any larger table is read as it is split.
-        """
-        table = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in _ROW_TABLES and table.rdd.getNumPartitions() < cores:
-            return table.repartition(cores, "l_orderkey", "l_partkey")
-        return table
-
     @cached_property
     def merchant(self) -> DataFrame:
         name = F.col("s_name")
@@ -126,11 +111,10 @@ class Bound:
 
     @cached_property
     def external_accounts(self) -> DataFrame:
-        """Bank pulls: line items whose status is F."""
+        """Bank pulls: every line item."""
         padded = F.concat(F.lit(" "), _account(F.col("l_partkey")), F.lit(" "))
         return (
             self.table("lineitem")
-            .where("l_linestatus = 'F'")
             .select(
                 padded.alias("beneficiary_bank_account_number"),
                 F.concat(F.lit("RM "), _amount("l_extendedprice")).alias("buy_amount"),
@@ -166,30 +150,34 @@ class Bound:
 
     @cached_property
     def repmt_sku(self) -> DataFrame:
-        """Repayments by product: all but parts of size 13."""
+        """Repayments of every part; those of size 13 are under another product name."""
         price, size = _amount("p_retailprice"), F.col("p_size").cast("string")
         # Prices, sizes and untidy zeros in turn.
         texts = [price, size, F.concat(F.lit("RM "), size), F.lit(" - ")]
         measures = {m: texts[i % len(texts)] for i, m in enumerate(REPAYMENT_MEASURES)}
         return (
             self.table("part")
-            .where("p_size != 13")
             .select(
                 _merchant_name(F.col("p_partkey")).alias("merchant"),
-                _sku(F.col("p_partkey")).alias("sku_id"),
+                F.concat(
+                    F.when(F.col("p_size") == 13, "NEW-").otherwise("SKU-"), F.col("p_partkey")
+                ).alias("sku_id"),
                 *[text.alias(m) for m, text in measures.items()],
             )
         )
 
     @cached_property
     def repmt_sales(self) -> DataFrame:
-        """Sales by product: line items that were returned."""
+        """Sales of every line item; one part in 17 is under a product name no longer in use."""
         return (
             self.table("lineitem")
-            .where("l_returnflag = 'R'")
             .select(
                 F.concat(_merchant_name(F.col("l_partkey")), F.lit(" ")).alias("merchant"),
-                F.concat(F.lit(" "), _sku(F.col("l_partkey"))).alias("sku_id"),
+                F.concat(
+                    F.lit(" "),
+                    F.when(F.col("l_partkey") % 17 == 0, "OLD-").otherwise("SKU-"),
+                    F.col("l_partkey"),
+                ).alias("sku_id"),
                 _amount("l_extendedprice").alias("total_funds_inflow"),
                 _amount("l_extendedprice").alias("sales_proceeds"),
                 _amount("l_quantity").alias("l2e"),

@@ -20,30 +20,96 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# A quote opens only at the start of a cell, and in an open cell two are one. What
+# follows a closing quote belongs to the cell.
+_OPEN_REST = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
+_CELL = rf'(?:"{_OPEN_REST}|(?!")[^,]*+)'
+_CLOSED = rf"(?s)^{_CELL}(?:,{_CELL})*+$"
+_CLOSED_AFTER_OPEN = rf"(?s)^{_OPEN_REST}(?:,{_CELL})*+$"
+
+
+def _open_before(lines: DataFrame, order: list[str], within: list[str], start: Column) -> Column:
+    """Is a quote open before this line? Lines are functions of that state.
+
+    A line either fixes the state behind it (``fixed``), or leaves it, or turns
+    it over (``turns``). So the state is that behind the last line that fixes
+    it, turned over as often as lines since then do.
+    """
+    w = Window.partitionBy(*within).orderBy(*order) if within else Window.orderBy(*order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum(F.col("turns").cast("long")).over(before), F.lit(0))
+    upto = F.sum(F.col("turns").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    fixed = F.last(
+        F.when(F.col("fixed").isNotNull(), F.struct("fixed", upto.alias("turned"))), ignorenulls=True
+    ).over(before)
+    known = F.coalesce(fixed["fixed"], start)
+    since = turned - F.coalesce(fixed["turned"], F.lit(0))
+    return known != (since % 2 == 1)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """CSV records of one file with their place (``block``, ``line_no``).
+    """CSV records of one file with their place (``block``, ``line_no``)."""
+    return records_of(_lines(spark, path), path)
+
 
-    A record spans lines while a quote is open. Whether one is open at a line
-    follows from the quotes before it: those of earlier splits, of which there
-    are few and which are added up first, and those earlier in its own split.
-    No blank line is lost, because blank lines end a report block.
+def records_of(source: DataFrame, name: str = "the lines") -> DataFrame:
+    """CSV records of lines (``block``, ``line_no``, ``line``).
+
+    A record spans lines while a quote is open; as in spreadsheets and most CSV
+    readers, a quote inside an unquoted cell is a letter. Whether one is open
+    at a line follows from the lines of its own split and the state of earlier
+    splits, of which there are few. No blank line is lost, because blank lines
+    end a report block. Raises ValueError if a quote is still open at the end.
     """
-    lines = _lines(spark, path).withColumn(
-        "quotes", F.length(F.regexp_replace("line", '[^"]', ""))
-    )
-    if lines.where(F.col("quotes") % 2 == 1).isEmpty():
+    opens, stays = ~F.col("line").rlike(_CLOSED), ~F.col("line").rlike(_CLOSED_AFTER_OPEN)
+    lines = source.select("block", "line_no", "line", opens.alias("opens"), stays.alias("stays"))
+    if lines.where("opens").isEmpty():
         return lines.select("block", "line_no", F.col("line").alias("record"))
 
-    # One row per split of the file.
-    splits = lines.groupBy("block").agg(F.sum("quotes").alias("inside"))
-    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = splits.select("block", F.coalesce(F.sum("inside").over(before), F.lit(0)).alias("ahead"))
+    same = F.col("opens") == F.col("stays")
+    lines = lines.select(
+        "block",
+        "line_no",
+        "line",
+        F.when(same, F.col("opens")).alias("fixed"),
+        (F.col("opens") & ~F.col("stays")).alias("turns"),
+    )
+    # One row per split of the file: what all its lines together do to the state.
     in_split = Window.partitionBy("block").orderBy("line_no")
-    earlier = F.coalesce(
-        F.sum("quotes").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    both = lines.select(
+        "block",
+        "line_no",
+        "fixed",
+        "turns",
+        _open_before(lines, ["line_no"], ["block"], F.lit(False)).alias("from_closed"),
+        _open_before(lines, ["line_no"], ["block"], F.lit(True)).alias("from_open"),
+    )
+    last = both.groupBy("block").agg(
+        *[
+            F.max_by(F.coalesce("fixed", F.col(c) != F.col("turns")), "line_no").alias(c)
+            for c in ("from_closed", "from_open")
+        ]
     )
-    marked = lines.join(F.broadcast(ahead), "block").withColumn(
-        "starts", (F.col("ahead") + earlier) % 2 == 0
+    splits = last.select(
+        "block",
+        F.when(F.col("from_closed") == F.col("from_open"), F.col("from_closed")).alias("fixed"),
+        (F.col("from_closed") & ~F.col("from_open")).alias("turns"),
+    )
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = splits.select(
+        "block", _open_before(splits, ["block"], [], F.lit(False)).alias("ahead"), "fixed", "turns"
+    )
+    ended = ahead.select(
+        F.max_by(F.coalesce("fixed", F.col("ahead") != F.col("turns")), "block").alias("open")
+    ).first()
+    if ended["open"]:
+        raise ValueError(f"a quote is still open at the end of {name!r}")
+    entered = lines.join(F.broadcast(ahead.select("block", "ahead")), "block")
+    marked = entered.select(
+        "block",
+        "line_no",
+        "line",
+        (~_open_before(entered, ["line_no"], ["block"], F.col("ahead"))).alias("starts"),
     )
     # The line a continued line belongs to: the last start in its split, or in
     # the last split before that has one.
@@ -81,6 +147,11 @@ def _cells(record: Column, n: int) -> list[Column]:
 
 
 def extract_block(spark: SparkSession, path: str) -> DataFrame:
+    """Product and account pairs of a file's report block: note_id, sku_id, va_number."""
+    return block_of(read_records(spark, path), path)
+
+
+def block_of(records: DataFrame, path: str = "the lines") -> DataFrame:
     """Product and account pairs of the report block: note_id, sku_id, va_number.
 
     The block starts below the first row with "SKU ID" in one of its first two
@@ -89,7 +160,7 @@ def extract_block(spark: SparkSession, path: str) -> DataFrame:
     """
     first, second, third = _cells(F.col("record"), 3)
     shifted = first == ""
-    rows = read_records(spark, path).select(
+    rows = records.select(
         F.struct("block", "line_no").alias("place"),
         (F.lower(first) == "sku id").alias("header_first"),
         (F.lower(second) == "sku id").alias("header_second"),

@@ -120,7 +120,7 @@ _TABLES = f"""
   external_text AS (
     SELECT ' VA-' || l_partkey || ' ' AS account, 'RM ' || {_price("l_extendedprice")} AS amount,
       'MYR ' AS currency, {_DATE_TEXT} AS created
-    FROM lineitem WHERE l_linestatus = 'F'),
+    FROM lineitem),
   external AS (
     SELECT trim(account) AS va_number, {_number("amount")} AS buy_amount,
       trim(currency) AS buy_currency, {_day("created")} AS day
@@ -185,9 +185,10 @@ _TABLES = f"""
       SELECT to_sku_id, to_merchant_id, 0, amount FROM transfers)
     GROUP BY sku_id, merchant_id),
   expected_text AS (
-    SELECT {_supplier_name("p_partkey")} AS merchant, 'SKU-' || p_partkey AS sku_id,
+    SELECT {_supplier_name("p_partkey")} AS merchant,
+      CASE WHEN p_size = 13 THEN 'NEW-' ELSE 'SKU-' END || p_partkey AS sku_id,
       {_repayment_columns()}
-    FROM part WHERE p_size <> 13),
+    FROM part),
   expected AS (
     SELECT merchant AS merchant_name, sku_id,
       {", ".join(f"{_number(m)} AS {m}" for m in REPAYMENT_MEASURES)},
@@ -196,11 +197,12 @@ _TABLES = f"""
       CAST(0 AS {_EXACT}) AS jr_add_interest_expected
     FROM expected_text),
   sales AS (
-    SELECT {_supplier_name("l_partkey")} AS merchant_name, 'SKU-' || l_partkey AS sku_id,
+    SELECT {_supplier_name("l_partkey")} AS merchant_name,
+      CASE WHEN l_partkey % 17 = 0 THEN 'OLD-' ELSE 'SKU-' END || l_partkey AS sku_id,
       {_number(_price("l_extendedprice"))} AS total_funds_inflow,
       {_number(_price("l_extendedprice"))} AS sales_proceeds,
       {_number(_price("l_quantity"))} AS l2e
-    FROM lineitem WHERE l_returnflag = 'R'),
+    FROM lineitem),
   ranked AS (
     SELECT b.*, m.merchant_name,
       row_number() OVER (PARTITION BY b.sku_id
@@ -441,16 +443,27 @@ _CHECKS = {
       OR amount_pulled - amount_received > 0.05 OR amount_pulled - amount_received > -2.05""",
 }
 
-_DIFFERENCES = """SELECT * FROM (
-    SELECT coalesce(e.sku_id, a.sku_id) AS sku_id,
-      coalesce(e.account_number, a.account_number) AS account_number,
-      CASE WHEN a.sku_id IS NULL THEN 'missing' WHEN e.sku_id IS NULL THEN 'extra'
-        WHEN greatest(abs(e.amount_pulled - a.amount_pulled),
-          abs(e.amount_received - a.amount_received),
-          abs(e.sales_proceeds - a.sales_proceeds)) > 0.01 THEN 'amount'
-        WHEN e.merchant IS DISTINCT FROM a.merchant THEN 'merchant' END AS problem
-    FROM generous e FULL JOIN level1 a
-      ON a.sku_id = e.sku_id AND a.account_number = e.account_number)
+def _as_lists(mart: str) -> str:
+    """A mart's rows gathered by key, sorted."""
+    return f"""SELECT sku_id, account_number, list({{'p': amount_pulled, 'r': amount_received,
+      's': sales_proceeds, 'm': merchant}} ORDER BY amount_pulled NULLS FIRST,
+      amount_received NULLS FIRST, sales_proceeds NULLS FIRST, merchant NULLS FIRST) AS own
+    FROM {mart} GROUP BY sku_id, account_number"""
+
+
+_DIFFERENCES = f"""SELECT * FROM (
+    SELECT sku_id, account_number,
+      CASE WHEN i > coalesce(len(a), 0) THEN 'missing' WHEN i > coalesce(len(e), 0) THEN 'extra'
+        WHEN abs(e[i].p - a[i].p) > 0.01 OR abs(e[i].r - a[i].r) > 0.01
+          OR abs(e[i].s - a[i].s) > 0.01 THEN 'amount'
+        WHEN e[i].m IS DISTINCT FROM a[i].m THEN 'merchant' END AS problem
+    FROM (
+      SELECT coalesce(e.sku_id, a.sku_id) AS sku_id,
+        coalesce(e.account_number, a.account_number) AS account_number,
+        e.own AS e, a.own AS a,
+        unnest(range(1, 1 + greatest(coalesce(len(e.own), 0), coalesce(len(a.own), 0)))) AS i
+      FROM ({_as_lists("generous")}) e FULL JOIN ({_as_lists("level1")}) a
+        ON a.sku_id = e.sku_id AND a.account_number IS NOT DISTINCT FROM e.account_number))
   WHERE problem IS NOT NULL"""
 
 
@@ -481,7 +494,7 @@ _RESULTS = {
     "accounting_parse": "SELECT merchant, "
     + ", ".join(
         _cents(f"sum({_accounting(m)})", m)
-        for m in ("acquirer_fees_expected", "acquirer_fees_paid", "fh_admin_fees_paid")
+        for m in REPAYMENT_MEASURES
     )
     + " FROM expected_text GROUP BY merchant",
     "header_keys": """SELECT DISTINCT remark_text AS raw,
@@ -599,7 +612,9 @@ _RESULTS = {
       FROM (SELECT merchant_name FROM known UNION SELECT merchant_name FROM sales)""",
     "upsert_skus": """SELECT k.sku_id, k.merchant_id FROM sku k
       WHERE k.sku_id NOT IN (SELECT sku_id FROM expected)
-        OR k.sku_id IN (SELECT sku_id FROM sales)""",
+      UNION
+      SELECT s.sku_id, m.merchant_id FROM sales s
+      JOIN merchant m ON lower(m.merchant_name) = lower(s.merchant_name)""",
     "add_bridge_rows": """SELECT note_id, sku_id, va_number, merchant_id FROM bridge
       UNION ALL
       SELECT v.note_id, v.sku_id, v.va_number, m.merchant_id
@@ -625,6 +640,7 @@ _RESULTS = {
           _count_of(p) for p in ("missing", "extra", "amount", "merchant"))} AS detail
       FROM ({_DIFFERENCES})""",
     "parity_differences": _DIFFERENCES,
+    "parity_self": "SELECT sku_id, account_number, '' AS problem FROM level1 WHERE false",
     "key_differences": """SELECT coalesce(s.sku_id, e.sku_id) AS sku_id,
       CASE WHEN e.sku_id IS NULL THEN 'left' ELSE 'right' END AS found_in
       FROM (SELECT DISTINCT sku_id FROM sales) s

@@ -81,6 +81,30 @@ def test_both_forms_agree_with_brute_force(spark):
         assert dict(rows(categorise(_remarks(spark, remarks), rules, strategy=strategy))) == wanted
 
 
+def test_many_rules_with_letters_beyond_ascii(spark):
+    """Thousands of rules: one rule more never changes an answer, in either form."""
+    dice = random.Random(3)
+    words = ["état", "FRAIS", "ünd", "Zinsen", "größe", "pay", "Ärger", "ÇA"]
+    rules = [
+        Rule(dice.choice(words) + dice.choice(["", r"\s*", " "]) + dice.choice(words), f"c{i % 7}", True, dice.randint(1, 9))
+        for i in range(350)
+    ] + [Rule(f"{dice.choice(words)} {i}", f"e{i % 5}", False, dice.randint(1, 9)) for i in range(3000)]
+    remarks = {" ".join(dice.choices(words, k=3)).lower() for _ in range(60)}
+    remarks |= {f"{dice.choice(words)} {i}".lower() for i in range(0, 3000, 50)} | {"état", ""}
+    frame = _remarks(spark, remarks)
+    few = [r for r in rules if r.is_regex][:290]
+    case, join = (dict(rows(categorise(frame, few, strategy=s))) for s in ("case", "join"))
+    assert case == join == {r: _best(r, few) for r in remarks}
+    wanted = {r: _best(r, rules) for r in remarks}
+    assert dict(rows(categorise(frame, rules))) == wanted
+    assert dict(rows(categorise(frame, rules_frame(spark, rules)))) == wanted
+
+
+def test_no_nested_loop(spark, capsys):
+    categorise(_remarks(spark, ["x"]), SHIPPED_RULES, strategy="join").explain()
+    assert "NestedLoop" not in capsys.readouterr().out
+
+
 def test_rule_lookup_needs_no_shuffle(spark, capsys):
     categorise(_remarks(spark, ["x"]), SHIPPED_RULES).explain()
     plan = capsys.readouterr().out

@@ -27,14 +27,26 @@ def test_salted_join_equals_plain_join(spark):
     left, right = _skewed(spark), _lookup(spark)
     for how in ("inner", "left"):
         plain = left.join(right, "k", how).select("id", "k", "v")
-        salted = keyed.salted_join(left, right, "k", how, parts=16).select("id", "k", "v")
+        salted = keyed.salted_join(left, right, "k", how, per_task=190).select("id", "k", "v")
         assert rows(salted) == rows(plain)
 
 
-def test_hot_keys_are_bounded_and_split(spark):
-    hot = rows(keyed.hot_keys(_skewed(spark), "k", parts=16))
-    assert hot == [("hot", 5)]
-    assert len(rows(keyed.hot_keys(_skewed(spark), "k", parts=2))) <= 2
+def test_hot_keys_by_rows_per_task(spark):
+    """A third on one key and a 300th on another: both are split to the size of a task."""
+    n = spark.range(0, 30_000)
+    key = F.when(F.col("id") % 3 == 0, "third").when(F.col("id") % 300 == 1, "less").otherwise(
+        F.concat(F.lit("k"), F.col("id") % 5000)
+    )
+    df = n.select(key.alias("k"))
+    assert rows(keyed.hot_keys(df, "k", per_task=40)) == [("less", 3), ("third", 250)]
+    assert rows(keyed.hot_keys(df, "k", per_task=2000)) == [("third", 5)]
+    assert rows(keyed.hot_keys(df, "k", per_task=20_000)) == []
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    wide = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 1000).alias("t"))
+    assert keyed.fits_broadcast(wide, most=101_000)
+    assert not keyed.fits_broadcast(wide, most=99_000)
 
 
 def test_hot_rows_reach_several_tasks(spark):
@@ -43,7 +55,7 @@ def test_hot_rows_reach_several_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        joined = keyed.salted_join(left, right, "k", "inner", parts=16).where("k = 'hot'")
+        joined = keyed.salted_join(left, right, "k", "inner", per_task=190).where("k = 'hot'")
         tasks = joined.select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
