@@ -6,6 +6,7 @@ rows are never rewritten row by row: they pass through an anti-join on the key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -165,13 +166,15 @@ def load_mapping(
     merchant: DataFrame,
     sku: DataFrame,
     bridge: DataFrame,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Mapping:
     """Replace the bridge rows of the batch's products.
 
     Raises before anything is written when a row has no merchant or a product
-    comes with two.
+    comes with two. The validated rows are used several times; ``stage`` may
+    write them and give back what it wrote.
     """
-    rows = validated_mapping(batch, raw_sales, raw_expected, merchant)
+    rows = stage(validated_mapping(batch, raw_sales, raw_expected, merchant))
     orphan = without_merchant(rows).first()
     if orphan is not None:
         raise MissingMerchantError(f"no merchant for mapped product {orphan['sku_id']!r}")

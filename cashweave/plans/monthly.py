@@ -51,8 +51,11 @@ class Store:
         """The table, or None where it has not been written."""
         try:
             return self.read(layer, name)
-        except AnalysisException:
-            return None
+        except AnalysisException as error:
+            # A table that is there but broken must not pass for an empty one.
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def prepped(self, name: str) -> str:
         return self.path("prepped", f"{name}{feeds.PREPPED_SUFFIX}")
@@ -104,8 +107,13 @@ def load_reference(
     bridge = spark.createDataFrame([], BRIDGE_SCHEMA)
     batch = feeds.load_columns(spark, store.prepped("note_sku_va_map"), feeds.MAPPING_COLUMNS)
     if not batch.isEmpty():
+
+        def stage(df: DataFrame) -> DataFrame:
+            store.write(df, "staging", "mapping")
+            return store.read("staging", "mapping")
+
         sku, bridge = upserts.load_mapping(
-            batch, raw_sales, raw_expected, merchant, sku, bridge
+            batch, raw_sales, raw_expected, merchant, sku, bridge, stage
         )
     known = before("remarks_category_map", RULE_SCHEMA)
     store.write(merchant, "ref", "merchant")
@@ -117,7 +125,7 @@ def load_reference(
 
 
 def refresh(store: Store) -> list[str]:
-    """Rebuild the core layer from the raw one, in order of dependence.
+    """Rebuild the core layer from the raw one, and the marts, in order of dependence.
 
     A table whose inputs are not there is left out; gives the tables written.
     """
@@ -145,6 +153,8 @@ def refresh(store: Store) -> list[str]:
         # The marts need sums only. They share this small table instead of
         # scanning the flows once each.
         write("flow_totals", ledger.totals_of(core_flows(store)))
+    if matched and all(df is not None for df in raw.values()):
+        write_marts(store)
     return written
 
 
@@ -156,7 +166,7 @@ def core_flows(store: Store) -> DataFrame:
 
 
 def marts(store: Store) -> dict[str, DataFrame]:
-    """The views over the core layer, not computed until used."""
+    """The marts as built from the core layer; ``written_marts`` are those of the run."""
     merchant, sku, bridge = (store.read("ref", n) for n in ("merchant", "sku", "note_sku_va_map"))
     external, expected, sales, totals = (
         store.read("core", n)
@@ -178,9 +188,24 @@ def marts(store: Store) -> dict[str, DataFrame]:
 
 
 def write_marts(store: Store) -> None:
+    """Write the marts; level 2 is built from the parts written before it."""
     views = marts(store)
-    for name in ("level1", "level2a", "level2b"):
+    for name in ("flows_pivot", "inter_sku_transfers_agg", "level1"):
         store.write(views[name], "mart", name)
+    pivot, moved = (store.read("mart", n) for n in ("flows_pivot", "inter_sku_transfers_agg"))
+    merchant, sku = (store.read("ref", n) for n in ("merchant", "sku"))
+    expected, sales = (store.read("core", n) for n in ("repmt_sku", "repmt_sales"))
+    store.write(l2.level2a(pivot, expected, sku, sales, moved, merchant), "mart", "level2a")
+    store.write(l2.level2b(sku, merchant, sales, expected, pivot), "mart", "level2b")
+
+
+WRITTEN_MARTS = ("flows_pivot", "inter_sku_transfers_agg", "level1", "level2a", "level2b")
+
+
+def written_marts(store: Store) -> dict[str, DataFrame]:
+    """The marts as the run wrote them."""
+    tables = {name: store.read("mart", name) for name in WRITTEN_MARTS}
+    return {**tables, "level1_export": l1.level1_export(tables["level1"])}
 
 
 # The names analysts query the tables and views under.
@@ -217,7 +242,11 @@ def publish_views(store: Store) -> list[str]:
         df = core_flows(store) if table == "va_txn_flows" else store.read(layer, table)
         df.createOrReplaceTempView(name)
         names.append(name)
-    views = marts(store)
+    views = written_marts(store)
+    # The transfer rows are a view over the ledger: there can be many more of them.
+    views["inter_sku_transfers"] = transfers.inter_sku_transfers(
+        store.read("raw", "va_txn"), store.read("ref", "note_sku_va_map")
+    )
     for mart, name in PUBLISHED_VIEWS.items():
         views[mart].createOrReplaceTempView(name)
         names.append(name)
@@ -227,7 +256,7 @@ def publish_views(store: Store) -> list[str]:
 def save_marts(store: Store, database: str = "mart") -> None:
     """Save the marts as catalog tables, so that ``mart.v_level1`` can be queried."""
     store.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    views = marts(store)
+    views = written_marts(store)
     for name in ("level1", "level1_export", "level2a", "level2b"):
         views[name].write.mode("overwrite").saveAsTable(f"{database}.{PUBLISHED_VIEWS[name]}")
 
@@ -239,7 +268,7 @@ def suite(
 ) -> DataFrame:
     """All checks of a run, as one frame of results."""
     spark = store.spark
-    views = marts(store)
+    views = written_marts(store)
     level1 = views["level1"]
     external, sales, totals = (
         store.read("core", n) for n in ("external_accounts", "repmt_sales", "flow_totals")

@@ -121,3 +121,12 @@ def test_key_differences(spark):
     a = spark.createDataFrame([("x",), ("y",), (None,)], "k string")
     b = spark.createDataFrame([("y",), ("z",), (None,)], "k string")
     assert rows(quality.key_differences(a, b, ["k"])) == [("x", "left"), ("z", "right")]
+
+
+def test_a_mart_equals_itself_with_repeated_and_missing_keys(spark):
+    schema = "sku_id string, account_number string, merchant string, amount_pulled decimal(18,2), amount_received decimal(18,2), sales_proceeds decimal(18,2)"
+    one = [("A", "V", "m", D(1), D(2), D(3)), ("A", "V", "m", D(9), D(0), None), ("A", None, "m", D(0), D(0), D(0)), (None, None, None, None, None, None), ("A", None, "n", D(5), D(0), D(0))]
+    mart = spark.createDataFrame(one, schema)
+    assert quality.parity_differences(mart, mart).collect() == []
+    other = spark.createDataFrame([*one[1:], ("A", "V", "m", D(1), D(7), D(3)), ("A", "V", "m", D(10), D(0), D(0))], schema)
+    assert rows(quality.parity_differences(mart, other), "problem") == [("amount",), ("extra",)]

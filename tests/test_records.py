@@ -1,4 +1,5 @@
 import csv
+import random
 from decimal import Decimal
 
 import pytest
@@ -61,6 +62,39 @@ def test_records_over_many_splits(spark, tmp_path):
     assert [r["record"] for r in found] == wanted
 
 
+def _splits(spark, size):
+    keep = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keep}
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+    return before
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_equal_a_csv_reader(spark, tmp_path, seed):
+    """Stray quotes, line breaks in cells, doubled quotes and blank lines, over several splits."""
+    dice = random.Random(seed)
+    cells = ["a", "", '12" pipe', '"x, y"', '"two\nlines"', '"say ""hi"""', '"\n\n"', 'b"c"', '"q"r"', " ", '"end"" "']
+    lines = [",".join(dice.choices(cells, k=dice.randint(1, 4))) for _ in range(300)]
+    text = "\n".join(lines) + "\n"
+    path = _write(tmp_path / "r.csv", text)
+    wanted = list(csv.reader(text.splitlines(keepends=True)))
+    before = _splits(spark, 700)
+    try:
+        found = records.read_records(spark, path).orderBy("block", "line_no").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [next(csv.reader(r["record"].splitlines(keepends=True)), []) for r in found] == wanted
+
+
+def test_a_stray_quote_loses_no_row(spark, tmp_path):
+    path = _write(tmp_path / "r.csv", 'SKU ID,Account\nA,VA-1,12" pipe shop\nB,VA-2,M\nC,VA-3,M\n')
+    assert rows(records.extract_block(spark, path), "sku_id") == [("A",), ("B",), ("C",)]
+    with pytest.raises(ValueError, match="still open"):
+        records.read_records(spark, _write(tmp_path / "o.csv", 'a,"b\nc\n'))
+
+
 def test_golden_rows(spark, tmp_path):
     text = (
         "SKU ID and Account Number below,,\n" + HEAD
