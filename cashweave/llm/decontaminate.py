@@ -2,8 +2,8 @@
 
 Passages are windows of words. A word is a cell of a hashed vocabulary (in lower
 case) with its inverse document frequency over all passages of the corpus. The latent
-space comes from a distributed randomised SVD of the TF-IDF passages of the benchmark:
-tasks multiply their passages with a random matrix made from the cells' hashes, the
+space comes from a randomised SVD, in Spark tasks, of the TF-IDF passages of the
+benchmark (frequencies are those of the corpus): tasks multiply their passages with a random matrix made from the cells' hashes, the
 driver sees two small sums (its rank squared, and rank by benchmark cells). Every
 passage of the corpus is folded into that space and compared with all benchmark
 passages by cosine. Candidates are checked by the longest common subsequence of words,
@@ -40,11 +40,14 @@ from cashweave.llm.tokens import mix, spans, word_hashes
 
 CELLS = 1 << 18
 RANGES = 16
-WINDOW, STRIDE = 48, 16
+WINDOW, STRIDE = 32, 16
+ITEM_WINDOW, ITEM_STRIDE = 64, 32
 RANK, SPARE, ENERGY = 256, 16, 0.95
 BLOCK_ITEMS = 1000
+#: A block is small: few tasks multiply it, so that few partial sums of rank by rank meet.
+ITEM_TASKS = 4
 LEAST_WORDS = 8
-COSINE = 0.35
+COSINE = 0.5
 #: Least share of an item's words found in order: alone, and with its answer there.
 VERBATIM, WITH_ANSWER, ANSWER = 0.75, 0.6, 0.8
 
@@ -59,12 +62,12 @@ def _cells(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_starts(first: np.ndarray, window: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word, end) of all windows: every `stride` words, the last one flush with the end."""
+    """(text, first word, end) of all windows: every `stride` words until one reaches the text's end."""
     counts = np.diff(first)
     steps = np.where(counts > 0, 1 + np.maximum(0, -(-(counts - window) // stride)), 0)
     text = np.repeat(np.arange(len(counts)), steps)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(steps) - steps, steps)
-    start = first[text] + np.minimum(nth * stride, np.maximum(counts[text] - window, 0))
+    start = first[text] + nth * stride
     return text, start, np.minimum(start + window, first[text + 1])
 
 
@@ -115,7 +118,7 @@ def _rows_of(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[tup
     for batch in batches:
         for lo, _, data, at in slices(batch.column(1)):
             cells, first = _cells(data, at)
-            text, start, end = window_starts(first, WINDOW, STRIDE)
+            text, start, end = window_starts(first, ITEM_WINDOW, ITEM_STRIDE)
             for t, a, b in zip(text.tolist(), start.tolist(), end.tolist(), strict=True):
                 own, tf = np.unique(cells[a:b], return_counts=True)
                 value = tf * idf[own]
@@ -201,6 +204,47 @@ def judge(item: Item, near: list[bytes]) -> tuple[float, bool, bool]:
     return share, answer, share >= VERBATIM or (share >= WITH_ANSWER and answer)
 
 
+def _stride_sums(row: np.ndarray, first: np.ndarray, where: np.ndarray, wanted: np.ndarray, scaled: np.ndarray) -> np.ndarray:
+    """Latent sums over stretches of STRIDE words, of those wanted; where[d] is text d's first stretch."""
+    kept = np.flatnonzero(row >= 0)
+    owner = np.searchsorted(first, kept, "right") - 1
+    stretch = where[owner] + (kept - first[owner]) // STRIDE
+    use = wanted[stretch]
+    kept, stretch = kept[use], stretch[use]
+    sums = np.zeros((where[-1] + WINDOW // STRIDE, scaled.shape[1]), np.float32)
+    if len(kept):
+        begins = np.flatnonzero(np.concatenate([[True], stretch[1:] != stretch[:-1]]))
+        sums[stretch[begins]] = np.add.reduceat(scaled[row[kept]], begins, axis=0)
+    return sums
+
+
+def _candidates(own: np.ndarray, first: np.ndarray, row_of: np.ndarray, scaled: np.ndarray, latent: np.ndarray, idf: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+    """(text, passage of the benchmark, first word, end, cosine) of windows near enough, in order."""
+    text, start, end = window_starts(first, WINDOW, STRIDE)
+    weight, row = idf[own].astype(np.float64) ** 2, row_of[own]
+    norm, inside = (np.concatenate([[0.0], np.cumsum(w)]) for w in (weight, np.where(row >= 0, weight, 0.0)))
+    norm, inside = norm[end] - norm[start], inside[end] - inside[start]
+    near = np.flatnonzero(inside >= COSINE * COSINE * norm)
+    if not len(near):
+        return
+    where = np.concatenate([[0], np.cumsum(-(-np.diff(first) // STRIDE))])
+    limit = where[text[near] + 1]
+    at = where[text[near]] + (start[near] - first[text[near]]) // STRIDE
+    wanted = np.zeros(where[-1] + WINDOW // STRIDE, bool)
+    for k in range(WINDOW // STRIDE):
+        wanted[at + k] = True
+    sums = _stride_sums(row, first, where, wanted, scaled)
+    for lo in range(0, len(near), 4096):
+        part = slice(lo, lo + 4096)
+        vectors = np.zeros((len(near[part]), scaled.shape[1]), np.float32)
+        for k in range(WINDOW // STRIDE):
+            vectors += np.where((at[part] + k < limit[part])[:, None], sums[at[part] + k], 0)
+        cosines = vectors @ latent.T / np.sqrt(norm[near[part]])[:, None]
+        for w, i in zip(*np.nonzero(cosines >= COSINE), strict=True):
+            n = near[lo + w]
+            yield int(text[n]), int(i), int(start[n]), int(end[n]), float(cosines[w, i])
+
+
 def _search(items: list[Item], cells: np.ndarray, basis: np.ndarray, owners: np.ndarray, latent: np.ndarray, idf: np.ndarray):
     """Leaks of texts (doc_id, text). latent: unit rows of the items' passages; owners: their items' places."""
     row_of = np.full(CELLS, -1, np.int32)
@@ -214,26 +258,16 @@ def _search(items: list[Item], cells: np.ndarray, basis: np.ndarray, owners: np.
                 own, first = _cells(data, at)
                 if not len(own):
                     continue
-                text, start, end = window_starts(first, WINDOW, STRIDE)
-                weight = idf[own].astype(np.float64) ** 2
-                row = row_of[own]
-                norm, inside = (np.concatenate([[0.0], np.cumsum(w)]) for w in (weight, np.where(row >= 0, weight, 0.0)))
-                norm, inside = norm[end] - norm[start], inside[end] - inside[start]
                 best: dict[tuple[int, int], tuple[float, int, int]] = {}
-                for w in np.flatnonzero(inside >= COSINE * COSINE * norm).tolist():
-                    rows = row[start[w] : end[w]]
-                    vector = scaled[rows[rows >= 0]].sum(axis=0)
-                    cosines = latent @ vector / np.sqrt(norm[w])
-                    for i in np.flatnonzero(cosines >= COSINE).tolist():
-                        key = int(text[w]), int(owners[i])
-                        begin, stop = int(start[w]), int(end[w])
-                        if key in best:  # overlapping windows of one passage are judged together
-                            cosine, b, e = best[key]
-                            if begin <= e:
-                                best[key] = max(cosine, float(cosines[i])), b, max(e, stop)
-                                continue
-                            found += _verdict(batch, lo, key, best[key], data, at, first, items)
-                        best[key] = float(cosines[i]), begin, stop
+                for t, i, begin, stop, cosine in _candidates(own, first, row_of, scaled, latent, idf):
+                    key = t, int(owners[i])
+                    if key in best:  # overlapping windows of one passage are judged together
+                        high, b, e = best[key]
+                        if begin <= e:
+                            best[key] = max(high, cosine), b, max(e, stop)
+                            continue
+                        found += _verdict(batch, lo, key, best[key], data, at, first, items)
+                    best[key] = cosine, begin, stop
                 for key, value in best.items():
                     found += _verdict(batch, lo, key, value, data, at, first, items)
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()))], names=["doc_id", "item_id", "cosine", "in_order", "answer"])
@@ -245,10 +279,13 @@ def _verdict(batch, lo, key, value, data, at, first, items) -> list[tuple]:
     """The pair as a row if it is a leak. Words around the passage are looked at too."""
     (t, i), (cosine, begin, end) = key, value
     item = items[i]
-    words = data[at[t] : at[t + 1]].tobytes().decode()
-    words = words_of(words)
     margin = len(item.words)
+    words = data[at[t] : at[t + 1]].tobytes().split()
     near = words[max(0, begin - first[t] - margin) : end - first[t] + margin]
+    there = set(near)
+    # The words there at all bound those there in order.
+    if sum(w in there for w in item.words) < WITH_ANSWER * len(item.words):
+        return []
     # Judged over stretches of twice the item, so that chance matches of a long passage do not add up.
     stretch = max(2 * len(item.words), 16)
     best = max((judge(item, near[k : k + stretch]) for k in range(0, max(1, len(near) - len(item.words)), max(1, len(item.words) // 2))), default=(0.0, False, False), key=lambda j: (j[2], j[0]))
@@ -266,6 +303,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     out = None
     for block in range(blocks):
         mine = listed.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else listed
+        mine = mine.coalesce(ITEM_TASKS)
         rows = mine.orderBy("item_id", "text").collect()  # a block's worth
         items = [i for i in (as_item(r["item_id"], r["text"]) for r in rows) if len(i.words) >= LEAST_WORDS]
         if not items:
@@ -276,7 +314,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
         for n, item in enumerate(items):
             data, at = np.frombuffer(b" ".join(item.words), np.uint8), np.array([0, len(b" ".join(item.words))])
             own, first = _cells(data, at)
-            _, start, end = window_starts(first, WINDOW, STRIDE)
+            _, start, end = window_starts(first, ITEM_WINDOW, ITEM_STRIDE)
             for a, b in zip(start.tolist(), end.tolist(), strict=True):
                 rows_ = [place[c] for c in own[a:b].tolist() if c in place]
                 vector = (basis[rows_] * idf[cells[rows_]][:, None]).sum(axis=0)
