@@ -13,8 +13,9 @@ def exists_in(
     True on a match; false when the list is empty or holds no NULL; else NULL.
     A value that is NULL itself is NULL, unless the list is empty.
     """
-    listed = other.select(F.col(key).alias("__listed")).distinct()
-    facts = listed.agg(
+    values = other.select(F.col(key).alias("__listed"))
+    listed = values.where(F.col("__listed").isNotNull()).distinct()
+    facts = values.agg(
         F.count(F.lit(1)).alias("size"),
         F.coalesce(F.max(F.col("__listed").isNull()), F.lit(False)).alias("has_null"),
     )

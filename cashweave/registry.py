@@ -16,7 +16,13 @@ from cashweave.functions.money import CENTS
 from cashweave.functions.names import header_key
 from cashweave.functions.parsing import accounting_amount, to_date_safe, to_numeric_safe
 from cashweave.operators import ledger, transfers, typed, upserts
-from cashweave.operators.categorise import SHIPPED_RULES, UNCATEGORISED, categorise
+from cashweave.operators.categorise import (
+    SHIPPED_RULES,
+    UNCATEGORISED,
+    Rule,
+    categorise,
+    rules_frame,
+)
 from cashweave.plans import level1 as l1, level2 as l2, quality, reports
 from cashweave.session import configure
 from cashweave.sources.bound import Bound
@@ -135,6 +141,35 @@ def _header_keys(t: Tables) -> DataFrame:
     return raw.select("raw", header_key(F.col("raw")).alias("normalised"))
 
 
+def _unread_cells(t: Tables) -> DataFrame:
+    """Cells with a text that is neither an amount nor a date, by feed."""
+
+    def unread(df: DataFrame, feed: str, amount: str, date: str) -> DataFrame:
+        lost = [
+            F.count(F.when(F.col(c).isNotNull() & read(F.col(c)).isNull(), 1))
+            for c, read in ((amount, to_numeric_safe), (date, to_date_safe))
+        ]
+        return df.agg(lost[0].alias("amounts"), lost[1].alias("dates")).select(
+            F.lit(feed).alias("feed"), "amounts", "dates"
+        )
+
+    return unread(t.va_txn, "va_txn", "amount", "date").unionByName(
+        unread(t.external_accounts, "external_accounts", "buy_amount", "created_date")
+    )
+
+
+def _add_rules(t: Tables) -> DataFrame:
+    """Rules on file, and one for every brand of parts; a pair that is there stays."""
+    new = t.table("part").select(
+        F.lower("p_brand").alias("raw_pattern"),
+        F.lit("brand").alias("category_code"),
+        F.lit(False).alias("is_regex"),
+        F.lit(90).alias("priority"),
+    )
+    known = rules_frame(t.spark, [*SHIPPED_RULES, Rule("brand#10", "brand", True, 5)])
+    return upserts.add_rules(known, new.distinct())
+
+
 def _categorise(strategy: str) -> Callable[[Tables], DataFrame]:
     def query(t: Tables) -> DataFrame:
         rows = categorise(
@@ -338,6 +373,12 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "exists_in": lambda t: reports.mapping_report(
         t.bridge.select("note_id", "sku_id", "va_number"), t.external
     ),
+    "exists_in_with_null": lambda t: reports.mapping_report(
+        t.bridge.select("note_id", "sku_id", "va_number"),
+        t.external.select(F.nullif("va_number", F.lit("VA-1")).alias("va_number")),
+    ),
+    "unread_cells": _unread_cells,
+    "add_rules": _add_rules,
     "chain_status": lambda t: reports.chain_status(
         t.bridge, t.external, t.sales, t.txn_counts, t.level1
     ),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import warnings
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -195,22 +198,41 @@ def first_named(spark: SparkSession, directory: str, pattern: str) -> str | None
     return None if row["name"] is None else f"{directory.rstrip('/')}/{row['name']}"
 
 
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """The files of a path: itself, those of a directory, or those a glob names; by name."""
+    directory, _, name = path.rstrip("/").rpartition("/")
+    if not re.search(r"[*?\[{]", name):
+        if file_exists(spark, path):
+            return [path]
+        directory, name = path.rstrip("/"), "*"
+    listed = list_files(spark, directory or ".", name).where(~F.col("name").rlike("^[._]"))
+    return [f"{directory or '.'}/{r['name']}" for r in listed.orderBy("name").collect()]
+
+
 def find_feed(
     spark: SparkSession, directory: str, pattern: str, override: str | None = None
 ) -> str:
     """The file of one feed.
 
-    An override is a path, or a path under the directory. Without one it is the
-    first file by name that matches the pattern.
+    An override is a path, or a path under the directory; it may be a directory
+    of files, or a glob, and then all of them are read. Without one it is the
+    first file by name that matches the pattern; others are named in a warning.
     """
     if override:
         for path in (override, f"{directory.rstrip('/')}/{override}"):
-            if file_exists(spark, path):
+            if files_of(spark, path):
                 return path
         raise FileNotFoundError(f"no file {override!r}, nor under {directory!r}")
     found = first_named(spark, directory, pattern)
     if found is None:
         raise FileNotFoundError(f"no file matching {pattern!r} in {directory!r}")
+    others = [
+        r["name"]
+        for r in list_files(spark, directory, pattern).orderBy("name").collect()
+        if r["name"] != found.rpartition("/")[2] and not r["name"].endswith(PREPPED_SUFFIX)
+    ]
+    if others:
+        warnings.warn(f"{pattern}: only {found} is read, not {others}", stacklevel=2)
     return found
 
 
@@ -240,14 +262,21 @@ def _csv(spark: SparkSession, multiline: bool):
     )
 
 
+# A quote opens only at the start of a cell, and in an open cell two are one. What
+# follows a closing quote belongs to the cell.
+OPEN_REST = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
+CELL = rf'(?:"{OPEN_REST}|(?!")[^,]*+)'
+CLOSED_LINE = rf"(?s)^{CELL}(?:,{CELL})*+$"
+
+
 def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether a record may span lines: some line has an odd number of quotes.
+    """Whether a record may span lines: some line ends within a quoted cell.
 
     Reads lines in parallel. Without such lines a file can be split anywhere
-    between lines; with them Spark has to read each file in one piece.
+    between lines; with them Spark has to read each file in one piece. A quote
+    inside an unquoted cell opens nothing.
     """
-    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(path).where(~F.col("value").rlike(CLOSED_LINE)).isEmpty()
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
@@ -298,8 +327,14 @@ def read_feed(
     """One export as text columns in canonical names and order.
 
     Columns are taken by position, so repeated header names do no harm. Unless
-    told, a pass over the lines finds out whether the file may be split.
+    told, a pass over the lines finds out whether the file may be split. Of a
+    directory or a glob every file is read, each by its own header.
     """
+    files = files_of(spark, path)
+    if len(files) > 1:
+        parts = [read_feed(spark, file, spec, multiline) for file in files]
+        return reduce(DataFrame.unionByName, parts)
+    path = files[0] if files else path
     headers = header_of(spark, path)
     where = resolve_columns(headers, spec)
     if multiline is None:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cashweave.functions.money import to_cents
 from cashweave.functions.parsing import accounting_amount, strip_text
-from cashweave.sources.feeds import file_exists, list_files
+from cashweave.sources.feeds import CELL, CLOSED_LINE, OPEN_REST, file_exists, list_files
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their place in the file: the split they are in, then a count.
@@ -20,12 +21,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-# A quote opens only at the start of a cell, and in an open cell two are one. What
-# follows a closing quote belongs to the cell.
-_OPEN_REST = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
-_CELL = rf'(?:"{_OPEN_REST}|(?!")[^,]*+)'
-_CLOSED = rf"(?s)^{_CELL}(?:,{_CELL})*+$"
-_CLOSED_AFTER_OPEN = rf"(?s)^{_OPEN_REST}(?:,{_CELL})*+$"
+_CLOSED_AFTER_OPEN = rf"(?s)^{OPEN_REST}(?:,{CELL})*+$"
 
 
 def _open_before(lines: DataFrame, order: list[str], within: list[str], start: Column) -> Column:
@@ -61,7 +57,7 @@ def records_of(source: DataFrame, name: str = "the lines") -> DataFrame:
     splits, of which there are few. No blank line is lost, because blank lines
     end a report block. Raises ValueError if a quote is still open at the end.
     """
-    opens, stays = ~F.col("line").rlike(_CLOSED), ~F.col("line").rlike(_CLOSED_AFTER_OPEN)
+    opens, stays = ~F.col("line").rlike(CLOSED_LINE), ~F.col("line").rlike(_CLOSED_AFTER_OPEN)
     lines = source.select("block", "line_no", "line", opens.alias("opens"), stays.alias("stays"))
     if lines.where("opens").isEmpty():
         return lines.select("block", "line_no", F.col("line").alias("record"))

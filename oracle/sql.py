@@ -652,6 +652,20 @@ _RESULTS = {
       WHERE sku_id NOT IN (SELECT sku_id FROM bridge)""",
     "exists_in": """SELECT note_id, sku_id, va_number,
       va_number IN (SELECT va_number FROM external) AS exists_in_external FROM bridge""",
+    "exists_in_with_null": """SELECT note_id, sku_id, va_number,
+      va_number IN (SELECT nullif(va_number, 'VA-1') FROM external) AS exists_in_external
+      FROM bridge""",
+    "unread_cells": f"""SELECT 'va_txn' AS feed,
+        count(*) FILTER (amount_text IS NOT NULL AND {_number("amount_text")} IS NULL) AS amounts,
+        count(*) FILTER (date_text IS NOT NULL AND {_day("date_text")} IS NULL) AS dates
+      FROM ledger_text
+      UNION ALL
+      SELECT 'external_accounts', count(*) FILTER (amount IS NOT NULL AND {_number("amount")} IS NULL),
+        count(*) FILTER (created IS NOT NULL AND {_day("created")} IS NULL) FROM external_text""",
+    "add_rules": """SELECT raw_pattern, category_code, is_regex, priority FROM rules
+      UNION ALL SELECT 'brand#10', 'brand', true, 5
+      UNION ALL SELECT DISTINCT lower(p_brand), 'brand', false, 90 FROM part
+      WHERE p_brand <> 'Brand#10'""",
     "chain_status": """SELECT (SELECT count(*) FROM bridge) AS map_rows,
       (SELECT count(*) FROM external) AS external_rows, (SELECT count(*) FROM sales) AS sales_rows,
       (SELECT count(*) FROM txn WHERE category_code = 'merchant_repayment') AS inflow_rows,

@@ -120,3 +120,20 @@ def test_mapping_file_guard(spark, tmp_path):
     assert feeds.load_mapping_file(spark, _write(tmp_path / "b.csv", "note_id,sku_id,va_number\n,S,V\n")).count() == 1
     with pytest.raises(FileNotFoundError):
         feeds.load_mapping_file(spark, str(tmp_path / "c.csv"))
+
+
+def test_feeds_of_several_files(spark, tmp_path):
+    """A directory or a glob: every file, each by its own header. A pattern: the first, with a warning."""
+    head = "merchant,sku,total inflow,proceeds,l2e\n"
+    (tmp_path / "parts").mkdir()
+    _write(tmp_path / "parts/a.csv", head + 'm,S1,1,2,12" pipe\nm,S2,1,2,3\n')
+    _write(tmp_path / "parts/b.csv", "sku,merchant,proceeds,total inflow,l2e\nS3,m,2,1,3\n")
+    for path in (f"{tmp_path}/parts", f"{tmp_path}/parts/*.csv"):
+        assert feeds.find_feed(spark, str(tmp_path), "x*", path) == path
+        df = feeds.read_feed(spark, path, SALES)
+        assert rows(df, "sku_id", "total_funds_inflow", "sales_proceeds") == [("S1", "1", "2"), ("S2", "1", "2"), ("S3", "1", "2")]
+    assert not feeds.has_quoted_newlines(spark, f"{tmp_path}/parts/a.csv")
+    with pytest.warns(UserWarning, match="b.csv"):
+        assert feeds.find_feed(spark, f"{tmp_path}/parts", "*.csv").endswith("a.csv")
+    with pytest.raises(FileNotFoundError):
+        feeds.find_feed(spark, str(tmp_path), "x*", "nothing/*.csv")
