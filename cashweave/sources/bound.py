@@ -18,6 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cashweave.functions.names import merchant_key, merchant_norm
 from cashweave.operators.typed import REPAYMENT_MEASURES
 
+# Tables whose rows are turned into text and parsed again, and up to which size
+# they are dealt out.
+_ROW_TABLES = ("lineitem",)
+SPREAD_BYTES = 64 << 20
+
 # Parts per supplier in the generated tables.
 _PARTS_PER_MERCHANT = 20
 
@@ -56,9 +61,22 @@ class Bound:
     def table(self, name: str) -> DataFrame:
         """A table, opened once."""
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+            self._read[name] = self._open(name)
         return self._read[name]
 
+    def _open(self, name: str) -> DataFrame:
+        """A table as it is split; one of a few MB in a single piece is dealt to all cores.
+
+        Each of its rows is rendered as text and parsed again, which one core
+        would otherwise do alone. Beyond ``SPREAD_BYTES`` files have splits.
+        """
+        table = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        if name in _ROW_TABLES and size <= SPREAD_BYTES and table.rdd.getNumPartitions() < cores:
+            return table.repartition(cores, "l_orderkey", "l_partkey")
+        return table
+
     @cached_property
     def merchant(self) -> DataFrame:
         name = F.col("s_name")
