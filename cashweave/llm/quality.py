@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashweave.llm.base import slices, staged, table, unnamed
+from cashweave.llm.base import hashed_sample, slices, staged, table, unnamed
 from cashweave.llm.tokens import SPACE, mix, spans, window_hashes, word_hashes
 
 SAMPLE = 20_000
@@ -224,7 +224,9 @@ def as_expression(rules: list[list[Condition]]) -> Column:
 def decide(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, list[list[Condition]]]:
     """stats with `verdict` (true: good), and the rules. labels: doc_id and quality (1: good)."""
     labelled = stats.join(unnamed(labels, "doc_id", "quality").where("quality is not null"), "doc_id")
-    rows = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *COUNTS).limit(sample).select(*[feature(n).alias(n) for n in FEATURES], "quality").toPandas()
+    taken = hashed_sample(labelled.select("doc_id", *[feature(n).alias(n) for n in FEATURES], "quality"), "doc_id", sample)
+    rows = taken.toPandas().sort_values(["doc_id", "quality", *FEATURES])
+    rows = rows.sample(frac=1, random_state=0)  # thirds of the rows are then alike, in any run
     values = {n: rows[n].to_numpy(float) for n in FEATURES}
     rules = learn(values, rows["quality"].to_numpy() == 0) if len(rows) else []
     return stats.withColumn("verdict", as_expression(rules)), rules

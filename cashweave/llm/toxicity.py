@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashweave.llm.base import fold, slices, table, unnamed
+from cashweave.llm.base import fold, hashed_sample, slices, table, unnamed
 
 WORDS = 1
 SAMPLE = 3000
@@ -174,7 +174,7 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, most_bytes: i
     marked = unnamed(labels, "doc_id", "toxic").where("toxic is not null").distinct()
     rows: list[tuple[int, str, int]] = []
     for label in (1, 0):
-        ids = marked.where(F.col("toxic") == label).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        ids = hashed_sample(marked.where(F.col("toxic") == label).select("doc_id"), "doc_id", most)
         texts = unnamed(docs, "doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
         taken = 0
         for row in texts.limit(most).toLocalIterator():
