@@ -44,6 +44,7 @@ PAIRWISE = 4096
 #: For similarity: lanes, and shingles sampled for a lane's fingerprint.
 LANES = 16
 LANE_SHINGLES = 3
+SAME_LANES = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -262,8 +263,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def _shingle_sets(hashes: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
+    for d in range(len(first) - 1):
+        yield np.unique(hashes[first[d] : first[d + 1]])
+
+
 def _lane_batches(words: int, lanes: int, sample: int):
-    """For every text its distinct shingles, and for every lane the fingerprint of a sample of them.
+    """For every text and lane the fingerprint of a sample of the text's distinct shingles.
 
     A lane orders shingles its own way and takes the first few, so texts with similarity
     s share a lane's sample with probability s**sample.
@@ -273,29 +279,38 @@ def _lane_batches(words: int, lanes: int, sample: int):
         lane_salt = mix(np.arange(1, lanes + 1, dtype=np.uint64))
         for batch in batches:
             for lo, hi, data, at in slices(batch.column(1)):
-                hashes, first = shingle_hashes(data, at, words)
-                out_lanes, out_sets = [], []
-                for d in range(hi - lo):
-                    own = np.unique(hashes[first[d] : first[d + 1]])
-                    out_sets.append(own.tobytes())
+                out = []
+                for own in _shingle_sets(*shingle_hashes(data, at, words)):
                     if not len(own):
-                        out_lanes.append([0] * lanes)
+                        out.append([0] * lanes)
                         continue
                     ranked = mix(own[None, :] ^ lane_salt[:, None])
                     k = min(sample, len(own))
                     chosen = np.argpartition(ranked, k - 1, axis=1)[:, :k] if k < len(own) else np.broadcast_to(np.arange(k), (lanes, k))
-                    out_lanes.append(majority(own[chosen].reshape(-1), np.arange(0, lanes * k + 1, k)).view(np.int64).tolist())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out_lanes, pa.list_(pa.int64())), pa.array(out_sets, pa.binary())], names=["doc_id", "lanes", "shingles"])
+                    out.append(majority(own[chosen].reshape(-1), np.arange(0, lanes * k + 1, k)).view(np.int64).tolist())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "lanes"])
 
     return prints
 
 
+def _set_batches(words: int):
+    """For every text its distinct shingles, as sorted 32-bit hashes."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, at in slices(batch.column(1)):
+                out = [np.unique(own.astype(np.uint32)).tobytes() for own in _shingle_sets(*shingle_hashes(data, at, words))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.binary())], names=["doc_id", "shingles"])
+
+    return sets
+
+
 def _similar(least: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if both >= least * (len(x) + len(y) - both):
                     keep.append(i)
@@ -305,31 +320,36 @@ def _similar(least: float):
 
 
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = LANES, sample: int = LANE_SHINGLES) -> DataFrame:
-    """(doc_id, component_id) of documents that are copies, or linked by shingle similarity; others are left out.
+    """(doc_id, component_id) of every id: documents that are copies, or linked by shingle similarity.
 
     A fingerprint within 3 bits means a similarity far above 0.8, so this search takes one
     fingerprint for each of several lanes, each over a small sample of the shingles, and
-    links those that agree in all bytes. Texts that share a lane's fingerprint form a list;
-    each is compared with the least id of its list and with the one before it, by the exact
-    similarity of their shingle sets. A pair of similarity 0.8 is missed by all 16 lanes once
-    in 10**5.
+    lists texts that agree in all bytes of a lane. In a list each text is paired with the
+    least id and with the one before it. The lanes in which a pair agrees are tallied, and
+    pairs with SAME_LANES of them are verified by the similarity of their shingle sets. Two
+    texts of similarity 0.8 agree in fewer lanes once in 5,000.
     """
     source = unnamed(docs, "doc_id", "text").where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
     text = F.coalesce("text", F.lit(""))
     copies = staged(source.select("doc_id", F.xxhash64(text).alias("h"), F.crc32(text).alias("c")), "copies")
     least = staged(copies.groupBy("h", "c").agg(F.min("doc_id").alias("least")), "least")
-    first = source.join(least.select(F.col("least").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id", "left_semi")
-    marked = staged(first.mapInArrow(_lane_batches(words, lanes, sample), "doc_id long, lanes array<long>, shingles binary"), "lanes")
+    # Of copies the first takes part. Lanes are few bytes: texts themselves are not shuffled here.
+    marked = source.mapInArrow(_lane_batches(words, lanes, sample), "doc_id long, lanes array<long>")
+    marked = staged(marked.join(least.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi"), "lanes")
     listed = marked.select("doc_id", F.posexplode("lanes").alias("lane", "print"))
-    heads = listed.groupBy("lane", "print").agg(F.min("doc_id").alias("b"), F.count("*").alias("n")).where("n > 1")
-    pair = listed.join(heads.select("lane", "print", "b"), ["lane", "print"])
+    heads = listed.groupBy("lane", "print").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1")
     # Long lists are ordered in parts: all their members meet the least id, and a neighbour of their part.
     part = F.pmod(F.xxhash64("doc_id"), F.lit(64))
     before = F.lag("doc_id").over(Window.partitionBy("lane", "print", "part").orderBy("doc_id"))
-    pairs = pair.withColumn("part", part).withColumn("before", before).select(F.explode(F.array("b", "before")).alias("a"), F.col("doc_id").alias("b")).where("a < b").distinct()
-    sets = marked.select("doc_id", "shingles")
-    met = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    edges = met.mapInArrow(_similar(similarity), "a long, b long")
+    met = listed.join(heads.select("lane", "print", "head"), ["lane", "print"]).withColumn("part", part).withColumn("before", before)
+    pairs = met.select(F.explode(F.array("head", "before")).alias("a"), F.col("doc_id").alias("b")).where("a < b").distinct()
+    side = {n: marked.select(F.col("doc_id").alias(n), F.col("lanes").alias(f"l{n}")) for n in "ab"}
+    agree = F.size(F.filter(F.zip_with("la", "lb", lambda x, y: x == y), lambda same: same))
+    tallied = staged(pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= min(SAME_LANES, lanes)).select("a", "b").distinct(), "pairs")
+    wanted = tallied.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = staged(source.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_batches(words), "doc_id long, shingles binary"), "sets")
+    both = tallied.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    edges = both.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long")
     roots = components(edges)
     # Copies carry their first document's component.
     joined = copies.join(least, ["h", "c"]).join(roots.withColumnRenamed("node", "least"), "least", "left")

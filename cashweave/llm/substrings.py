@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from cashweave.llm.base import planes, slices, table, unnamed, unplanes
 from cashweave.llm.tokens import spans, window_hashes, word_hashes
 
-BATCH_WINDOWS = 1 << 20
-BUCKET_WINDOWS = 1 << 22
+BATCH_WINDOWS = 1 << 19
+BUCKET_WINDOWS = 1 << 21
 HASH_BYTES = 7
 _PACKED = "bucket int, hashes binary, docs binary, twins binary, places binary"
 _MARKS = "bucket int, docs binary, twins binary, places binary"
