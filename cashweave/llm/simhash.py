@@ -45,6 +45,8 @@ PAIRWISE = 4096
 LANES = 16
 LANE_SHINGLES = 3
 SAME_LANES = 2
+#: Members of a list that meet all others in its second round, and the factor for each round after it.
+FIRST_HEADS, MORE_HEADS = 64, 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -319,15 +321,30 @@ def _similar(least: float):
     return verify
 
 
+def _verified(pairs: DataFrame, marked: DataFrame, sets: DataFrame, similarity: float, lanes: int) -> DataFrame:
+    """(a, b) of those pairs (h, m) that agree in enough lanes and are similar."""
+    pairs = pairs.where("h <> m").select(F.least("h", "m").alias("a"), F.greatest("h", "m").alias("b")).distinct()
+    side = {n: marked.select(F.col("doc_id").alias(n), F.col("lanes").alias(f"l{n}")) for n in "ab"}
+    agree = F.size(F.filter(F.zip_with("la", "lb", lambda x, y: x == y), lambda same: same))
+    tallied = staged(pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= min(SAME_LANES, lanes)).select("a", "b"), "pairs")
+    both = tallied.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+    return staged(both.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long"), "verified")
+
+
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = LANES, sample: int = LANE_SHINGLES) -> DataFrame:
     """(doc_id, component_id) of every id: documents that are copies, or linked by shingle similarity.
 
     A fingerprint within 3 bits means a similarity far above 0.8, so this search takes one
     fingerprint for each of several lanes, each over a small sample of the shingles, and
-    lists texts that agree in all bytes of a lane. In a list each text is paired with the
-    least id and with the one before it. The lanes in which a pair agrees are tallied, and
-    pairs with SAME_LANES of them are verified by the similarity of their shingle sets. Two
-    texts of similarity 0.8 agree in fewer lanes once in 5,000.
+    lists texts that agree in all bytes of a lane. The lanes in which a pair agrees are
+    tallied, and pairs with SAME_LANES of them are verified by the similarity of their
+    shingle sets. Two texts of similarity 0.8 agree in fewer lanes once in 5,000.
+
+    In a list each text is first paired with the least id, with the member that is in the
+    longest lists, and with the one before it. Lists whose members are one component then
+    are done with. In the others more and more members meet all those of other components,
+    until every member has: no pair that agrees in SAME_LANES lanes is left untested unless
+    its texts are linked already.
     """
     source = unnamed(docs, "doc_id", "text").where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
     text = F.coalesce("text", F.lit(""))
@@ -337,20 +354,35 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lan
     marked = source.mapInArrow(_lane_batches(words, lanes, sample), "doc_id long, lanes array<long>")
     marked = staged(marked.join(least.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi"), "lanes")
     listed = marked.select("doc_id", F.posexplode("lanes").alias("lane", "print"))
-    heads = listed.groupBy("lane", "print").agg(F.min("doc_id").alias("head"), F.count("*").alias("n")).where("n > 1")
-    # Long lists are ordered in parts: all their members meet the least id, and a neighbour of their part.
+    counts = listed.groupBy("lane", "print").agg(F.count("*").alias("n")).where("n > 1")
+    members = staged(listed.join(counts, ["lane", "print"]), "members")
+    # A text that most others are edited copies of is in the longest lists: it is tried first.
+    scored = members.groupBy("doc_id").agg(F.sum("n").alias("score"), F.count("*").alias("lists")).where(F.col("lists") >= min(SAME_LANES, lanes))
+    members = staged(members.join(scored.select("doc_id", "score"), "doc_id"), "scored")
+    sets = staged(source.join(scored.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_batches(words), "doc_id long, shingles binary"), "sets")
+    first = members.groupBy("lane", "print").agg(F.min("doc_id").alias("least"), F.max(F.struct("score", "doc_id")).alias("top"))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(64))
     before = F.lag("doc_id").over(Window.partitionBy("lane", "print", "part").orderBy("doc_id"))
-    met = listed.join(heads.select("lane", "print", "head"), ["lane", "print"]).withColumn("part", part).withColumn("before", before)
-    pairs = met.select(F.explode(F.array("head", "before")).alias("a"), F.col("doc_id").alias("b")).where("a < b").distinct()
-    side = {n: marked.select(F.col("doc_id").alias(n), F.col("lanes").alias(f"l{n}")) for n in "ab"}
-    agree = F.size(F.filter(F.zip_with("la", "lb", lambda x, y: x == y), lambda same: same))
-    tallied = staged(pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= min(SAME_LANES, lanes)).select("a", "b").distinct(), "pairs")
-    wanted = tallied.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = staged(source.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_batches(words), "doc_id long, shingles binary"), "sets")
-    both = tallied.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    edges = both.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long")
-    roots = components(edges)
+    met = members.join(first.select("lane", "print", "least", F.col("top.doc_id").alias("top")), ["lane", "print"]).withColumn("part", part).withColumn("before", before)
+    pairs = met.select(F.explode(F.array("least", "top", "before")).alias("h"), F.col("doc_id").alias("m"))
+    roots, heads = None, 1
+    while True:
+        edges = _verified(pairs, marked, sets, similarity, lanes)
+        known = edges if roots is None else edges.union(roots.select("node", "root"))
+        roots = staged(components(known), "roots")
+        # Lists whose members are one component are done with.
+        labelled = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("lane", "print", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+        apart = labelled.groupBy("lane", "print").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
+        active = staged(labelled.join(apart.select("lane", "print", "n"), ["lane", "print"]), "active")
+        longest = active.agg(F.max("n").alias("n")).first()["n"] or 0
+        if heads >= longest:
+            break
+        heads = FIRST_HEADS if heads == 1 else heads * MORE_HEADS
+        # So many members of a list, by hash, meet all members of other components; at last all do.
+        hashed = F.pmod(F.xxhash64("doc_id", "lane"), F.lit(1 << 31))
+        chosen = active.where((F.col("n") <= heads) | (hashed * F.col("n") < F.lit(heads) * F.lit(1 << 31)))
+        other = active.select("lane", "print", F.col("doc_id").alias("m"), F.col("root").alias("other"))
+        pairs = chosen.withColumnRenamed("doc_id", "h").join(other, ["lane", "print"]).where("root <> other").select("h", "m")
     # Copies carry their first document's component.
     joined = copies.join(least, ["h", "c"]).join(roots.withColumnRenamed("node", "least"), "least", "left")
     return joined.select("doc_id", F.coalesce("root", "least").alias("component_id"))

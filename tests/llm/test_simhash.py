@@ -97,3 +97,24 @@ def test_groups_by_similarity(spark, small):
     roots = components(rows, near)
     want = {i: rows[r][0] for (i, _), r in zip(rows, roots, strict=True)}
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(small).collect()} == want
+
+
+@pytest.mark.parametrize("first", [simhash.FIRST_HEADS, 2])
+def test_edited_copies_around_a_middle_id(spark, monkeypatch, first):
+    """Copies are similar to their original (0.82) but not to each other (0.69)."""
+    monkeypatch.setattr(simhash, "FIRST_HEADS", first)
+    rng = np.random.default_rng(3)
+    rows = []
+    for group in range(3):
+        base = [f"w{group}x{i}" for i in range(600)]
+        for copy in range(100):
+            own = list(base)
+            for place in rng.choice(120, 12, replace=False) if copy != 50 else []:  # an edit costs five shingles of its own
+                own[place * 5 + 2] = f"e{group}x{copy}x{place}"
+            rows.append((group * 100 + copy, " ".join(own)))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    roots = components(rows, near)
+    assert set(roots) == {0, 100, 200}
+    found = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == dict(enumerate(roots))
