@@ -10,13 +10,21 @@ passages by cosine. Candidates are checked by the longest common subsequence of
 and by whether the item's answer (its last sentence) is there too, so that paraphrases
 count which keep most words in order.
 
+Retrieval by cosine can miss a leak: a short item in a long window, an item whose rare
+words the basis spans badly. So texts are searched in a second way that follows from the
+check itself. A leak has `need` of the item's n words, so of its n - need + RARE rarest
+words it has RARE at least, within a stretch of twice the item. Every such place is
+checked; no leak within one and a half times the item's length is lost, whatever the
+size of the benchmark.
+
 Before folding in, a passage is tested by a bound: its cosine with anything cannot
 exceed the share of its norm that lies in cells of the benchmark. Most passages end
 there, without error.
 
 The corpus is read twice and never shuffled: what moves are tables of frequencies (one
-of fixed size for a task) and the candidates. The benchmark is taken in blocks of
-`BLOCK_ITEMS` items, so a larger one costs further passes and no more memory.
+of fixed size for a task) and the candidates. A pass takes some
+`BLOCK_ITEMS` items, so a larger benchmark costs further passes and no more memory. A
+pass searches blocks of some BLOCK_PASSAGES passages, each with a basis of its own.
 
 Defined cases: a null or empty text, or item, is never a leak; an item of fewer than
 LEAST_WORDS words is not searched for; rows with null ids are judged like others;
@@ -43,7 +51,11 @@ RANGES = 16
 WINDOW, STRIDE = 32, 16
 ITEM_WINDOW, ITEM_STRIDE = 64, 32
 RANK, SPARE, ENERGY = 256, 16, 0.95
+#: Items of a pass over the corpus. Its blocks have so few passages that the sketch covers their whole range.
 BLOCK_ITEMS = 1000
+BLOCK_PASSAGES = 192
+#: Words of an item's rarest that must be near each other in a text, beyond those that a leak may lack.
+RARE = 3
 #: A block is small: few tasks multiply it, so that few partial sums of rank by rank meet.
 ITEM_TASKS = 4
 LEAST_WORDS = 8
@@ -245,11 +257,96 @@ def _candidates(own: np.ndarray, first: np.ndarray, row_of: np.ndarray, scaled:
             yield int(text[n]), int(i), int(start[n]), int(end[n]), float(cosines[w, i])
 
 
-def _search(items: list[Item], cells: np.ndarray, basis: np.ndarray, owners: np.ndarray, latent: np.ndarray, idf: np.ndarray):
-    """Leaks of texts (doc_id, text). latent: unit rows of the items' passages; owners: their items' places."""
+@dataclass(frozen=True)
+class Block:
+    """Items of one basis. latent: unit rows of their passages; owners: the items' places."""
+
+    items: list[Item]
+    cells: np.ndarray
+    basis: np.ndarray
+    owners: np.ndarray
+    latent: np.ndarray
+
+
+@dataclass(frozen=True)
+class Rare:
+    """The rarest words of all items: by cell, the items (places in `items`) that have it among them."""
+
+    row_of: np.ndarray
+    first: np.ndarray
+    owners: np.ndarray
+    needed: np.ndarray
+    reach: np.ndarray
+
+
+def rarest(items: list[Item], idf: np.ndarray) -> Rare:
+    pairs, needed = [], []
+    for n, item in enumerate(items):
+        data = b" ".join(item.words)
+        own, _ = _cells(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        need = int(np.ceil((WITH_ANSWER if item.answer else VERBATIM) * len(own) - 1e-9))
+        least = min(RARE, need)
+        few = np.unique(own[np.argsort(-idf[own], kind="stable")[: len(own) - need + least]])
+        pairs.append(np.stack([few, np.full(len(few), n)]))
+        needed.append(least)
+    cells, owners = np.concatenate(pairs, axis=1)
+    order = np.argsort(cells, kind="stable")
+    known, first = np.unique(cells[order], return_index=True)
     row_of = np.full(CELLS, -1, np.int32)
-    row_of[cells] = np.arange(len(cells))
-    scaled = basis * idf[cells][:, None]
+    row_of[known] = np.arange(len(known))
+    return Rare(row_of, np.append(first, len(order)), owners[order], np.array(needed), np.array([max(2 * len(i.words), 16) for i in items]))
+
+
+def _rare_places(own: np.ndarray, first: np.ndarray, rare: Rare) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first word, end) of places with enough of an item's rarest words, in order."""
+    row = rare.row_of[own]
+    at = np.flatnonzero(row >= 0)
+    times = rare.first[row[at] + 1] - rare.first[row[at]]
+    word = np.repeat(at, times)
+    nth = np.arange(len(word)) - np.repeat(np.cumsum(times) - times, times)
+    item = rare.owners[rare.first[row[word]] + nth]
+    text = np.searchsorted(first, word, "right") - 1
+    order = np.lexsort((word, item, text))
+    word, item, text = word[order], item[order], text[order]
+    last = np.arange(len(word)) + rare.needed[item] - 1
+    inside = np.minimum(last, max(0, len(word) - 1))
+    near = np.flatnonzero((last < len(word)) & (text[inside] == text) & (item[inside] == item) & (word[inside] - word < rare.reach[item]))
+    held: list[int] = []
+    for t, i, begin, end in zip(text[near].tolist(), item[near].tolist(), word[near].tolist(), (word[inside[near]] + 1).tolist(), strict=True):
+        # A leak may go on to both sides of these words. Overlapping places are one.
+        wide = int(rare.reach[i]) // 2
+        begin, end = max(begin - wide, int(first[t])), min(end + wide, int(first[t + 1]))
+        if held and held[:2] == [t, i] and begin <= held[3]:
+            held[3] = end
+            continue
+        if held:
+            yield tuple(held)
+        held = [t, i, begin, end]
+    if held:
+        yield tuple(held)
+
+
+def _search(blocks: list[Block], idf: np.ndarray):
+    """Leaks of texts (doc_id, text)."""
+    rows, scaled = [], []
+    for block in blocks:
+        row_of = np.full(CELLS, -1, np.int32)
+        row_of[block.cells] = np.arange(len(block.cells))
+        rows.append(row_of)
+        scaled.append(block.basis * idf[block.cells][:, None])
+    items = [i for block in blocks for i in block.items]
+    base = np.cumsum([0, *(len(block.items) for block in blocks)])
+    rare = rarest(items, idf)
+
+    def cosine_of(own: np.ndarray, i: int) -> float:
+        """The best cosine of a place with the item's passages."""
+        b = int(np.searchsorted(base, i, "right")) - 1
+        row = rows[b][own]
+        mine = blocks[b].latent[blocks[b].owners == i - base[b]]
+        if not len(mine):
+            return 0.0
+        norm = np.sqrt((idf[own].astype(np.float64) ** 2).sum())
+        return float((mine @ scaled[b][row[row >= 0]].sum(axis=0)).max() / norm)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,29 +355,46 @@ def _search(items: list[Item], cells: np.ndarray, basis: np.ndarray, owners: np.
                 own, first = _cells(data, at)
                 if not len(own):
                     continue
+                split = _Words(data, at)
                 best: dict[tuple[int, int], tuple[float, int, int]] = {}
-                for t, i, begin, stop, cosine in _candidates(own, first, row_of, scaled, latent, idf):
-                    key = t, int(owners[i])
-                    if key in best:  # overlapping windows of one passage are judged together
-                        high, b, e = best[key]
-                        if begin <= e:
-                            best[key] = max(high, cosine), b, max(e, stop)
-                            continue
-                        found += _verdict(batch, lo, key, best[key], data, at, first, items)
-                    best[key] = cosine, begin, stop
+                for n, block in enumerate(blocks):
+                    for t, i, begin, stop, cosine in _candidates(own, first, rows[n], scaled[n], block.latent, idf):
+                        key = t, int(base[n] + block.owners[i])
+                        if key in best:  # overlapping windows of one passage are judged together
+                            high, b, e = best[key]
+                            if begin <= e:
+                                best[key] = max(high, cosine), b, max(e, stop)
+                                continue
+                            found += _verdict(batch, lo, key, best[key], split, first, items)
+                        best[key] = cosine, begin, stop
                 for key, value in best.items():
-                    found += _verdict(batch, lo, key, value, data, at, first, items)
+                    found += _verdict(batch, lo, key, value, split, first, items)
+                for t, i, begin, stop in _rare_places(own, first, rare):
+                    for doc, item, _, *rest in _verdict(batch, lo, (t, i), (0.0, begin, stop), split, first, items):
+                        found.append((doc, item, cosine_of(own[begin:stop], i), *rest))
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()))], names=["doc_id", "item_id", "cosine", "in_order", "answer"])
 
     return search
 
 
-def _verdict(batch, lo, key, value, data, at, first, items) -> list[tuple]:
+class _Words:
+    """The words of a slice's texts; the text asked for last is kept."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray):
+        self.data, self.at, self.text, self.words = data, at, -1, []
+
+    def of(self, t: int) -> list[bytes]:
+        if t != self.text:
+            self.text, self.words = t, self.data[self.at[t] : self.at[t + 1]].tobytes().split()
+        return self.words
+
+
+def _verdict(batch, lo, key, value, split, first, items) -> list[tuple]:
     """The pair as a row if it is a leak. Words around the passage are looked at too."""
     (t, i), (cosine, begin, end) = key, value
     item = items[i]
     margin = len(item.words)
-    words = data[at[t] : at[t + 1]].tobytes().split()
+    words = split.of(t)
     near = words[max(0, begin - first[t] - margin) : end - first[t] + margin]
     there = set(near)
     # The words there at all bound those there in order.
@@ -292,40 +406,50 @@ def _verdict(batch, lo, key, value, data, at, first, items) -> list[tuple]:
     return [(batch.column(0)[lo + t].as_py(), item.item_id, cosine, best[0], best[1])] if best[2] else []
 
 
+def _block(mine: DataFrame, idf: np.ndarray, rank: int) -> Block | None:
+    """A block of the items (item_id, text) of mine; None without any to search for."""
+    mine = mine.coalesce(ITEM_TASKS)
+    rows = mine.orderBy("item_id", "text").collect()  # a block's worth
+    items = [i for i in (as_item(r["item_id"], r["text"]) for r in rows) if len(i.words) >= LEAST_WORDS]
+    if not items:
+        return None
+    cells, basis = latent_basis(mine.where(F.size(F.split(F.trim("text"), r"\s+")) >= LEAST_WORDS), idf, rank)
+    place = {c: n for n, c in enumerate(cells.tolist())}
+    latent, owners = [], []
+    for n, item in enumerate(items):
+        data, at = np.frombuffer(b" ".join(item.words), np.uint8), np.array([0, len(b" ".join(item.words))])
+        own, first = _cells(data, at)
+        _, start, end = window_starts(first, ITEM_WINDOW, ITEM_STRIDE)
+        for a, b in zip(start.tolist(), end.tolist(), strict=True):
+            rows_ = [place[c] for c in own[a:b].tolist() if c in place]
+            vector = (basis[rows_] * idf[cells[rows_]][:, None]).sum(axis=0)
+            size = np.linalg.norm(vector)
+            if size > 0:
+                latent.append(vector / size)
+                owners.append(n)
+    return Block(items, cells, basis, np.array(owners, np.int64), np.array(latent, np.float32).reshape(len(latent), basis.shape[1]))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """(doc_id, item_id, cosine, in_order, answer) of every text that has an item of the benchmark."""
     schema = "doc_id long, item_id long, cosine double, in_order double, answer boolean"
     source = unnamed(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
     listed = unnamed(benchmark, "item_id", "text").withColumn("item_id", F.col("item_id").cast("long")).withColumn("text", F.lower("text")).where("text is not null").distinct()
     idf = weights(source)
-    count = listed.count()
-    blocks = max(1, -(-count // BLOCK_ITEMS))
+    words = F.size(F.split(F.trim("text"), r"\s+"))
+    passages = F.greatest(F.lit(1), 1 + F.ceil((words - ITEM_WINDOW) / ITEM_STRIDE))
+    sized = listed.agg(F.count("*").alias("items"), F.sum(passages).alias("passages")).first()
+    passes = max(1, -(-sized["items"] // BLOCK_ITEMS))
+    # One block if the sketch covers it; otherwise blocks are smaller, as hashes do not deal evenly.
+    each = max(1, -(-(sized["passages"] or 0) // (BLOCK_PASSAGES * passes))) if (sized["passages"] or 0) > RANK else 1
+    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes * each))
     out = None
-    for block in range(blocks):
-        mine = listed.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else listed
-        mine = mine.coalesce(ITEM_TASKS)
-        rows = mine.orderBy("item_id", "text").collect()  # a block's worth
-        items = [i for i in (as_item(r["item_id"], r["text"]) for r in rows) if len(i.words) >= LEAST_WORDS]
-        if not items:
-            continue
-        cells, basis = latent_basis(mine.where(F.size(F.split(F.trim("text"), r"\s+")) >= LEAST_WORDS), idf, rank)
-        place = {c: n for n, c in enumerate(cells.tolist())}
-        latent, owners = [], []
-        for n, item in enumerate(items):
-            data, at = np.frombuffer(b" ".join(item.words), np.uint8), np.array([0, len(b" ".join(item.words))])
-            own, first = _cells(data, at)
-            _, start, end = window_starts(first, ITEM_WINDOW, ITEM_STRIDE)
-            for a, b in zip(start.tolist(), end.tolist(), strict=True):
-                rows_ = [place[c] for c in own[a:b].tolist() if c in place]
-                vector = (basis[rows_] * idf[cells[rows_]][:, None]).sum(axis=0)
-                size = np.linalg.norm(vector)
-                if size > 0:
-                    latent.append(vector / size)
-                    owners.append(n)
-        if not latent:
-            continue
-        found = source.mapInArrow(_search(items, cells, basis, np.array(owners), np.array(latent, np.float32), idf), schema)
-        out = found if out is None else out.union(found)
+    for n in range(passes):
+        blocks = [_block(listed.where(place == n * each + k) if passes * each > 1 else listed, idf, rank) for k in range(each)]
+        blocks = [b for b in blocks if b is not None]
+        if blocks:
+            found = source.mapInArrow(_search(blocks, idf), schema)
+            out = found if out is None else out.union(found)
     if out is None:
         return docs.sparkSession.createDataFrame([], schema)
     return out.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("in_order").alias("in_order"), F.max("answer").alias("answer"))

@@ -58,3 +58,29 @@ def test_odd_rows_and_empty(spark, odd, none):
     assert got == [(5, 4), (6, 4)]
     assert decontaminate.leaks(none, items).collect() == []
     assert decontaminate.leaks(odd, items.limit(0)).collect() == []
+
+
+def _random_items(rng, number, low=15, high=59):
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 4)))
+    vocabulary = [word() for _ in range(4000)]
+    common = vocabulary[:40]
+    text = lambda n: [rng.choice(common) if rng.random() < 0.4 else rng.choice(vocabulary) for _ in range(n)]
+    return text, [(i, text(rng.randint(low, high))) for i in range(number)]
+
+
+@pytest.mark.parametrize("number", [1000, 3000])
+def test_large_benchmarks_lose_nothing(spark, number):
+    """Verbatim and edited items (one word in five changed) of large benchmarks are all found."""
+    rng = random.Random(number)
+    text, items = _random_items(rng, number)
+    docs, want = [], set()
+    for d in range(300):
+        i, words = items[rng.randrange(number)]
+        if d % 2:
+            words = [w if k % 5 else "changed" + w for k, w in enumerate(words, 1)]
+        docs.append((d, " ".join(text(rng.randint(0, 200)) + words + text(rng.randint(0, 200)))))
+        want.add((d, i))
+    listed = [(i, " ".join(w)) for i, w in items]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(listed, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert not want - got
