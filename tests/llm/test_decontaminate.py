@@ -84,3 +84,25 @@ def test_large_benchmarks_lose_nothing(spark, number):
     found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(listed, "item_id long, text string"))
     got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
     assert not want - got
+
+
+def test_every_leak_that_the_check_accepts_is_found(spark):
+    """Items of all lengths of which just enough is left: 0.75 of the words, or 0.6 with the answer."""
+    rng = random.Random(5)
+    text, items = _random_items(rng, 200, 8, 120)
+    items = [(i, " ".join(w[: len(w) * 2 // 3]) + ". " + " ".join(w[len(w) * 2 // 3 :])) for i, w in items]
+    docs, want = [], set()
+    for i, raw in items:
+        item = decontaminate.as_item(i, raw)
+        n, k = len(item.words), len(item.words) - len(item.answer)
+        if i % 2:  # the answer whole, and of the rest as few words as will do
+            kept = set(rng.sample(range(k), max(0, -(-6 * n // 10) - len(item.answer)))) | set(range(k, n))
+        else:
+            kept = set(rng.sample(range(n), -(-3 * n // 4)))
+        words = [w.decode() if p in kept else "changed" for p, w in enumerate(item.words)]
+        assert decontaminate.judge(item, [w.encode() for w in words])[2]
+        docs.append((i, " ".join(text(rng.randint(0, 200)) + words + text(rng.randint(0, 200)))))
+        want.add((i, i))
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert not want - got
