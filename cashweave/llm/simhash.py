@@ -45,6 +45,8 @@ PAIRWISE = 4096
 LANES = 16
 LANE_SHINGLES = 3
 SAME_LANES = 2
+#: A pair of texts of fewer distinct shingles each needs one lane only: samples are drawn without replacement.
+FEW_SHINGLES = 100
 #: Members of a list that meet all others in its second round, and the factor for each round after it.
 FIRST_HEADS, MORE_HEADS = 64, 16
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -281,8 +283,9 @@ def _lane_batches(words: int, lanes: int, sample: int):
         lane_salt = mix(np.arange(1, lanes + 1, dtype=np.uint64))
         for batch in batches:
             for lo, hi, data, at in slices(batch.column(1)):
-                out = []
+                out, few = [], []
                 for own in _shingle_sets(*shingle_hashes(data, at, words)):
+                    few.append(len(own) < FEW_SHINGLES)
                     if not len(own):
                         out.append([0] * lanes)
                         continue
@@ -290,7 +293,7 @@ def _lane_batches(words: int, lanes: int, sample: int):
                     k = min(sample, len(own))
                     chosen = np.argpartition(ranked, k - 1, axis=1)[:, :k] if k < len(own) else np.broadcast_to(np.arange(k), (lanes, k))
                     out.append(majority(own[chosen].reshape(-1), np.arange(0, lanes * k + 1, k)).view(np.int64).tolist())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "lanes"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.list_(pa.int64())), pa.array(few, pa.bool_())], names=["doc_id", "lanes", "few"])
 
     return prints
 
@@ -324,9 +327,10 @@ def _similar(least: float):
 def _verified(pairs: DataFrame, marked: DataFrame, sets: DataFrame, similarity: float, lanes: int) -> DataFrame:
     """(a, b) of those pairs (h, m) that agree in enough lanes and are similar."""
     pairs = pairs.where("h <> m").select(F.least("h", "m").alias("a"), F.greatest("h", "m").alias("b")).distinct()
-    side = {n: marked.select(F.col("doc_id").alias(n), F.col("lanes").alias(f"l{n}")) for n in "ab"}
+    side = {n: marked.select(F.col("doc_id").alias(n), F.col("lanes").alias(f"l{n}"), F.col("few").alias(f"f{n}")) for n in "ab"}
+    enough = F.when(F.col("fa") & F.col("fb"), 1).otherwise(min(SAME_LANES, lanes))
     agree = F.size(F.filter(F.zip_with("la", "lb", lambda x, y: x == y), lambda same: same))
-    tallied = staged(pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= min(SAME_LANES, lanes)).select("a", "b"), "pairs")
+    tallied = staged(pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= enough).select("a", "b"), "pairs")
     both = tallied.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
     return staged(both.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long"), "verified")
 
@@ -338,12 +342,14 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lan
     fingerprint for each of several lanes, each over a small sample of the shingles, and
     lists texts that agree in all bytes of a lane. The lanes in which a pair agrees are
     tallied, and pairs with SAME_LANES of them are verified by the similarity of their
-    shingle sets. Two texts of similarity 0.8 agree in fewer lanes once in 5,000.
+    shingle sets; one lane is enough if both have fewer than FEW_SHINGLES. Two texts of
+    similarity 0.8 agree in fewer lanes once in 5,000; of short ones, those that share 4 of
+    5 shingles once in 3,500 (0.6 ** 16), 8 of 10 once in 20,000.
 
     In a list each text is first paired with the least id, with the member that is in the
     longest lists, and with the one before it. Lists whose members are one component then
     are done with. In the others more and more members meet all those of other components,
-    until every member has: no pair that agrees in SAME_LANES lanes is left untested unless
+    until every member has: no pair that agrees in enough lanes is left untested unless
     its texts are linked already.
     """
     source = unnamed(docs, "doc_id", "text").where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -351,13 +357,13 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lan
     copies = staged(source.select("doc_id", F.xxhash64(text).alias("h"), F.crc32(text).alias("c")), "copies")
     least = staged(copies.groupBy("h", "c").agg(F.min("doc_id").alias("least")), "least")
     # Of copies the first takes part. Lanes are few bytes: texts themselves are not shuffled here.
-    marked = source.mapInArrow(_lane_batches(words, lanes, sample), "doc_id long, lanes array<long>")
+    marked = source.mapInArrow(_lane_batches(words, lanes, sample), "doc_id long, lanes array<long>, few boolean")
     marked = staged(marked.join(least.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi"), "lanes")
-    listed = marked.select("doc_id", F.posexplode("lanes").alias("lane", "print"))
+    listed = marked.select("doc_id", "few", F.posexplode("lanes").alias("lane", "print"))
     counts = listed.groupBy("lane", "print").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(listed.join(counts, ["lane", "print"]), "members")
     # A text that most others are edited copies of is in the longest lists: it is tried first.
-    scored = members.groupBy("doc_id").agg(F.sum("n").alias("score"), F.count("*").alias("lists")).where(F.col("lists") >= min(SAME_LANES, lanes))
+    scored = members.groupBy("doc_id").agg(F.sum("n").alias("score"), F.count("*").alias("lists"), F.max("few").alias("few")).where(F.col("few") | (F.col("lists") >= min(SAME_LANES, lanes)))
     members = staged(members.join(scored.select("doc_id", "score"), "doc_id"), "scored")
     sets = staged(source.join(scored.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_batches(words), "doc_id long, shingles binary"), "sets")
     first = members.groupBy("lane", "print").agg(F.min("doc_id").alias("least"), F.max(F.struct("score", "doc_id")).alias("top"))

@@ -118,3 +118,16 @@ def test_edited_copies_around_a_middle_id(spark, monkeypatch, first):
     assert set(roots) == {0, 100, 200}
     found = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == dict(enumerate(roots))
+
+
+def test_short_texts_need_one_lane(spark):
+    """Pairs that share 8 of 10 shingles: in two lanes, one in 1,600 would be missed."""
+    rng = np.random.default_rng(1)
+    words_of = lambda n: [f"v{x}" for x in rng.integers(0, 1 << 40, n)]
+    rows = []
+    for i in range(6000):  # 9 shingles; the second text has 8 of them and another
+        own = words_of(13)
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own[:12], "other"]))]
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    missed = sum(found[2 * i + 1] != 2 * i for i in range(6000))
+    assert missed <= 1
