@@ -60,3 +60,11 @@ def test_stages_on_odd_rows_and_none(spark, odd, none):
                 assert len(texts) == len(set(texts))
             if docs is none:
                 assert done == []
+
+
+def test_texts_of_one_id_go_or_stay_each_by_itself(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, c), (9, c), (8, c + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    done = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert sorted((r["doc_id"], r["text"]) for r in done.collect()) == [(1, a), (5, b), (8, c + " more")]
