@@ -7,7 +7,7 @@ they are); the difference in length is the window's distance. A text's score com
 from how many of its windows reach a threshold, by a calibrated logistic curve.
 
 Learning takes a bounded sample of labelled texts: for each label those whose ids hash
-lowest, `SAMPLE` of them and SAMPLE_BYTES at most. Half of it trains dictionaries: the
+lowest, `SAMPLE` of them and SAMPLE_BYTES at most; a very long one by its first part. Half of it trains dictionaries: the
 toxic one on windows that toxic texts have far more often than others. How many kinds
 of windows, and which threshold, is chosen on the other half, where the curve is
 fitted. All texts are scored whole.
@@ -40,6 +40,8 @@ from cashweave.llm.base import fold, hashed_sample, slices, table, unnamed
 WORDS = 1
 SAMPLE = 3000
 SAMPLE_BYTES = 24 << 20
+#: One text has at most this part of its label's bytes.
+LONGEST_SHARE = 16
 KINDS = (8, 16, 32, 64, 128, 512)
 THRESHOLDS = (1, 2, 3, 4, 5)
 LEVEL = 6
@@ -176,11 +178,13 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, most_bytes: i
     for label in (1, 0):
         ids = hashed_sample(marked.where(F.col("toxic") == label).select("doc_id"), "doc_id", most)
         texts = unnamed(docs, "doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+        # A very long text teaches by its first part, so that it leaves room for others.
+        texts = texts.limit(most).withColumn("text", F.left("text", F.lit(max(1, most_bytes // 2 // LONGEST_SHARE))))
         taken = 0
-        for row in texts.limit(most).toLocalIterator():
+        for row in texts.toLocalIterator():
+            if taken + len(row["text"]) > most_bytes // 2:
+                continue  # shorter ones may still fit
             taken += len(row["text"])
-            if taken > most_bytes // 2:
-                break
             rows.append((row["doc_id"], row["text"], label))
     return rows
 

@@ -52,3 +52,13 @@ def test_memory_does_not_change_distances():
     whole, tiny = toxicity.Distances(model.toxic, model.ordinary), toxicity.Distances(model.toxic, model.ordinary, memory=3)
     words = [w for _, t, _ in _rows() for w in toxicity.windows(t)] + [b"x" * 5000]
     assert [whole[w] for w in words] == [tiny[w] for w in words]
+
+
+def test_a_very_long_text_does_not_end_the_sample(spark):
+    texts = [(i, "bad words here " * (100_000 if i % 10 < 2 else 3), i % 2) for i in range(100)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, toxic int")
+    rows = toxicity.sample(docs, labels, most_bytes=100_000)
+    for label in (0, 1):
+        taken = [t for _, t, y in rows if y == label]
+        assert len(taken) >= 40 and sum(map(len, taken)) <= 50_000
