@@ -32,23 +32,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from cashweave.llm.base import slices, staged, table, unnamed
-from cashweave.llm.tokens import SPACE, mix, spans
+from cashweave.llm.tokens import SPACE, spans
 
 SEED = 42
 BITS = 3
 SMALL = 32
 PAIRWISE = 4096
-#: For similarity: lanes, and shingles sampled for a lane's fingerprint.
-LANES = 16
-LANE_SHINGLES = 3
-SAME_LANES = 2
-#: A pair of texts of fewer distinct shingles each needs one lane only: samples are drawn without replacement.
-FEW_SHINGLES = 100
-#: Members of a list that meet all others in its second round, and the factor for each round after it.
-FIRST_HEADS, MORE_HEADS = 64, 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -87,20 +79,25 @@ def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _print_batches(words: int):
+def _print_batches(words: int, kept: int):
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, at in slices(batch.column(1)):
+            for lo, hi, data, at in slices(batch.column(0)):
                 fingerprint = majority(*shingle_hashes(data, at, words))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(fingerprint.view(np.int64))], names=["doc_id", "fingerprint"])
+                own = batch.slice(lo, hi - lo)
+                names = [*own.schema.names[1 : kept + 1], "fingerprint"]
+                yield pa.RecordBatch.from_arrays([*own.columns[1 : kept + 1], pa.array(fingerprint.view(np.int64))], names=names)
 
     return prints
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every row."""
-    source = unnamed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    return source.mapInArrow(_print_batches(words), "doc_id long, fingerprint long")
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to keep (text may be one), and the fingerprint (as a signed long) of every row."""
+    kept = unnamed(docs, "doc_id", *keep).withColumn("doc_id", F.col("doc_id").cast("long"))
+    # The text that is read comes first, apart from one that is kept.
+    source = docs.select(F.col("text").alias("_read"), F.col("doc_id").cast("long").alias("doc_id"), *[F.col(f"`{c}`") for c in keep])
+    schema = T.StructType([*kept.schema.fields, T.StructField("fingerprint", T.LongType())])
+    return source.mapInArrow(_print_batches(words, len(keep) + 1), schema)
 
 
 def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -248,12 +245,32 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def rooted_fingerprints(distinct: DataFrame, bits: int = BITS) -> DataFrame:
+    """distinct with root: the least fingerprint reachable from the row's own by links of at most `bits` bits."""
+    roots = components(links(distinct.select("fingerprint"), bits)).withColumnRenamed("node", "fingerprint")
+    return distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+
+
+def least_of_groups(docs: DataFrame, words: int = 3, bits: int = BITS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row of each group: doc_id and the columns to keep of that with the least doc_id.
+
+    Null ids come last; rows of one id are ordered by a hash of what is kept, so that
+    only rows equal in all of it can stand for each other. The row that stays is found by
+    a number that it has once written, so no join or window meets a group as a whole.
+    """
+    number = F.monotonically_increasing_id()  # unique in the job that writes it, and data from then on
+    marked = staged(fingerprints(docs, words, keep).withColumn("_row", number), "marked")
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*keep).alias("hash"), "_row")
+    distinct = staged(marked.groupBy("fingerprint").agg(F.min(own).alias("least")), "distinct")
+    first = rooted_fingerprints(distinct, bits).groupBy("root").agg(F.min("least").alias("least"))
+    return marked.join(first.select(F.col("least._row").alias("_row")), "_row", "left_semi").drop("_row", "fingerprint")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, bits: int = BITS) -> DataFrame:
     """doc_id, fingerprint (signed long) and component_id (least doc_id reachable) of every row."""
     prints = staged(fingerprints(docs, words), "fingerprints")
     distinct = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct, bits)).withColumnRenamed("node", "fingerprint")
-    rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rooted = rooted_fingerprints(distinct, bits)
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
@@ -265,130 +282,3 @@ def as_hex(fingerprint: Column) -> Column:
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
-
-
-def _shingle_sets(hashes: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
-    for d in range(len(first) - 1):
-        yield np.unique(hashes[first[d] : first[d + 1]])
-
-
-def _lane_batches(words: int, lanes: int, sample: int):
-    """For every text and lane the fingerprint of a sample of the text's distinct shingles.
-
-    A lane orders shingles its own way and takes the first few, so texts with similarity
-    s share a lane's sample with probability s**sample.
-    """
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lane_salt = mix(np.arange(1, lanes + 1, dtype=np.uint64))
-        for batch in batches:
-            for lo, hi, data, at in slices(batch.column(1)):
-                out, few = [], []
-                for own in _shingle_sets(*shingle_hashes(data, at, words)):
-                    few.append(len(own) < FEW_SHINGLES)
-                    if not len(own):
-                        out.append([0] * lanes)
-                        continue
-                    ranked = mix(own[None, :] ^ lane_salt[:, None])
-                    k = min(sample, len(own))
-                    chosen = np.argpartition(ranked, k - 1, axis=1)[:, :k] if k < len(own) else np.broadcast_to(np.arange(k), (lanes, k))
-                    out.append(majority(own[chosen].reshape(-1), np.arange(0, lanes * k + 1, k)).view(np.int64).tolist())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.list_(pa.int64())), pa.array(few, pa.bool_())], names=["doc_id", "lanes", "few"])
-
-    return prints
-
-
-def _set_batches(words: int):
-    """For every text its distinct shingles, as sorted 32-bit hashes."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, data, at in slices(batch.column(1)):
-                out = [np.unique(own.astype(np.uint32)).tobytes() for own in _shingle_sets(*shingle_hashes(data, at, words))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(out, pa.binary())], names=["doc_id", "shingles"])
-
-    return sets
-
-
-def _similar(least: float):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both >= least * (len(x) + len(y) - both):
-                    keep.append(i)
-            yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
-
-    return verify
-
-
-def _verified(pairs: DataFrame, marked: DataFrame, sets: DataFrame, similarity: float, lanes: int) -> DataFrame:
-    """(a, b) of those pairs (h, m) that agree in enough lanes and are similar."""
-    pairs = pairs.where("h <> m").select(F.least("h", "m").alias("a"), F.greatest("h", "m").alias("b")).distinct()
-    side = {n: marked.select(F.col("doc_id").alias(n), F.col("lanes").alias(f"l{n}"), F.col("few").alias(f"f{n}")) for n in "ab"}
-    enough = F.when(F.col("fa") & F.col("fb"), 1).otherwise(min(SAME_LANES, lanes))
-    agree = F.size(F.filter(F.zip_with("la", "lb", lambda x, y: x == y), lambda same: same))
-    tallied = staged(pairs.join(side["a"], "a").join(side["b"], "b").where(agree >= enough).select("a", "b"), "pairs")
-    both = tallied.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    return staged(both.select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long"), "verified")
-
-
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, lanes: int = LANES, sample: int = LANE_SHINGLES) -> DataFrame:
-    """(doc_id, component_id) of every id: documents that are copies, or linked by shingle similarity.
-
-    A fingerprint within 3 bits means a similarity far above 0.8, so this search takes one
-    fingerprint for each of several lanes, each over a small sample of the shingles, and
-    lists texts that agree in all bytes of a lane. The lanes in which a pair agrees are
-    tallied, and pairs with SAME_LANES of them are verified by the similarity of their
-    shingle sets; one lane is enough if both have fewer than FEW_SHINGLES. Two texts of
-    similarity 0.8 agree in fewer lanes once in 5,000; of short ones, those that share 4 of
-    5 shingles once in 3,500 (0.6 ** 16), 8 of 10 once in 20,000.
-
-    In a list each text is first paired with the least id, with the member that is in the
-    longest lists, and with the one before it. Lists whose members are one component then
-    are done with. In the others more and more members meet all those of other components,
-    until every member has: no pair that agrees in enough lanes is left untested unless
-    its texts are linked already.
-    """
-    source = unnamed(docs, "doc_id", "text").where("doc_id is not null").withColumn("doc_id", F.col("doc_id").cast("long"))
-    text = F.coalesce("text", F.lit(""))
-    copies = staged(source.select("doc_id", F.xxhash64(text).alias("h"), F.crc32(text).alias("c")), "copies")
-    least = staged(copies.groupBy("h", "c").agg(F.min("doc_id").alias("least")), "least")
-    # Of copies the first takes part. Lanes are few bytes: texts themselves are not shuffled here.
-    marked = source.mapInArrow(_lane_batches(words, lanes, sample), "doc_id long, lanes array<long>, few boolean")
-    marked = staged(marked.join(least.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi"), "lanes")
-    listed = marked.select("doc_id", "few", F.posexplode("lanes").alias("lane", "print"))
-    counts = listed.groupBy("lane", "print").agg(F.count("*").alias("n")).where("n > 1")
-    members = staged(listed.join(counts, ["lane", "print"]), "members")
-    # A text that most others are edited copies of is in the longest lists: it is tried first.
-    scored = members.groupBy("doc_id").agg(F.sum("n").alias("score"), F.count("*").alias("lists"), F.max("few").alias("few")).where(F.col("few") | (F.col("lists") >= min(SAME_LANES, lanes)))
-    members = staged(members.join(scored.select("doc_id", "score"), "doc_id"), "scored")
-    sets = staged(source.join(scored.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_batches(words), "doc_id long, shingles binary"), "sets")
-    first = members.groupBy("lane", "print").agg(F.min("doc_id").alias("least"), F.max(F.struct("score", "doc_id")).alias("top"))
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(64))
-    before = F.lag("doc_id").over(Window.partitionBy("lane", "print", "part").orderBy("doc_id"))
-    met = members.join(first.select("lane", "print", "least", F.col("top.doc_id").alias("top")), ["lane", "print"]).withColumn("part", part).withColumn("before", before)
-    pairs = met.select(F.explode(F.array("least", "top", "before")).alias("h"), F.col("doc_id").alias("m"))
-    roots, heads = None, 1
-    while True:
-        edges = _verified(pairs, marked, sets, similarity, lanes)
-        known = edges if roots is None else edges.union(roots.select("node", "root"))
-        roots = staged(components(known), "roots")
-        # Lists whose members are one component are done with.
-        labelled = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("lane", "print", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-        apart = labelled.groupBy("lane", "print").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high")
-        active = staged(labelled.join(apart.select("lane", "print", "n"), ["lane", "print"]), "active")
-        longest = active.agg(F.max("n").alias("n")).first()["n"] or 0
-        if heads >= longest:
-            break
-        heads = FIRST_HEADS if heads == 1 else heads * MORE_HEADS
-        # So many members of a list, by hash, meet all members of other components; at last all do.
-        hashed = F.pmod(F.xxhash64("doc_id", "lane"), F.lit(1 << 31))
-        chosen = active.where((F.col("n") <= heads) | (hashed * F.col("n") < F.lit(heads) * F.lit(1 << 31)))
-        other = active.select("lane", "print", F.col("doc_id").alias("m"), F.col("root").alias("other"))
-        pairs = chosen.withColumnRenamed("doc_id", "h").join(other, ["lane", "print"]).where("root <> other").select("h", "m")
-    # Copies carry their first document's component.
-    joined = copies.join(least, ["h", "c"]).join(roots.withColumnRenamed("node", "least"), "least", "left")
-    return joined.select("doc_id", F.coalesce("root", "least").alias("component_id"))

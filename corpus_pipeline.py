@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 Parquet and read again as the next stage's docs. All but the last return the columns of
 documents; rows that a stage keeps are unchanged but for the text that substring dedup
 cuts. Defined cases are those of the operators; besides, null ids stay in every stage
-that finds no fault with their text, a row that repeats another whole row is one of its
-copies, and columns of docs other than those of documents are dropped by the first stage.
+that finds no fault with their text (of a near-duplicate group they stay only where all
+its ids are null, and then one row does), a row that repeats another whole row is one of
+its copies, and columns of docs other than those of documents are dropped by the first stage.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cashweave.llm import decontaminate, language, pieces, simhash, substrings
 from cashweave.llm.base import fold, shared_folder, staged, table, unnamed
@@ -34,27 +34,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word shingles (similarity 0.8 or more) the least id stays."""
-    docs = unnamed(docs, *COLUMNS)
-    h = F.xxhash64(F.coalesce("text", F.lit("")))
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.min(h).alias("low"), F.max(h).alias("high")).where("rows > 1")
-    repeated = staged(repeated.select("doc_id", (F.col("low") != F.col("high")).alias("differ")), "repeated")
-    nodes = docs.withColumn("node", F.col("doc_id"))
-    if repeated.where("differ").limit(1).count():  # each text of an id takes part by itself, under a hash of both
-        several = repeated.where("differ").select("doc_id", F.lit(True).alias("differ"))
-        nodes = docs.join(several.hint("shuffle_hash"), "doc_id", "left").withColumn("node", F.when(F.col("differ"), F.xxhash64("doc_id", h)).otherwise(F.col("doc_id"))).drop("differ")
-        groups = simhash.similar_groups(nodes.select(F.col("node").alias("doc_id"), "text"), words=5, similarity=0.8)
-        named = nodes.where("doc_id is not null").select("node", "doc_id").distinct().join(groups.distinct().withColumnRenamed("doc_id", "node"), "node")
-        first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "node")).alias("least"))
-        gone = named.join(first, "component_id").where("node <> least.node").select("node")
-    else:
-        groups = simhash.similar_groups(docs, words=5, similarity=0.8)
-        gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("node")).distinct()
-    kept = nodes.join(gone.hint("shuffle_hash"), "node", "left_anti")
-    if repeated.limit(1).count():  # rows that share an id: one row of each text stays
-        same = Window.partitionBy("doc_id", F.coalesce("text", F.lit(""))).orderBy("lang", "source", "n_chars")
-        one = kept.where("doc_id is not null").withColumn("nth", F.row_number().over(same)).where("nth = 1").drop("nth")
-        kept = one.unionByName(kept.where("doc_id is null"))
+    """Of each group linked by fingerprints (three-word shingles, 3 bits) the row of the least id stays."""
+    kept = simhash.least_of_groups(docs, words=3, bits=3, keep=tuple(COLUMNS[1:]))
     return kept.select(*COLUMNS)
 
 

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from brute import components, fingerprint, words
+from brute import components, fingerprint
 
 from cashweave.llm import simhash
 
@@ -33,7 +33,7 @@ def test_small_table_equals_brute_force(small):
 
 def test_empty(none):
     assert simhash.near_duplicates(none).collect() == []
-    assert simhash.similar_groups(none).collect() == []
+    assert simhash.least_of_groups(none, keep=("text",)).collect() == []
 
 
 @pytest.mark.parametrize("bits", [0, 1, 3])
@@ -86,48 +86,31 @@ def test_components_of_a_chain(spark):
     assert {r["node"]: r["root"] for r in simhash.components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
-def test_groups_by_similarity(spark, small):
-    """No pair of similarity 0.8 is missed, and no group is without a link."""
-    rows = [tuple(r) for r in small.select("doc_id", "text").collect()]
-    sets = []
-    for _, t in rows:
-        w = words((t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
-        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
-    near = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    roots = components(rows, near)
-    want = {i: rows[r][0] for (i, _), r in zip(rows, roots, strict=True)}
-    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(small).collect()} == want
+def test_one_row_of_each_group(odd, small):
+    """The least id of each group, null ids last; repeated rows and rows of one id with other texts too."""
+    for df in (odd, small):
+        rows = [tuple(r) for r in df.select("doc_id", "text").collect()]
+        prints = [fingerprint(t) for _, t in rows]
+        roots = components(rows, [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 3])
+        want = {r: min((rows[i][0] is None, rows[i][0] or 0) for i in range(len(rows)) if roots[i] == r) for r in set(roots)}
+        done = simhash.least_of_groups(df, keep=("text", "lang")).collect()
+        assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in done) == sorted(want.values())
+        assert all((r["doc_id"], r["text"]) in rows for r in done)
 
 
-@pytest.mark.parametrize("first", [simhash.FIRST_HEADS, 2])
-def test_edited_copies_around_a_middle_id(spark, monkeypatch, first):
-    """Copies are similar to their original (0.82) but not to each other (0.69)."""
-    monkeypatch.setattr(simhash, "FIRST_HEADS", first)
+def test_groups_grow_without_pairs(spark):
+    """A family of edited copies that are near each other: one row stays, whatever its size."""
     rng = np.random.default_rng(3)
-    rows = []
-    for group in range(3):
-        base = [f"w{group}x{i}" for i in range(600)]
-        for copy in range(100):
+    base = [f"w{i}" for i in range(400)]
+    for n in (200, 400):
+        rows = []
+        for copy in range(n):
             own = list(base)
-            for place in rng.choice(120, 12, replace=False) if copy != 50 else []:  # an edit costs five shingles of its own
-                own[place * 5 + 2] = f"e{group}x{copy}x{place}"
-            rows.append((group * 100 + copy, " ".join(own)))
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
-    near = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    roots = components(rows, near)
-    assert set(roots) == {0, 100, 200}
-    found = simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == dict(enumerate(roots))
-
-
-def test_short_texts_need_one_lane(spark):
-    """Pairs that share 8 of 10 shingles: in two lanes, one in 1,600 would be missed."""
-    rng = np.random.default_rng(1)
-    words_of = lambda n: [f"v{x}" for x in rng.integers(0, 1 << 40, n)]
-    rows = []
-    for i in range(6000):  # 9 shingles; the second text has 8 of them and another
-        own = words_of(13)
-        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own[:12], "other"]))]
-    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    missed = sum(found[2 * i + 1] != 2 * i for i in range(6000))
-    assert missed <= 1
+            own[int(rng.integers(400))] = f"e{copy}"
+            rows.append((n - copy, " ".join(own)))
+        rows.append((10_000, "another text that has nothing to do with the others here"))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        prints = {i: fingerprint(t) for i, t in rows}
+        ids = sorted(prints)
+        roots = components(ids, [(a, b) for a in range(len(ids)) for b in range(a) if (prints[ids[a]] ^ prints[ids[b]]).bit_count() <= 3])
+        assert {r["doc_id"] for r in simhash.least_of_groups(docs, keep=("text",)).collect()} == {ids[r] for r in set(roots)}
