@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cashweave.llm import brown, decontaminate, language, pieces, quality, sharding, simhash, substrings, toxicity, urls
+from cashweave.llm import brown, decontaminate, interaction, language, pieces, quality, sharding, simhash, substrings, toxicity, urls
 
 QUERIES = {
     "op1_brown_lm": brown.op1_brown_lm,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": substrings.op10_substring_dedup,
+    "op13_filter_audit": interaction.op13_filter_audit,
 }
 
 ORACLES = {
     "op3_url_filters": urls.OP3_SQL,
     "op10_substring_dedup": substrings.OP10_SQL,
+    "op13_filter_audit": interaction.OP13_SQL,
 }
