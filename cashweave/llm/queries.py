@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cashweave.llm import brown, decontaminate, interaction, language, pieces, quality, sharding, simhash, substrings, toxicity, urls
+from cashweave.llm import brown, decontaminate, interaction, language, pieces, quality, sharding, simhash, substrings, tokenfiles, toxicity, urls
 
 QUERIES = {
     "op1_brown_lm": brown.op1_brown_lm,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": substrings.op10_substring_dedup,
+    "op12_token_files": tokenfiles.op12_token_files,
     "op13_filter_audit": interaction.op13_filter_audit,
 }
 
 ORACLES = {
     "op3_url_filters": urls.OP3_SQL,
     "op10_substring_dedup": substrings.OP10_SQL,
+    "op12_token_files": tokenfiles.op12_token_files,
     "op13_filter_audit": interaction.OP13_SQL,
 }
