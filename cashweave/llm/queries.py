@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cashweave.llm import brown, decontaminate, interaction, language, pieces, quality, sharding, simhash, substrings, tokenfiles, toxicity, urls
+from cashweave.llm import brown, conversations, decontaminate, interaction, language, pieces, quality, sharding, simhash, substrings, tokenfiles, toxicity, urls
 
 QUERIES = {
     "op1_brown_lm": brown.op1_brown_lm,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": substrings.op10_substring_dedup,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_token_files": tokenfiles.op12_token_files,
     "op13_filter_audit": interaction.op13_filter_audit,
 }
@@ -22,6 +23,7 @@ QUERIES = {
 ORACLES = {
     "op3_url_filters": urls.OP3_SQL,
     "op10_substring_dedup": substrings.OP10_SQL,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
     "op12_token_files": tokenfiles.op12_token_files,
     "op13_filter_audit": interaction.OP13_SQL,
 }
