@@ -83,7 +83,7 @@ def extract_mapping(store: Store, in_dir: str, explicit: str | None = None) -> s
 def load_raw(store: Store, fresh: bool = True) -> None:
     """Load the normalised feeds into the raw layer, replacing or appending."""
     for spec in feeds.FEEDS:
-        rows = feeds.load_columns(store.spark, store.prepped(spec.name), spec.columns)
+        rows = feeds.load_columns(store.spark, store.prepped(spec.name), spec.columns, source=True)
         feeds.write_raw(feeds.with_load_columns(rows), store.path("raw", spec.name), fresh)
 
 
@@ -351,5 +351,5 @@ def append_demo_outflows(store: Store) -> None:
             for c in feeds.VA_TXN.columns
         ]
     )
-    feeds.write_raw(feeds.with_load_columns(full, from_file=False), store.path("raw", "va_txn"))
+    feeds.write_raw(feeds.with_load_columns(full), store.path("raw", "va_txn"))
     refresh(store)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 import warnings
 from dataclasses import dataclass
-from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cashweave.functions.names import normalise_header
 from cashweave.functions.parsing import blank_to_null
+from cashweave.sources import quoted
 
 
 @dataclass(frozen=True)
@@ -164,7 +167,8 @@ FEEDS = [EXTERNAL_ACCOUNTS, VA_TXN, REPMT_SKU, REPMT_SALES]
 MAPPING_COLUMNS = ["note_id", "sku_id", "va_number"]
 
 PREPPED_SUFFIX = "_prepped.csv"
-_BOM = "\ufeff"
+#: Where a loaded row is from.
+SOURCE_FILE = "source_file"
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
@@ -252,40 +256,73 @@ def find_feeds(
     return found
 
 
-def _csv(spark: SparkSession, multiline: bool):
-    # Quotes are doubled inside quoted cells; Spark's default is a backslash.
-    return (
-        spark.read.option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("encoding", "UTF-8")
-    )
+class Table(NamedTuple):
+    """Files of CSV lines with a header each: their lines, how splits begin, and their headers."""
+
+    lines: DataFrame
+    layout: quoted.Layout
+    headers: dict[str, tuple[int, tuple[str, ...]]]  # file to the header's line and its cells
 
+    @property
+    def forms(self) -> list[tuple[str, ...]]:
+        """The different headers, in order of their files."""
+        return list(dict.fromkeys(cells for _, cells in self.headers.values()))
 
-# A quote opens only at the start of a cell, and in an open cell two are one. What
-# follows a closing quote belongs to the cell.
-OPEN_REST = r'[^"]*+(?:""[^"]*+)*+"[^,]*+'
-CELL = rf'(?:"{OPEN_REST}|(?!")[^,]*+)'
-CLOSED_LINE = rf"(?s)^{CELL}(?:,{CELL})*+$"
 
+def table_of(lines: DataFrame, name: str = "the lines") -> Table:
+    """Files of lines (``quoted.lines_of``): their headers are found in the job that looks at the splits."""
+    layout = quoted.layout_of(lines, name)
+    firsts = quoted.first_records(lines, layout)
+    headers = {
+        file: (line_no, tuple(next(csv.reader(io.StringIO(record, newline="")))))
+        for file, (line_no, record) in sorted(firsts.items())
+    }
+    return Table(lines, layout, headers)
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """Whether a record may span lines: some line ends within a quoted cell.
 
-    Reads lines in parallel. Without such lines a file can be split anywhere
-    between lines; with them Spark has to read each file in one piece. A quote
-    inside an unquoted cell opens nothing.
-    """
-    return not spark.read.text(path).where(~F.col("value").rlike(CLOSED_LINE)).isEmpty()
+def opened(spark: SparkSession, path: str) -> Table:
+    """All files of a path (a file, a directory, a glob) in one scan."""
+    return table_of(quoted.lines_of(spark, path), path)
+
+
+def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
+    """Whether some record spans lines. Such a file is read in parallel as well."""
+    return not quoted.layout_of(quoted.lines_of(spark, path), path).plain
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Header cells as they are, without a byte order mark."""
-    row = _csv(spark, multiline=True).option("header", False).csv(path).first()
-    if row is None:
-        return []
-    cells = ["" if cell is None else cell for cell in row]
-    return [cells[0].removeprefix(_BOM), *cells[1:]]
+    """Header cells as they are, without a byte order mark; of several files those of the first."""
+    return list(next((cells for _, cells in opened(spark, path).headers.values()), ()))
+
+
+def _rows(table: Table, wanted: list[list[int]], names: list[str], exact: bool) -> DataFrame:
+    """File and text cells of all records but headers; ``wanted`` has their positions for each form.
+
+    exact: a record with another number of cells than there are names is an error.
+    """
+    records = quoted.records(table.lines, table.layout).where("record <> ''")
+    if len(wanted) == 1 and len(table.headers) <= quoted.NAMED:
+        positions = [F.lit(p) for p in wanted[0]]
+        # The count of a line is unique over all files.
+        data = records.where(~F.col("line_no").isin([line for line, _ in table.headers.values()]))
+    else:
+        number = {cells: i for i, cells in enumerate(table.forms)}
+        known = [(file, line, number[cells]) for file, (line, cells) in table.headers.items()]
+        forms = records.sparkSession.createDataFrame(known, "file string, header long, form int")
+        positions = [
+            F.get(F.array(*[F.lit(w[i]) for w in wanted]), F.least("form", F.lit(len(wanted) - 1)))
+            for i in range(len(names))
+        ]
+        data = records.join(forms, "file").where("line_no <> header")
+    cells = quoted.cells_of(F.col("record"))
+    if exact:
+        shape = F.concat(F.lit(f"malformed record, {len(names)} cells expected: "), F.left("record", F.lit(200)))
+        cells = F.when(F.size(cells) == len(names), cells).otherwise(F.raise_error(shape))
+    parsed = data.select("file", cells.alias("cells"), *[p.alias(f"p{i}") for i, p in enumerate(positions)])
+    return parsed.select(
+        F.col("file").alias(SOURCE_FILE),
+        *[blank_to_null(F.get("cells", f"p{i}")).alias(n) for i, n in enumerate(names)],
+    )
 
 
 def preview_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -317,34 +354,20 @@ def resolve_columns(headers: list[str], spec: FeedSpec) -> dict[str, int]:
     return resolved
 
 
-def _positional(n: int) -> T.StructType:
-    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n)])
-
-
-def read_feed(
-    spark: SparkSession, path: str, spec: FeedSpec, multiline: bool | None = None
-) -> DataFrame:
+def read_feed(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
     """One export as text columns in canonical names and order.
 
-    Columns are taken by position, so repeated header names do no harm. Unless
-    told, a pass over the lines finds out whether the file may be split. Of a
-    directory or a glob every file is read, each by its own header.
+    Columns are taken by position, so repeated header names do no harm. Of a
+    directory or a glob every file is read, each by its own header, in one scan.
     """
-    files = files_of(spark, path)
-    if len(files) > 1:
-        parts = [read_feed(spark, file, spec, multiline) for file in files]
-        return reduce(DataFrame.unionByName, parts)
-    path = files[0] if files else path
-    headers = header_of(spark, path)
-    where = resolve_columns(headers, spec)
-    if multiline is None:
-        multiline = has_quoted_newlines(spark, path)
-    cells = (
-        _csv(spark, multiline).option("header", True).schema(_positional(len(headers))).csv(path)
-    )
-    return cells.select(
-        *[blank_to_null(F.col(f"c{i}")).alias(column) for column, i in where.items()]
-    )
+    return feed_rows(opened(spark, path), spec)
+
+
+def feed_rows(table: Table, spec: FeedSpec) -> DataFrame:
+    """Canonical columns of files of lines, whatever forms of headers they have."""
+    forms = [resolve_columns(list(cells), spec) for cells in table.forms or [()]]
+    rows = _rows(table, [[f[c] for c in spec.columns] for f in forms], spec.columns, exact=False)
+    return rows.drop(SOURCE_FILE)
 
 
 def canonicalise(df: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -372,29 +395,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def load_columns(
-    spark: SparkSession, path: str, columns: list[str], multiline: bool | None = None
+    spark: SparkSession, path: str, columns: list[str], source: bool = False
 ) -> DataFrame:
     """A ``.csv`` or ``.csv.gz`` whose columns are known by position.
 
-    The header line is skipped, not read. A row with too few or too many cells
-    is an error; an empty cell is NULL.
+    The header line of each file is skipped, not read. A row with too few or too
+    many cells is an error; an empty cell is NULL. ``source`` adds the file.
     """
-    if multiline is None:
-        multiline = has_quoted_newlines(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
-        _csv(spark, multiline)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .schema(schema)
-        .csv(path)
-    )
+    rows = _rows(opened(spark, path), [list(range(len(columns)))], columns, exact=True)
+    return rows if source else rows.drop(SOURCE_FILE)
 
 
-def with_load_columns(df: DataFrame, from_file: bool = True) -> DataFrame:
-    """Add where and when a row was loaded."""
-    source = F.col("_metadata.file_path") if from_file else F.lit(None).cast("string")
-    return df.select(source.alias("source_file"), F.current_timestamp().alias("load_at"), "*")
+def with_load_columns(df: DataFrame) -> DataFrame:
+    """Add where (if df has it) and when a row was loaded."""
+    known = SOURCE_FILE in df.columns
+    source = F.col(SOURCE_FILE) if known else F.lit(None).cast("string")
+    rest = [F.col(f"`{c}`") for c in df.columns if c != SOURCE_FILE]
+    return df.select(source.alias(SOURCE_FILE), F.current_timestamp().alias("load_at"), *rest)
 
 
 def write_raw(df: DataFrame, path: str, fresh: bool = False) -> None:

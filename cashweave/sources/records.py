@@ -2,144 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cashweave.functions.money import to_cents
 from cashweave.functions.parsing import accounting_amount, strip_text
-from cashweave.sources.feeds import CELL, CLOSED_LINE, OPEN_REST, file_exists, list_files
-
-
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their place in the file: the split they are in, then a count.
-
-    The place orders all lines of one file, blank ones included.
-    """
-    return spark.read.text(path).select(
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line_no"),
-        F.regexp_replace("value", "^\ufeff", "").alias("line"),
-    )
-
-
-_CLOSED_AFTER_OPEN = rf"(?s)^{OPEN_REST}(?:,{CELL})*+$"
-
-
-def _open_before(lines: DataFrame, order: list[str], within: list[str], start: Column) -> Column:
-    """Is a quote open before this line? Lines are functions of that state.
-
-    A line either fixes the state behind it (``fixed``), or leaves it, or turns
-    it over (``turns``). So the state is that behind the last line that fixes
-    it, turned over as often as lines since then do.
-    """
-    w = Window.partitionBy(*within).orderBy(*order) if within else Window.orderBy(*order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    turned = F.coalesce(F.sum(F.col("turns").cast("long")).over(before), F.lit(0))
-    upto = F.sum(F.col("turns").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    fixed = F.last(
-        F.when(F.col("fixed").isNotNull(), F.struct("fixed", upto.alias("turned"))), ignorenulls=True
-    ).over(before)
-    known = F.coalesce(fixed["fixed"], start)
-    since = turned - F.coalesce(fixed["turned"], F.lit(0))
-    return known != (since % 2 == 1)
+from cashweave.sources import quoted
+from cashweave.sources.feeds import file_exists, list_files
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """CSV records of one file with their place (``block``, ``line_no``)."""
-    return records_of(_lines(spark, path), path)
+    return _records(quoted.lines_of(spark, path), path)
 
 
 def records_of(source: DataFrame, name: str = "the lines") -> DataFrame:
-    """CSV records of lines (``block``, ``line_no``, ``line``).
+    """CSV records of lines (``block``, ``line_no``, ``line``), the first of them in block 0.
 
-    A record spans lines while a quote is open; as in spreadsheets and most CSV
-    readers, a quote inside an unquoted cell is a letter. Whether one is open
-    at a line follows from the lines of its own split and the state of earlier
-    splits, of which there are few. No blank line is lost, because blank lines
-    end a report block. Raises ValueError if a quote is still open at the end.
+    No blank line is lost, because blank lines end a report block. Raises
+    ValueError if a quote is still open at the end.
     """
-    opens, stays = ~F.col("line").rlike(CLOSED_LINE), ~F.col("line").rlike(_CLOSED_AFTER_OPEN)
-    lines = source.select("block", "line_no", "line", opens.alias("opens"), stays.alias("stays"))
-    if lines.where("opens").isEmpty():
-        return lines.select("block", "line_no", F.col("line").alias("record"))
-
-    same = F.col("opens") == F.col("stays")
-    lines = lines.select(
-        "block",
-        "line_no",
-        "line",
-        F.when(same, F.col("opens")).alias("fixed"),
-        (F.col("opens") & ~F.col("stays")).alias("turns"),
-    )
-    # One row per split of the file: what all its lines together do to the state.
-    in_split = Window.partitionBy("block").orderBy("line_no")
-    both = lines.select(
-        "block",
-        "line_no",
-        "fixed",
-        "turns",
-        _open_before(lines, ["line_no"], ["block"], F.lit(False)).alias("from_closed"),
-        _open_before(lines, ["line_no"], ["block"], F.lit(True)).alias("from_open"),
-    )
-    last = both.groupBy("block").agg(
-        *[
-            F.max_by(F.coalesce("fixed", F.col(c) != F.col("turns")), "line_no").alias(c)
-            for c in ("from_closed", "from_open")
-        ]
-    )
-    splits = last.select(
-        "block",
-        F.when(F.col("from_closed") == F.col("from_open"), F.col("from_closed")).alias("fixed"),
-        (F.col("from_closed") & ~F.col("from_open")).alias("turns"),
-    )
-    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = splits.select(
-        "block", _open_before(splits, ["block"], [], F.lit(False)).alias("ahead"), "fixed", "turns"
-    )
-    ended = ahead.select(
-        F.max_by(F.coalesce("fixed", F.col("ahead") != F.col("turns")), "block").alias("open")
-    ).first()
-    if ended["open"]:
-        raise ValueError(f"a quote is still open at the end of {name!r}")
-    entered = lines.join(F.broadcast(ahead.select("block", "ahead")), "block")
-    marked = entered.select(
-        "block",
-        "line_no",
-        "line",
-        (~_open_before(entered, ["line_no"], ["block"], F.col("ahead"))).alias("starts"),
-    )
-    # The line a continued line belongs to: the last start in its split, or in
-    # the last split before that has one.
-    own = F.last(F.when(F.col("starts"), F.col("line_no")), ignorenulls=True).over(in_split)
-    last = marked.groupBy("block").agg(
-        F.max(F.when(F.col("starts"), F.struct("block", "line_no"))).alias("last")
-    )
-    carried = last.select(
-        "block", F.last("last", ignorenulls=True).over(before).alias("carried")
-    )
-    placed = marked.withColumn("own", own).join(F.broadcast(carried), "block")
-    record = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("block", "line_no", "line"))), lambda r: r["line"]),
-        "\n",
-    )
-    return (
-        placed.select(
-            F.when(F.col("own").isNotNull(), F.struct("block", F.col("own").alias("line_no")))
-            .otherwise(F.col("carried"))
-            .alias("start"),
-            "block",
-            "line_no",
-            "line",
-        )
-        .groupBy("start")
-        .agg(record.alias("record"))
-        .select("start.block", "start.line_no", "record")
-    )
+    return _records(quoted.lines_in(source), name)
+
+
+def _records(lines: DataFrame, name: str) -> DataFrame:
+    return quoted.records(lines, quoted.layout_of(lines, name)).drop("file")
 
 
 def _cells(record: Column, n: int) -> list[Column]:
-    schema = ", ".join(f"c{i} string" for i in range(n))
-    parsed = F.from_csv(record, schema, {"quote": '"', "escape": '"'})
-    return [strip_text(F.coalesce(parsed[f"c{i}"], F.lit(""))) for i in range(n)]
+    cells = quoted.cells_of(record)
+    return [strip_text(F.coalesce(F.get(cells, F.lit(i)), F.lit(""))) for i in range(n)]
 
 
 def extract_block(spark: SparkSession, path: str) -> DataFrame:

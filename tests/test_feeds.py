@@ -106,7 +106,7 @@ def test_append_and_replace(spark, tmp_path):
     source = _write(tmp_path / "m.csv", "n,s,v\n,S1,V1\n")
     table = str(tmp_path / "raw")
     for fresh, count in ((True, 1), (False, 2), (False, 3), (True, 1)):
-        loaded = feeds.with_load_columns(feeds.load_columns(spark, source, feeds.MAPPING_COLUMNS))
+        loaded = feeds.with_load_columns(feeds.load_columns(spark, source, feeds.MAPPING_COLUMNS, source=True))
         feeds.write_raw(loaded, table, fresh)
         df = spark.read.parquet(table)
         assert df.count() == count
