@@ -20,9 +20,8 @@ no text is a part of its own. Encoding follows the deal: the texts are shuffled
 and only ids are written.
 
 Encoding is exact and by the tokenizers library. A word that the pre-tokenizer makes
-never holds white space, so chunks between ASCII white space are encoded apart; those
-seen lately are remembered (bounded in bytes), the unknown ones of a batch go to the
-library in texts of many, told apart by an added token.
+never holds white space, so chunks between ASCII white space are encoded apart, and
+those seen lately are remembered: so many bytes of them and what one batch brings.
 
 Defined cases: a null or empty text has the end id only; null ids come first; rows of
 one id are ordered by a hash of the text; repeated rows are rows; an empty table gives
@@ -31,6 +30,7 @@ an empty folder with the schema; columns other than doc_id and text are not read
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -61,69 +61,105 @@ _TABLES = {
 }
 
 
+# Latin letters, and what may follow them in a chunk: no apostrophe, which begins pieces of
+# its own, and no "<", which begins added tokens. The first is one piece and the rest another.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
+_PROBES = ["A", "The", "thereis", "ÉTÉ", "naïveté", "Straße", "ÄÖÜ", "ñandúÑ", _LETTERS]
+
+
 class Words:
-    """A tokenizer that remembers the ids of short chunks."""
+    """A tokenizer that remembers the ids of short chunks.
+
+    A chunk of Latin letters and punctuation is two pieces. The letters, lower-cased, are
+    looked up by themselves, so a word is asked for once in all its forms, and from the
+    library's BPE model directly. That is done only where probes show that the tokenizer
+    treats such words so; it asks whole texts otherwise, and for all other chunks.
+    """
 
     def __init__(self, path: str, memory: int = MEMORY_BYTES):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.model = Tokenizer.from_file(path)
-        added = {t.content: i for i, t in self.model.get_added_tokens_decoder().items() if t.special}
-        # A token between chunks: told apart whatever they are, unless they hold part of one.
+        self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
+        added = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items() if t.special}
+        # A token between chunks tells them apart, unless they hold the beginning of one.
         self.between = min(added, key=len, default=None)
         self.between_id = added.get(self.between)
         self.marks = {a[:1].encode() for a in added}
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.mapped = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in _LETTERS}
         self.memory, self.known, self.held, self.old = memory, {}, 0, {}
+        self.parts = all(self._letters(p.lower()) == self._ids(p).tobytes() and self._ids(p + ",.$").tolist() == [*self._ids(p), *self._ids(",.$")] for p in _PROBES)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.dtype("<u4"))
+        return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.dtype("<u4"))
+
+    def _letters(self, word: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(word.translate(self.mapped))], np.dtype("<u4")).tobytes()
 
     def _ask(self, chunks: list[bytes]) -> Iterator[bytes]:
-        """The ids of chunks, as bytes."""
+        """The ids of chunks that are asked for as one text."""
         ids = self._ids(f" {self.between} ".join(c.decode() for c in chunks))
         ends = np.append(np.flatnonzero(ids == self.between_id), len(ids))
         begins = np.append(0, ends[:-1] + 1)
         for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
             yield ids[a:b].tobytes()
 
-    def _remember(self, chunk: bytes, ids: bytes) -> None:
+    def _remember(self, chunk: bytes, ids: bytes) -> bytes:
         self.known[chunk] = ids
         self.held += len(chunk) + len(ids) + _ENTRY_BYTES
-        if self.held > self.memory // 2:
-            # What was used since the last change of generation stays for one more.
-            self.old, self.known, self.held = self.known, {}, 0
-
-    def learn(self, chunks: set[bytes], here: dict[bytes, bytes]) -> None:
-        """Ids of all chunks into `here`."""
+        return ids
+
+    def _part(self, part: str, letters: bool) -> bytes:
+        key = part.encode()
+        ids = self.known.get(key)
+        if ids is None:
+            ids = self.old.get(key)
+            if ids is None:
+                ids = self._letters(part) if letters else self._ids(part).tobytes()
+            self._remember(key, ids)
+        return ids
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Ids of chunks that are not known."""
         asked, size = [], 0
         for chunk in chunks:
-            ids = self.known.get(chunk)
-            if ids is None and (ids := self.old.get(chunk)) is not None:
-                self._remember(chunk, ids)
+            ids = self.old.get(chunk)
             if ids is not None:
-                here[chunk] = ids
+                self._remember(chunk, ids)
+                continue
+            word = _WORD.fullmatch(chunk.decode()) if self.parts else None
+            if word:
+                ids = self._part(word[1].lower(), True)
+                self._remember(chunk, ids + self._part(word[2], False) if word[2] else ids)
             elif self.between is None or len(chunk) > CHUNK_BYTES or any(m in chunk for m in self.marks):
-                here[chunk] = self._ids(chunk.decode()).tobytes()
+                self._remember(chunk, self._ids(chunk.decode()).tobytes())
             else:
                 asked.append(chunk)
                 size += len(chunk)
                 if size >= _ASKED_BYTES:
-                    self._learned(asked, here)
+                    self._learned(asked)
                     asked, size = [], 0
         if asked:
-            self._learned(asked, here)
+            self._learned(asked)
 
-    def _learned(self, asked: list[bytes], here: dict[bytes, bytes]) -> None:
+    def _learned(self, asked: list[bytes]) -> None:
         for chunk, ids in zip(asked, self._ask(asked), strict=True):
-            here[chunk] = ids
             self._remember(chunk, ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of whole texts, as little-endian unsigned 32-bit integers."""
         cut = [t.split() for t in texts]  # bytes split at ASCII white space, and at nothing else
-        here: dict[bytes, bytes] = {}
-        self.learn(set().union(*cut), here)
-        return [b"".join(map(here.__getitem__, c)) for c in cut]
+        self.learn(set().union(*cut) - self.known.keys())
+        done = [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        if self.held > self.memory // 2:
+            # What was used since the last change of generation stays for one more.
+            long = [c for c in self.known if len(c) > CHUNK_BYTES]
+            for chunk in long:
+                del self.known[chunk]
+            self.old, self.known, self.held = self.known, {}, 0
+        return done
 
 
 _words: dict[str, Words] = {}

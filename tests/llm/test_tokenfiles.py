@@ -49,14 +49,24 @@ def test_query_against_the_library(spark, small):
 @pytest.mark.parametrize("memory", [0, 5_000, 1 << 24])
 def test_chunks_are_exact(small, memory):
     """Special tokens, marks without a base, other white space, and a memory that is always full."""
-    odd = ["a<|endoftext|>b <|startoftext|>", "< |endoftext|>", "é ́x é", "ΟΔΟΣ Σας", "a b　c\x1cd\x85e", "'s it's 'S", "x" * 5000, " \t\n", "", "漢字🙂▁ " * 50]
+    odd = ["a<|endoftext|>b <|startoftext|>", "< |endoftext|>", "é ́x é", "ΟΔΟΣ Σας", "a b　c\x1cd\x85e", "'s it's 'S", "x" * 5000, " \t\n", "", "漢字🙂▁ " * 50, "Word WORD, word... wörd; ÄRGER:$$$ ßtraße ÿ ÀÉ×÷a naïve'll don't", "É́ à la:", "a1 b_c d-e f<g h|i µm ªº"]
     texts = odd + [r["text"] or "" for r in small.limit(40).collect()]
     words = tf.Words(MODEL, memory)
     plain = Tokenizer.from_file(MODEL)
     for _ in range(2):  # with what is remembered too
         for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
-    assert words.held <= memory
+    assert words.parts
+    assert words.held <= memory // 2
+
+
+def test_probes_decide(small):
+    """Where words are not what they seem, whole chunks are asked for."""
+    words = tf.Words(MODEL)
+    words.parts = False
+    texts = [r["text"] or "" for r in small.limit(20).collect()]
+    for text, ids in zip(texts, words.encode([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == _ids(text)[:-1]
 
 
 def test_layout(spark, small, tmp_path):
