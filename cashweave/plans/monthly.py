@@ -3,20 +3,20 @@
 Everything is written below one directory, layer by layer, and read back from
 there: a lost executor costs the tasks it ran, never an earlier layer, and no
 plan grows longer than one layer. A rerun over the same inputs replaces the
-directory's tables with equal ones.
+directory's tables with equal ones. Reference data are published: all four tables
+change at once, and a run that ends early leaves the earlier ones (``store``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from cashweave.operators import ledger, transfers, typed, upserts
 from cashweave.operators.categorise import RULE_SCHEMA, SHIPPED_RULES, Rule, rules_frame
 from cashweave.plans import level1 as l1, level2 as l2, quality
+from cashweave.plans.store import Store
 from cashweave.session import configure
 from cashweave.sources import feeds, records
 
@@ -28,39 +28,6 @@ BRIDGE_SCHEMA = (
 )
 
 
-@dataclass(frozen=True)
-class Store:
-    """Tables below one directory, as ``<layer>/<name>``."""
-
-    spark: SparkSession
-    root: str
-
-    def path(self, layer: str, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{name}"
-
-    def write(
-        self, df: DataFrame, layer: str, name: str, mode: str = "overwrite", by: str | None = None
-    ) -> None:
-        writer = df.write.mode(mode)
-        (writer.partitionBy(by) if by else writer).parquet(self.path(layer, name))
-
-    def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
-
-    def find(self, layer: str, name: str) -> DataFrame | None:
-        """The table, or None where it has not been written."""
-        try:
-            return self.read(layer, name)
-        except AnalysisException as error:
-            # A table that is there but broken must not pass for an empty one.
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def prepped(self, name: str) -> str:
-        return self.path("prepped", f"{name}{feeds.PREPPED_SUFFIX}")
-
-
 def normalise_feeds(
     store: Store, in_dir: str, overrides: dict[str, str] | None = None
 ) -> dict[str, str]:
@@ -92,13 +59,15 @@ def load_reference(
 ) -> None:
     """Merchants, products, bridge and rules.
 
-    Merchants, products and rules of the previous run stay; the bridge is
-    rebuilt from the mapping file. Nothing is written when the mapping is bad.
+    Merchants, products and rules of the previous run stay, which may be an
+    earlier one in the same directory; the bridge is rebuilt from the mapping
+    file. All tables are published together, and none when the mapping is bad.
     """
     spark = store.spark
+    known = previous.current("ref") if previous else None
 
     def before(name: str, schema: str) -> DataFrame:
-        kept = previous.find("ref", name) if previous else None
+        kept = known.find(name) if known else previous.find("ref", name) if previous else None
         return spark.createDataFrame([], schema) if kept is None else kept
 
     raw_sales, raw_expected = (store.read("raw", n) for n in ("repmt_sales", "repmt_sku"))
@@ -115,12 +84,15 @@ def load_reference(
         sku, bridge = upserts.load_mapping(
             batch, raw_sales, raw_expected, merchant, sku, bridge, stage
         )
-    known = before("remarks_category_map", RULE_SCHEMA)
-    store.write(merchant, "ref", "merchant")
-    store.write(sku, "ref", "sku")
-    store.write(bridge, "ref", "note_sku_va_map")
-    store.write(
-        upserts.add_rules(known, rules_frame(spark, rules)), "ref", "remarks_category_map"
+    old_rules = before("remarks_category_map", RULE_SCHEMA)
+    store.publish(
+        "ref",
+        {
+            "merchant": merchant,
+            "sku": sku,
+            "note_sku_va_map": bridge,
+            "remarks_category_map": upserts.add_rules(old_rules, rules_frame(spark, rules)),
+        },
     )
 
 
@@ -130,8 +102,8 @@ def refresh(store: Store) -> list[str]:
     A table whose inputs are not there is left out; gives the tables written.
     """
     raw = {spec.name: store.find("raw", spec.name) for spec in feeds.FEEDS}
-    rules = store.find("ref", "remarks_category_map")
-    bridge = store.find("ref", "note_sku_va_map")
+    ref = store.current("ref")
+    rules, bridge = (ref.find(n) if ref else None for n in ("remarks_category_map", "note_sku_va_map"))
     written = []
 
     def write(name: str, df: DataFrame, by: str | None = None) -> None:
@@ -167,7 +139,8 @@ def core_flows(store: Store) -> DataFrame:
 
 def marts(store: Store) -> dict[str, DataFrame]:
     """The marts as built from the core layer; ``written_marts`` are those of the run."""
-    merchant, sku, bridge = (store.read("ref", n) for n in ("merchant", "sku", "note_sku_va_map"))
+    ref = store.current("ref")
+    merchant, sku, bridge = (ref.read(n) for n in ("merchant", "sku", "note_sku_va_map"))
     external, expected, sales, totals = (
         store.read("core", n)
         for n in ("external_accounts", "repmt_sku", "repmt_sales", "flow_totals")
@@ -193,7 +166,8 @@ def write_marts(store: Store) -> None:
     for name in ("flows_pivot", "inter_sku_transfers_agg", "level1"):
         store.write(views[name], "mart", name)
     pivot, moved = (store.read("mart", n) for n in ("flows_pivot", "inter_sku_transfers_agg"))
-    merchant, sku = (store.read("ref", n) for n in ("merchant", "sku"))
+    ref = store.current("ref")
+    merchant, sku = (ref.read(n) for n in ("merchant", "sku"))
     expected, sales = (store.read("core", n) for n in ("repmt_sku", "repmt_sales"))
     store.write(l2.level2a(pivot, expected, sku, sales, moved, merchant), "mart", "level2a")
     store.write(l2.level2b(sku, merchant, sales, expected, pivot), "mart", "level2b")
@@ -238,14 +212,16 @@ PUBLISHED_VIEWS = {
 def publish_views(store: Store) -> list[str]:
     """Register everything as temporary views of this session."""
     names = []
+    ref = store.current("ref")  # views of one version
     for (layer, table), name in PUBLISHED.items():
-        df = core_flows(store) if table == "va_txn_flows" else store.read(layer, table)
+        source = ref.read(table) if layer == "ref" else store.read(layer, table)
+        df = core_flows(store) if table == "va_txn_flows" else source
         df.createOrReplaceTempView(name)
         names.append(name)
     views = written_marts(store)
     # The transfer rows are a view over the ledger: there can be many more of them.
     views["inter_sku_transfers"] = transfers.inter_sku_transfers(
-        store.read("raw", "va_txn"), store.read("ref", "note_sku_va_map")
+        store.read("raw", "va_txn"), ref.read("note_sku_va_map")
     )
     for mart, name in PUBLISHED_VIEWS.items():
         views[mart].createOrReplaceTempView(name)
@@ -305,9 +281,11 @@ def load_month(
     reference: str | None = None,
     rules: Iterable[Rule] = SHIPPED_RULES,
 ) -> Store:
-    """Normalise, load, map and refresh. ``previous`` is an earlier out_dir."""
-    if previous is not None and previous.rstrip("/") == out_dir.rstrip("/"):
-        raise ValueError("a run cannot write over the run it continues")
+    """Normalise, load, map and refresh.
+
+    ``previous`` is the out_dir of the run that this one continues, which may be
+    the same directory.
+    """
     configure(spark)
     store = Store(spark, out_dir)
     normalise_feeds(store, in_dir, overrides)

@@ -96,8 +96,20 @@ def test_a_rerun_gives_the_same(run, spark):
     first, second = monthly.marts(store), monthly.marts(over)
     for name in first:
         assert rows(second[name]) == rows(first[name])
-    with pytest.raises(ValueError, match="write over"):
-        monthly.load_month(spark, in_dir, str(base / "out"), previous=str(base / "out/"))
+
+
+def test_a_run_continues_in_its_own_directory(spark, tmp_path):
+    """The next month in the same place: merchants, products and rules stay, the bridge is the new one."""
+    store = monthly.load_month(spark, _inputs(tmp_path / "in"), str(tmp_path / "out"))
+    first = store.current("ref")
+    other = {n: FILES[n].replace("\nB,", "\nC,").replace("ABC,B", "NEW,C") for n in ("repmt_sku_2025-09.csv", "repmt_sales_2025-09.csv", "level1_reference.csv")}
+    monthly.load_month(spark, _inputs(tmp_path / "next", **other), str(tmp_path / "out"), previous=str(tmp_path / "out/"))
+    second = store.current("ref")
+    assert (first.sequence, second.sequence) == (1, 2)
+    assert rows(second.read("sku"), "sku_id") == [("A",), ("B",), ("C",)]
+    assert rows(second.read("merchant"), "merchant_name") == [("ABC",), ("NEW",)]
+    assert rows(second.read("note_sku_va_map"), "sku_id") == [("A",), ("C",)]
+    assert rows(first.read("sku"), "sku_id") == [("A",), ("B",)]  # who has it open still reads it
 
 
 def test_published_names_answer_sql(run, spark):
