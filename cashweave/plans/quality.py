@@ -5,16 +5,16 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cashweave.operators.keyed import null_safe_join
 from cashweave.operators.ledger import RECEIVED_CODES
+from cashweave.plans import parity
+from cashweave.plans.parity import CENT, parity_differences
 
 FAIL, WARN = "fail", "warn"
 RESULT_SCHEMA = "check string, severity string, passed boolean, detail string"
 
-CENT = Decimal("0.01")
-
 # The variance band as the published rule has it. Its upper bound
 # excludes an exact zero variance.
 PUBLISHED_BAND = (Decimal("-4.00"), Decimal("-2.05"))
@@ -191,51 +191,11 @@ def check_tolerance(
     )
 
 
-PARITY_KEYS = ["sku_id", "account_number"]
-PARITY_AMOUNTS = ["amount_pulled", "amount_received", "sales_proceeds"]
-
-
-def parity_differences(
-    expected: DataFrame, actual: DataFrame, tolerance: Decimal = CENT
-) -> DataFrame:
-    """One row per row that is missing, extra, or differs by more than allowed.
-
-    A key may repeat (one product and account under two notes) or be NULL: the
-    rows of a key are matched in the order of their amounts.
-    """
-    columns = [*PARITY_AMOUNTS, "merchant"]
-    within = Window.partitionBy(*PARITY_KEYS).orderBy(*columns)
-
-    def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(
-            *[F.col(k).alias(f"{prefix}_{k}") for k in PARITY_KEYS],
-            F.row_number().over(within).alias(f"{prefix}_nth"),
-            F.lit(True).alias(f"{prefix}_row"),
-            *[F.col(c).alias(f"{prefix}_{c}") for c in columns],
-        )
-
-    same = [F.col(f"e_{k}").eqNullSafe(F.col(f"a_{k}")) for k in (*PARITY_KEYS, "nth")]
-    both = side(expected, "e").join(side(actual, "a"), reduce(lambda a, b: a & b, same), "full")
-    both = both.withColumns({k: F.coalesce(f"e_{k}", f"a_{k}") for k in PARITY_KEYS})
-
-    def cents(column: str) -> Column:
-        return F.round(F.coalesce(column, F.lit(0)), 2)
-
-    off = [F.abs(cents(f"e_{c}") - cents(f"a_{c}")) > F.lit(tolerance) for c in PARITY_AMOUNTS]
-    problem = (
-        F.when(F.col("a_row").isNull(), "missing")
-        .when(F.col("e_row").isNull(), "extra")
-        .when(reduce(lambda a, b: a | b, off), "amount")
-        .when(~F.col("e_merchant").eqNullSafe(F.col("a_merchant")), "merchant")
-    )
-    return both.select(*PARITY_KEYS, problem.alias("problem")).where(F.col("problem").isNotNull())
-
-
 def check_parity(expected: DataFrame, actual: DataFrame, tolerance: Decimal = CENT) -> DataFrame:
     """Both sides have the same keys, amounts and merchants."""
-    kinds = ("missing", "extra", "amount", "merchant")
-    facts = parity_differences(expected, actual, tolerance).agg(
-        *[F.count(F.when(F.col("problem") == k, 1)).alias(k) for k in kinds]
+    kinds = parity.PROBLEMS
+    facts = parity.parity_counts(expected, actual, tolerance).agg(
+        *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in kinds]
     )
     clean = reduce(lambda a, b: a & b, [F.col(k) == 0 for k in kinds])
     return _result(

@@ -284,6 +284,21 @@ def _parity_differences(t: Tables) -> DataFrame:
     return quality.parity_differences(_generous_level1(t), t.level1)
 
 
+def _parity_removed(t: Tables) -> DataFrame:
+    """Line items as rows of a mart, many for each key, against the same without every third line."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    lines = t.table("lineitem").select(
+        F.concat(F.lit("SKU-"), "l_partkey").alias("sku_id"),
+        F.when(F.col("l_partkey") % 50 != 0, F.concat(F.lit("VA-"), "l_partkey")).alias("account_number"),
+        F.concat(F.lit("M-"), "l_returnflag").alias("merchant"),
+        price.alias("amount_pulled"),
+        F.when(F.col("l_linenumber") != 2, price).alias("amount_received"),
+        F.col("l_quantity").cast("decimal(18,2)").alias("sales_proceeds"),
+        "l_linenumber",
+    )
+    return quality.parity_differences(lines, lines.where("l_linenumber <> 3"))
+
+
 def _key_differences(t: Tables) -> DataFrame:
     return quality.key_differences(t.sales, t.expected, ["sku_id"])
 
@@ -366,6 +381,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "check_parity": _check_parity,
     "check_suite": _checks,
     "parity_differences": _parity_differences,
+    "parity_removed": _parity_removed,
     "parity_self": lambda t: quality.parity_differences(t.level1, t.level1),
     "key_differences": _key_differences,
     "outside_band": lambda t: quality.outside_band(t.level1, Decimal("-4.00"), Decimal("0.05")),

@@ -443,28 +443,27 @@ _CHECKS = {
       OR amount_pulled - amount_received > 0.05 OR amount_pulled - amount_received > -2.05""",
 }
 
-def _as_lists(mart: str) -> str:
-    """A mart's rows gathered by key, sorted."""
-    return f"""SELECT sku_id, account_number, list({{'p': amount_pulled, 'r': amount_received,
-      's': sales_proceeds, 'm': merchant}} ORDER BY amount_pulled NULLS FIRST,
-      amount_received NULLS FIRST, sales_proceeds NULLS FIRST, merchant NULLS FIRST) AS own
-    FROM {mart} GROUP BY sku_id, account_number"""
-
-
-_DIFFERENCES = f"""SELECT * FROM (
-    SELECT sku_id, account_number,
-      CASE WHEN i > coalesce(len(a), 0) THEN 'missing' WHEN i > coalesce(len(e), 0) THEN 'extra'
-        WHEN abs(e[i].p - a[i].p) > 0.01 OR abs(e[i].r - a[i].r) > 0.01
-          OR abs(e[i].s - a[i].s) > 0.01 THEN 'amount'
-        WHEN e[i].m IS DISTINCT FROM a[i].m THEN 'merchant' END AS problem
-    FROM (
-      SELECT coalesce(e.sku_id, a.sku_id) AS sku_id,
-        coalesce(e.account_number, a.account_number) AS account_number,
-        e.own AS e, a.own AS a,
-        unnest(range(1, 1 + greatest(coalesce(len(e.own), 0), coalesce(len(a.own), 0)))) AS i
-      FROM ({_as_lists("generous")}) e FULL JOIN ({_as_lists("level1")}) a
-        ON a.sku_id = e.sku_id AND a.account_number IS NOT DISTINCT FROM e.account_number))
-  WHERE problem IS NOT NULL"""
+_DIFFERENCES = """SELECT * FROM (
+  WITH cells AS (
+    SELECT sku_id, account_number, p, r, s, m, sum(e)::BIGINT AS e, sum(a)::BIGINT AS a FROM (
+      SELECT sku_id, account_number, round(coalesce(amount_pulled, 0), 2) AS p,
+        round(coalesce(amount_received, 0), 2) AS r, round(coalesce(sales_proceeds, 0), 2) AS s,
+        merchant AS m, 1 AS e, 0 AS a FROM generous
+      UNION ALL SELECT sku_id, account_number, round(coalesce(amount_pulled, 0), 2),
+        round(coalesce(amount_received, 0), 2), round(coalesce(sales_proceeds, 0), 2),
+        merchant, 0, 1 FROM level1) GROUP BY ALL
+  ), amounts AS (
+    SELECT sku_id, account_number, sum(e) AS e, sum(a) AS a, sum(least(e, a)) AS same
+    FROM cells GROUP BY sku_id, account_number, p, r, s
+  ), keys AS (
+    SELECT sku_id, account_number, sum(e - least(e, a)) AS missed, sum(a - least(e, a)) AS added,
+      sum(least(e, a) - same) AS renamed FROM amounts GROUP BY sku_id, account_number
+  )
+  SELECT sku_id, account_number, problem FROM (SELECT *, unnest(range(n::BIGINT)) FROM (
+    SELECT sku_id, account_number, 'missing' AS problem, missed - least(missed, added) AS n FROM keys
+    UNION ALL SELECT sku_id, account_number, 'extra', added - least(missed, added) FROM keys
+    UNION ALL SELECT sku_id, account_number, 'amount', least(missed, added) FROM keys
+    UNION ALL SELECT sku_id, account_number, 'merchant', renamed FROM keys)))"""
 
 
 def _count_of(problem: str) -> str:
@@ -640,6 +639,9 @@ _RESULTS = {
           _count_of(p) for p in ("missing", "extra", "amount", "merchant"))} AS detail
       FROM ({_DIFFERENCES})""",
     "parity_differences": _DIFFERENCES,
+    "parity_removed": """SELECT 'SKU-' || l_partkey AS sku_id,
+      CASE WHEN l_partkey % 50 <> 0 THEN 'VA-' || l_partkey END AS account_number,
+      'missing' AS problem FROM lineitem WHERE l_linenumber = 3""",
     "parity_self": "SELECT sku_id, account_number, '' AS problem FROM level1 WHERE false",
     "key_differences": """SELECT coalesce(s.sku_id, e.sku_id) AS sku_id,
       CASE WHEN e.sku_id IS NULL THEN 'left' ELSE 'right' END AS found_in
