@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cashweave.functions.parsing import TOTAL
 from cashweave.operators.keyed import lookup_join
@@ -118,7 +118,10 @@ def _inside(directed: DataFrame, movable: DataFrame, same: DataFrame) -> DataFra
     products = movable.join(accounts, "sku_id").groupBy("own").agg(
         F.count(F.lit(1)).alias("products"), F.sum("accounts").alias("by_product")
     )
-    partners = directed.groupBy("own").agg(F.count(F.lit(1)).alias("partners"))
+    # A pair has a row at least. It is told by all measures, because with columns left
+    # out this would be a pass of its own over the ledger, and so its sums are shared.
+    some = F.col("n") + F.col("n_amounts") + F.abs("amount") > 0
+    partners = directed.groupBy("own").agg(F.sum(F.when(some, 1)).alias("partners"))
     way = products.join(partners, "own").select(
         "own", (F.col("products") * F.col("partners") <= F.col("by_product")).alias("by_partner")
     )
@@ -192,21 +195,64 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     return _per_product(leaving.unionByName(staying))
 
 
-def latest_transfers(transfers: DataFrame, n: int = 50) -> DataFrame:
-    """The most recent transfers; undated ones come first."""
-    return (
-        transfers.select(
-            F.col("from_sku_id").alias("sku_from"),
-            F.col("to_sku_id").alias("sku_to"),
-            "amount",
-            "occurred_at_utc",
-            "period_ym",
-        )
-        .orderBy(
-            F.desc_nulls_first("occurred_at_utc"),
-            "sku_from",
-            "sku_to",
-            F.asc_nulls_last("amount"),
+def _first_skus(bridge: DataFrame, va: str, skus: str, n: int) -> DataFrame:
+    """Per account its first n + 1 products by name, each with its number of bridge rows."""
+    mapped = bridge.where(F.col("va_number").isNotNull() & F.col("sku_id").isNotNull())
+    counted = mapped.groupBy("va_number", "sku_id").agg(F.count(F.lit(1)).alias("rows"))
+    # Cut in each task before an account's products come together.
+    nth = F.row_number().over(Window.partitionBy("va_number").orderBy("sku_id"))
+    first = counted.withColumn("nth", nth).where(F.col("nth") <= n + 1)
+    listed = F.array_sort(F.collect_list(F.struct("sku_id", "rows")))
+    return first.groupBy(F.col("va_number").alias(va)).agg(listed.alias(skus))
+
+
+def latest_transfers(raw: DataFrame, bridge: DataFrame, n: int = 50) -> DataFrame:
+    """The most recent transfers between products; undated ones come first.
+
+    The first n of ``inter_sku_transfers`` by time, products and amount, without
+    its rows. A movement makes a row for each pair of different products of its
+    two accounts, in the order of the products. So the n first rows are of the n
+    movements that have the earliest first pair, and of each at most its n first
+    pairs, which are among the first n + 1 products of either account. Every
+    movement meets one row an account; only n of them are expanded.
+    """
+    moves = typed_ledger(raw).select(
+        "sender_va", "receiver_va", "amount", "occurred_at_utc", "period_ym"
+    )
+    sent = lookup_join(moves, _first_skus(bridge, "sender_va", "from_skus", n), "sender_va")
+    both = lookup_join(sent, _first_skus(bridge, "receiver_va", "to_skus", n), "receiver_va")
+
+    def order(sku_from: Column, sku_to: Column) -> list[Column]:
+        return [F.desc_nulls_first("occurred_at_utc"), sku_from, sku_to, F.asc_nulls_last("amount")]
+
+    # The first pair: of the first products, or one of them with the other's second.
+    f, t = F.get("from_skus", F.lit(0))["sku_id"], F.get("to_skus", F.lit(0))["sku_id"]
+    next_f, next_t = F.get("from_skus", F.lit(1))["sku_id"], F.get("to_skus", F.lit(1))["sku_id"]
+    by_next_t = F.when(next_t.isNotNull(), F.struct(f.alias("f"), next_t.alias("t")))
+    by_next_f = F.when(next_f.isNotNull(), F.struct(next_f.alias("f"), t.alias("t")))
+    first = F.when(f != t, F.struct(f.alias("f"), t.alias("t"))).otherwise(F.coalesce(by_next_t, by_next_f))
+    movements = (
+        both.withColumn("first", first)
+        .where(F.col("first").isNotNull())
+        .orderBy(*order(F.col("first.f"), F.col("first.t")))
+        .limit(n)
+    )
+    pairs = F.flatten(
+        F.transform(
+            "from_skus",
+            lambda a: F.transform(
+                F.filter("to_skus", lambda b: b["sku_id"] != a["sku_id"]),
+                lambda b: F.struct(
+                    a["sku_id"].alias("sku_from"), b["sku_id"].alias("sku_to"), (a["rows"] * b["rows"]).alias("rows")
+                ),
+            ),
         )
+    )
+    listed = movements.select(F.inline(F.slice(pairs, 1, n)), "amount", "occurred_at_utc", "period_ym")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least("rows", F.lit(n).cast("long"))))
+    return (
+        listed.select("sku_from", "sku_to", "amount", "occurred_at_utc", "period_ym", copies)
+        .drop("col")
+        .orderBy(*order(F.col("sku_from"), F.col("sku_to")))
         .limit(n)
     )

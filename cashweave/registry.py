@@ -344,7 +344,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "inter_sku_transfers": lambda t: t.transfer_rows,
     "transfers_agg": lambda t: transfers.transfers_agg(t.transfer_rows),
     "transfer_totals": lambda t: t.transfer_totals,
-    "latest_transfers": lambda t: transfers.latest_transfers(t.transfer_rows),
+    "latest_transfers": lambda t: transfers.latest_transfers(t.va_txn, t.bridge),
     # Marts and their reports
     "first_rows": _first_rows,
     "level1": lambda t: t.level1,

@@ -93,5 +93,46 @@ def test_latest_transfers_put_undated_first(spark):
         ("VA-1", "VA-2", "3", "x", "2025-03-02"),
     )
     mapping = bridge(spark, (None, "A", "VA-1", "m"), (None, "B", "VA-2", "m"))
-    latest = transfers.latest_transfers(transfers.inter_sku_transfers(raw, mapping), 2)
+    latest = transfers.latest_transfers(raw, mapping, 2)
     assert [r["amount"] for r in latest.collect()] == [2, 3]
+
+
+def _order(r):
+    date, sku_from, sku_to, amount = r
+    return (date is not None, -date.toordinal() if date else 0, sku_from, sku_to, amount is None, amount or 0)
+
+
+def test_latest_transfers_equal_those_of_all_pairs(spark):
+    """Shared accounts, repeated bridge rows, transfers within a product, ties and undated rows."""
+    dice = random.Random(5)
+    for n in (1, 3, 10, 1000):
+        accounts = [f"VA-{i}" for i in range(7)]
+        mapping = bridge(spark, *[(dice.choice([None, "N"]), dice.choice("ABCDE"), a, "m") for a in accounts[:5] for _ in range(dice.randint(1, 6))])
+        moves = [(dice.choice(accounts), dice.choice(accounts), dice.choice(["-", str(dice.randint(1, 9))]), "x", dice.choice(["2025-01-02", "2025-03-04", "soon"])) for _ in range(50)]
+        raw = ledger(spark, *moves)
+        columns = ("occurred_at_utc", "sku_from", "sku_to", "amount")
+        whole = transfers.inter_sku_transfers(raw, mapping).toDF("s", "r", "amount", "occurred_at_utc", "sku_from", "fm", "sku_to", "tm", "p")
+        wanted = sorted((tuple(r) for r in whole.select(*columns).collect()), key=_order)[:n]
+        found = [tuple(r) for r in transfers.latest_transfers(raw, mapping, n).select(*columns).collect()]
+        assert found == wanted
+
+
+def test_latest_transfers_expand_few_movements(spark):
+    """Two accounts with 3,000 products each, and 200 movements: 50 rows, never nine million pairs each."""
+    raw = ledger(spark, *[("VA-1", "VA-2", str(i), "x", "2025-01-02") for i in range(200)])
+    mapping = spark.range(6000).selectExpr(
+        "cast(null as string) note_id", "concat('S', id) sku_id", "if(id < 3000, 'VA-1', 'VA-2') va_number", "'m' merchant_id"
+    )
+    found = transfers.latest_transfers(raw, mapping).collect()
+    assert [(r["sku_from"], r["sku_to"], int(r["amount"])) for r in found] == [("S0", "S3000", i) for i in range(50)]
+
+
+def test_totals_share_one_pass_over_the_ledger(spark):
+    import re
+
+    from cashweave.registry import registered
+
+    df = registered()["transfer_totals"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_", final)) == 1
