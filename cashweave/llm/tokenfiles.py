@@ -15,8 +15,8 @@ or of a range of the stream, opens the pages that hold them, and a reader of len
 never opens the ids.
 
 Texts are dealt by doc_id, so a part holds a range of ids; rows that share an id (or
-have none) are spread by a hash of the text and then by their number, so that no id and
-no text is a part of its own. Encoding follows the deal: the texts are shuffled once,
+have none) are in the order of the table and dealt by their number there, so that no id
+is a part of its own. Encoding follows the deal: the texts are shuffled once,
 and only ids are written.
 
 Encoding is exact and by the tokenizers library. A word that the pre-tokenizer makes
@@ -24,13 +24,14 @@ never holds white space, so chunks between ASCII white space are encoded apart,
 those seen lately are remembered: so many bytes of them and what one batch brings.
 
 Defined cases: a null or empty text has the end id only; null ids come first; rows of
-one id are ordered by a hash of the text; repeated rows are rows; an empty table gives
+one id keep the order of the table; repeated rows are rows; an empty table gives
 an empty folder with the schema; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -50,9 +51,11 @@ GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Bytes of text that a part is for.
 PART_BYTES = 64 << 20
 #: Remembered chunks: the longest, and the bytes of all (texts and ids).
-CHUNK_BYTES, MEMORY_BYTES = 48, 80 << 20
+CHUNK_BYTES, MEMORY_BYTES = 48, 112 << 20
 #: What a remembered chunk takes beside its bytes.
 _ENTRY_BYTES = 120
+#: Bytes of texts that are cut and looked up together.
+BATCH_BYTES = 2 << 20
 #: Bytes of unknown chunks that go to the library as one text.
 _ASKED_BYTES = 1 << 15
 _TABLES = {
@@ -89,14 +92,17 @@ class Words:
         self.marks = {a[:1].encode() for a in added}
         bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.mapped = {ord(c): bytewise.pre_tokenize_str(c)[0][0] for c in _LETTERS}
-        self.memory, self.known, self.held, self.old = memory, {}, 0, {}
+        self.memory, self.known, self.held = memory, {}, 0
+        # The generation before, and the bytes of one of its chunks.
+        self.old, self.average = {}, 0.0
         self.parts = all(self._letters(p.lower()) == self._ids(p).tobytes() and self._ids(p + ",.$").tolist() == [*self._ids(p), *self._ids(",.$")] for p in _PROBES)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.dtype("<u4"))
 
     def _letters(self, word: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(word.translate(self.mapped))], np.dtype("<u4")).tobytes()
+        ids = [t.id for t in self.model.tokenize(word.translate(self.mapped))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _ask(self, chunks: list[bytes]) -> Iterator[bytes]:
         """The ids of chunks that are asked for as one text."""
@@ -123,12 +129,12 @@ class Words:
 
     def learn(self, chunks: set[bytes]) -> None:
         """Ids of chunks that are not known."""
+        again = chunks & self.old.keys()
+        if again:
+            self.known.update(zip(again, map(self.old.__getitem__, again), strict=True))
+            self.held += int(len(again) * self.average)
         asked, size = [], 0
-        for chunk in chunks:
-            ids = self.old.get(chunk)
-            if ids is not None:
-                self._remember(chunk, ids)
-                continue
+        for chunk in chunks - again:
             word = _WORD.fullmatch(chunk.decode()) if self.parts else None
             if word:
                 ids = self._part(word[1].lower(), True)
@@ -158,6 +164,7 @@ class Words:
             long = [c for c in self.known if len(c) > CHUNK_BYTES]
             for chunk in long:
                 del self.known[chunk]
+            self.average = self.held / max(1, len(self.known) + len(long))
             self.old, self.known, self.held = self.known, {}, 0
         return done
 
@@ -174,7 +181,7 @@ def _encoder(path: str, end: int):
         words = _words[path]
         part, at, last = TaskContext.get().partitionId(), 0, np.array([end], "<u4").tobytes()
         for batch in batches:
-            for lo, hi, data, places in slices(batch.column(1)):
+            for lo, hi, data, places in slices(batch.column(1), BATCH_BYTES):
                 raw = data.tobytes()
                 ids = [i + last for i in words.encode([raw[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)])]
                 counts = np.array([len(i) // 4 for i in ids], np.int64)
@@ -211,7 +218,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, par
     spark = docs.sparkSession
     source = unnamed(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = source.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 32)).first()[0] or 0
-    order = ["doc_id", F.xxhash64("text"), "_row"]
+    order = ["doc_id", "_row"]
     dealt = source.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(max(1, -(-size // part_bytes)), *order).sortWithinPartitions(*order)
     tokens = dealt.select("doc_id", "text").mapInArrow(_encoder(tokenizer, end), _TABLES["tokens"])
     tokens.write.options(**_options(**layout)).parquet(f"{path}/tokens")
