@@ -16,7 +16,7 @@ from cashweave.functions.money import signed_amount, zero
 from cashweave.functions.parsing import TOTAL
 from cashweave.operators.categorise import UNCATEGORISED, Rules, categorise
 from cashweave.operators.keyed import lookup_join
-from cashweave.operators.typed import typed_ledger
+from cashweave.operators.typed import ledger_rows
 
 # Which inflow counts as received. ``funds_to_sku`` does not.
 RECEIVED_CODES = ("merchant_repayment",)
@@ -46,7 +46,7 @@ def _bridge_keys(bridge: DataFrame) -> DataFrame:
 
 def va_txn(raw: DataFrame, rules: Rules, bridge: DataFrame) -> DataFrame:
     """Every ledger row with its category and the receiver's products."""
-    rows = categorise(typed_ledger(raw, trim_remarks=False), rules)
+    rows = categorise(ledger_rows(raw, trim_remarks=False), rules)
     receivers = _bridge_keys(bridge).withColumnRenamed("va_number", "receiver_va")
     return lookup_join(rows, receivers, "receiver_va", "left").select(
         F.coalesce("receiver_va", "sender_va").alias("va_number"),
@@ -70,7 +70,7 @@ def legs(rows: DataFrame) -> DataFrame:
 
 
 def _categorised_legs(raw: DataFrame, rules: Rules) -> DataFrame:
-    return legs(categorise(typed_ledger(raw), rules, default=UNCATEGORISED))
+    return legs(categorise(ledger_rows(raw), rules, default=UNCATEGORISED))
 
 
 def va_txn_flows(raw: DataFrame, rules: Rules, bridge: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def txn_counts(raw: DataFrame, rules: Rules, bridge: DataFrame) -> DataFrame:
     The ledger is counted per receiver and category first; a count is then
     worth as many rows as the receiver has in the bridge, and one if none.
     """
-    rows = categorise(typed_ledger(raw, trim_remarks=False), rules)
+    rows = categorise(ledger_rows(raw, trim_remarks=False), rules)
     counts = rows.groupBy("receiver_va", "category_code").agg(F.count(F.lit(1)).alias("n"))
     times = _bridge_keys(bridge).groupBy(F.col("va_number").alias("receiver_va")).agg(
         F.count(F.lit(1)).alias("times")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cashweave.functions.parsing import TOTAL
 from cashweave.operators.keyed import lookup_join
-from cashweave.operators.typed import typed_ledger
+from cashweave.operators.typed import ledger_rows
 
 
 def _named_bridge(bridge: DataFrame, va: str, sku: str, merchant: str) -> DataFrame:
@@ -23,7 +23,7 @@ def inter_sku_transfers(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     All categories count. An account shared by several products gives one row
     for each of them.
     """
-    moves = typed_ledger(raw).select(
+    moves = ledger_rows(raw).select(
         "sender_va", "receiver_va", "amount", "occurred_at_utc", "period_ym"
     )
     sent = lookup_join(
@@ -146,7 +146,7 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
     product with each counterparty where that is more than it need be.
     """
     pairs = (
-        typed_ledger(raw)
+        ledger_rows(raw)
         .where(F.col("sender_va").isNotNull() & F.col("receiver_va").isNotNull())
         .groupBy("sender_va", "receiver_va")
         .agg(
@@ -216,7 +216,7 @@ def latest_transfers(raw: DataFrame, bridge: DataFrame, n: int = 50) -> DataFram
     pairs, which are among the first n + 1 products of either account. Every
     movement meets one row an account; only n of them are expanded.
     """
-    moves = typed_ledger(raw).select(
+    moves = ledger_rows(raw).select(
         "sender_va", "receiver_va", "amount", "occurred_at_utc", "period_ym"
     )
     sent = lookup_join(moves, _first_skus(bridge, "sender_va", "from_skus", n), "sender_va")

@@ -97,3 +97,27 @@ def typed_ledger(raw: DataFrame, trim_remarks: bool = True) -> DataFrame:
         period_ym(occurred).alias("period_ym"),
         F.lower(remarks).alias("remarks"),
     )
+
+
+def ledger_rows(ledger: DataFrame, trim_remarks: bool = True) -> DataFrame:
+    """``typed_ledger`` of a raw ledger, or of one that was typed untrimmed and written before."""
+    if "sender_va" not in ledger.columns:
+        return typed_ledger(ledger, trim_remarks)
+    return ledger.withColumn("remarks", F.trim("remarks")) if trim_remarks else ledger
+
+
+def pull_totals(external: DataFrame) -> DataFrame:
+    """Bank pulls per account. Marts and checks take sums of these as of the rows."""
+    return external.groupBy("va_number").agg(
+        F.sum("buy_amount").alias("buy_amount"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+_SALES_MEASURES = ("total_funds_inflow", "sales_proceeds", "merchant_top_up", "disbursement_surplus")
+
+
+def sale_totals(sales: DataFrame) -> DataFrame:
+    """Sales per product, likewise."""
+    return sales.groupBy("sku_id").agg(
+        *[F.sum(m).alias(m) for m in _SALES_MEASURES], F.count(F.lit(1)).alias("n_rows")
+    )

@@ -80,7 +80,11 @@ def check_raw_data(tables: dict[str, DataFrame]) -> DataFrame:
     facts = _side_by_side(
         *[df.agg(F.count(F.lit(1)).alias(name)) for name, df in tables.items()]
     )
-    total = reduce(lambda a, b: a + b, [F.col(name) for name in tables])
+    return raw_data_result(facts, reduce(lambda a, b: a + b, [F.col(name) for name in tables]))
+
+
+def raw_data_result(facts: DataFrame, total: Column) -> DataFrame:
+    """The check out of a count that is known already."""
     return _result(facts, "raw_data", FAIL, total > 0, _text("{} raw rows", total))
 
 
@@ -175,9 +179,13 @@ def check_totals(
 
 def outside_band(level1: DataFrame, low: Decimal, high: Decimal) -> DataFrame:
     """Rows whose pulled-minus-received variance is not within [low, high]."""
+    return level1.where(is_outside(low, high))
+
+
+def is_outside(low: Decimal, high: Decimal) -> Column:
     zero = F.lit(0)
     gap = F.coalesce("amount_pulled", zero) - F.coalesce("amount_received", zero)
-    return level1.where((gap < F.lit(low)) | (gap > F.lit(high)))
+    return (gap < F.lit(low)) | (gap > F.lit(high))
 
 
 def check_tolerance(
@@ -186,6 +194,11 @@ def check_tolerance(
     severity: str = WARN,
 ) -> DataFrame:
     facts = outside_band(level1, *band).agg(F.count(F.lit(1)).alias("n"))
+    return tolerance_result(facts, severity)
+
+
+def tolerance_result(facts: DataFrame, severity: str = WARN) -> DataFrame:
+    """The check out of a count ``n`` that is known already."""
     return _result(
         facts, "level1_tolerance", severity, F.col("n") == 0, _text("{} rows outside", F.col("n"))
     )

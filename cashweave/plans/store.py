@@ -16,12 +16,15 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from cashweave.sources import feeds
 
+_SUM = "decimal(38,6)"
+_METRICS = f"sums map<string, {_SUM}>"
 _COMMIT = "sequence long, version string, tables array<string>, published_at timestamp"
 
 
@@ -74,6 +77,38 @@ class Store:
         writer = df.write.mode(mode)
         (writer.partitionBy(by) if by else writer).parquet(self.path(layer, name))
 
+    def write_observed(
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        metrics: dict[str, Column],
+        mode: str = "overwrite",
+        by: str | None = None,
+    ) -> None:
+        """Write a table and, from the same pass, sums over its rows (counts or decimals).
+
+        They are gathered in the tasks that write, so a task that is run again counts
+        once. ``metrics`` gives them back, added up over what was appended. Sums of the
+        table before are dropped first: a run that ends in between leaves none.
+        """
+        if mode == "overwrite":
+            empty = self.spark.createDataFrame([], _METRICS)
+            self.write(empty, "metrics", f"{layer}/{name}")
+        seen = Observation()
+        self.write(df.observe(seen, *[c.cast(_SUM).alias(n) for n, c in metrics.items()]), layer, name, mode, by)
+        got = seen.get
+        row = self.spark.createDataFrame([({n: got.get(n) or Decimal(0) for n in metrics},)], _METRICS)
+        self.write(row.coalesce(1), "metrics", f"{layer}/{name}", mode="append")
+
+    def metrics(self, layer: str, name: str) -> dict[str, Decimal] | None:
+        """The sums of a table, or None where they were not observed."""
+        rows = self.find("metrics", f"{layer}/{name}")
+        found = [r["sums"] for r in rows.collect()] if rows is not None else []
+        if not found:
+            return None
+        return {n: sum((f[n] for f in found), Decimal(0)) for n in found[0]}
+
     def read(self, layer: str, name: str) -> DataFrame:
         """A table of a layer; of a published layer that of the current version."""
         version = self.current(layer)

@@ -95,3 +95,47 @@ def test_versions(spark, tmp_path):
         store.drop_old("x", keep=0)
     store.write(a, "plain", "t")
     assert rows(store.read("plain", "t")) == [(1,)] and store.find("plain", "u") is None
+
+
+def test_sums_are_observed_while_a_table_is_written(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    store = Store(spark, str(tmp_path))
+    rows_of = spark.range(0, 1000, 1, 7).selectExpr("id", "if(id % 10 = 0, null, id / 4) AS amount")
+    sums = {"rows": F.count(F.lit(1)), "amount": F.sum(F.col("amount").cast("decimal(18,2)")), "large": F.count_if(F.col("id") > 900)}
+    assert store.metrics("raw", "t") is None
+    store.write_observed(rows_of, "raw", "t", sums)
+    amount = sum(i / 4 for i in range(1000) if i % 10)
+    assert store.metrics("raw", "t") == {"rows": 1000, "amount": amount, "large": 99}
+    store.write_observed(rows_of.limit(10), "raw", "t", sums, mode="append")
+    assert store.metrics("raw", "t")["rows"] == 1010 == store.read("raw", "t").count()
+    store.write_observed(rows_of.where("id < 0"), "raw", "t", sums)
+    assert store.metrics("raw", "t") == {"rows": 0, "amount": 0, "large": 0}
+    with pytest.MonkeyPatch.context() as patch:  # a write that fails leaves no sums of the table before
+
+        def fails(self, df, layer, name, mode="overwrite", by=None, write=Store.write):
+            if layer == "raw":
+                raise Ended(name)
+            write(self, df, layer, name, mode, by)
+
+        patch.setattr(Store, "write", fails)
+        with pytest.raises(Ended):
+            store.write_observed(rows_of, "raw", "t", sums)
+    assert store.metrics("raw", "t") is None
+
+
+def test_the_ledger_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Transactions, flows and transfers come from the typed ledger; checks count no raw rows."""
+    from cashweave.operators import typed
+    from cashweave.plans import quality
+
+    parsed, plain = [], typed.typed_ledger
+    monkeypatch.setattr(typed, "typed_ledger", lambda *a, **b: parsed.append(1) or plain(*a, **b))
+    store = monthly.load_month(spark, _inputs(tmp_path / "in"), str(tmp_path / "out"))
+    assert len(parsed) == 1
+    monkeypatch.setattr(quality, "check_raw_data", lambda *a: pytest.fail("raw rows were counted again"))
+    monkeypatch.setattr(quality, "check_tolerance", lambda *a, **b: pytest.fail("the band was tested again"))
+    results = {r["check"]: r["detail"] for r in monthly.suite(store).collect()}
+    assert results["raw_data"] == "9 raw rows"
+    monthly.append_demo_outflows(store)
+    assert {r["check"]: r["detail"] for r in monthly.suite(store).collect()}["raw_data"] == "12 raw rows"
