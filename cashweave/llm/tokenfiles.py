@@ -68,6 +68,7 @@ _TABLES = {
 # its own, and no "<", which begins added tokens. The first is one piece and the rest another.
 _LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=-@\[-`{-~]*)")
+_ENDS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'<")
 _PROBES = ["A", "The", "thereis", "ÉTÉ", "naïveté", "Straße", "ÄÖÜ", "ñandúÑ", _LETTERS]
 
 
@@ -134,7 +135,17 @@ class Words:
             self.known.update(zip(again, map(self.old.__getitem__, again), strict=True))
             self.held += int(len(again) * self.average)
         asked, size = [], 0
+        known, part = self.known, self._part
         for chunk in chunks - again:
+            letters = chunk.rstrip(_ENDS) if self.parts else b""
+            if letters.isalpha():  # bytes: A to Z only
+                rest, low = chunk[len(letters) :], letters.lower()
+                ids = known.get(low) or part(low.decode(), True)
+                if rest:
+                    ids += known.get(rest) or part(rest.decode(), False)
+                known[chunk] = ids
+                self.held += len(chunk) + len(ids) + _ENTRY_BYTES
+                continue
             word = _WORD.fullmatch(chunk.decode()) if self.parts else None
             if word:
                 ids = self._part(word[1].lower(), True)
