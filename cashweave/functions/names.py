@@ -7,14 +7,18 @@ import re
 from pyspark.sql import Column, functions as F
 
 
+# What lies between the words of a header; in both forms of its key.
+_HEADER_GAP = "[^a-z0-9]+"
+
+
 def normalise_header(name: str | None) -> str:
     """Lower case; every run of other characters becomes one blank."""
-    return re.sub(r"[^a-z0-9]+", " ", (name or "").lower()).strip()
+    return re.sub(_HEADER_GAP, " ", (name or "").lower()).strip(" ")
 
 
 def header_key(name: Column) -> Column:
     """:func:`normalise_header` as a Column expression."""
-    return F.trim(F.regexp_replace(F.lower(name), "[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(F.lower(name), _HEADER_GAP, " "))
 
 
 def merchant_norm(name: Column) -> Column:

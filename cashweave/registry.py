@@ -28,6 +28,7 @@ from cashweave.plans import level1 as l1, level2 as l2, quality, reports
 from cashweave.plans.store import Store
 from cashweave.scratch import shared_folder
 from cashweave.session import configure
+from cashweave.sources import feeds, records
 from cashweave.sources.bound import Bound
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +145,58 @@ def _header_keys(t: Tables) -> DataFrame:
     return raw.select("raw", header_key(F.col("raw")).alias("normalised"))
 
 
+def _canonical_sales(t: Tables) -> DataFrame:
+    """The sales feed under headings as exports have them, back under its own."""
+    headings = ["Merchant-Name", "note id", "SKU  ID", "Funds  INFLOW", "Sales_Proceed ", "L2+E", "more"]
+    rows = t.repmt_sales.select("merchant", F.lit("no"), "sku_id", "total_funds_inflow", "sales_proceeds", "l2e", F.lit("x"))
+    return typed.typed_sales(feeds.canonicalise(rows.toDF(*headings), feeds.REPMT_SALES))
+
+
+def _lines(rows: DataFrame, key: str, text, per_block: int = 1000) -> DataFrame:
+    """Rows as lines of text with their place: some rows are several lines, over the ends of blocks too."""
+    each = rows.select(F.col(key).cast("long").alias("key"), F.posexplode(F.split(text, "\n")).alias("nth", "line"))
+    numbered = each.select((F.col("key") * 8 + F.col("nth")).alias("line_no"), "line")
+    return numbered.select(F.floor(F.col("line_no") / per_block).alias("block"), "line_no", "line")
+
+
+def _feed_lines(t: Tables) -> DataFrame:
+    """Two files of CSV lines with headers of their own, and quoted cells over several lines."""
+    number = F.col("p_partkey").cast("string")
+    name = F.concat(F.lit('"Supplier ""'), number, F.lit('"",\nof "'))
+    broken = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit('"\n'), number, F.lit('\n\n"'))).otherwise("")
+    first = F.concat_ws(",", name, F.concat(F.lit("S"), number), F.col("p_size"), number, broken)
+    second = F.concat_ws(",", F.concat(F.lit("S"), number), name, number, F.col("p_size"), F.lit('"x"y'), broken)
+    files = []
+    heads = {
+        "a": ("merchant,SKU,total inflow,proceeds,l2e", first),
+        "b": ('SKU ID,"Merchant\nName",Sales Proceed,Fund-Inflow,x,L2+E', second),
+    }
+    for i, (file, (head, text)) in enumerate(heads.items()):
+        body = _lines(t.table("part").where(F.col("p_partkey") % 2 == i), "p_partkey", text)
+        # The count of a line is unique over all files.
+        body = body.withColumn("line_no", F.col("line_no") + (i << 41))
+        top = [(-1, n - 8 * (i + 1), line) for n, line in enumerate(head.split("\n"))]
+        lines = t.spark.createDataFrame(top, "block long, line_no long, line string").unionByName(body)
+        files.append(lines.select(F.lit(file).alias("file"), "block", "line_no", F.concat("line", F.lit("\n")).alias("line")))
+    return feeds.feed_rows(feeds.table_of(files[0].unionByName(files[1])), feeds.REPMT_SALES)
+
+
+def _report_block(t: Tables) -> DataFrame:
+    """The block of a report: all parts, after a preamble and before a total and other rows."""
+    part = t.table("part")
+    number = F.col("p_partkey").cast("string")
+    note = F.when(F.col("p_size") % 5 == 0, F.concat(F.lit('"see\n\n""'), number, F.lit('"""'))).otherwise(number)
+    row = F.concat_ws(",", F.concat(F.lit("SKU-"), number), F.concat(F.lit(" VA-"), number), note)
+    inside = _lines(part, "p_partkey", row)
+    below = _lines(part, "p_partkey", row).withColumns(
+        {"block": F.col("block") + (1 << 40), "line_no": F.col("line_no") + (1 << 43)}
+    )
+    top = ["Report,x", "", '"About', 'SKU ID",y', "SKU ID,Account Number,Note"]
+    fixed = [(-1, n, line) for n, line in enumerate(top)] + [(1 << 39, 1 << 42, "Total of all,9")]
+    lines = t.spark.createDataFrame(fixed, "block long, line_no long, line string")
+    return records.block_of(records.records_of(lines.unionByName(inside).unionByName(below)))
+
+
 def _unread_cells(t: Tables) -> DataFrame:
     """Cells with a text that is neither an amount nor a date, by feed."""
 
@@ -357,6 +410,10 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "accounting_parse": _accounting_parse,
     "header_keys": _header_keys,
     "merchant_norm": lambda t: t.merchant,
+    # Feeds and reports as lines of text
+    "canonical_sales": _canonical_sales,
+    "feed_lines": _feed_lines,
+    "report_block": _report_block,
     # Typed tables
     "typed_external": lambda t: t.external,
     "typed_expected": lambda t: t.expected,

@@ -270,7 +270,7 @@ class Table(NamedTuple):
 
 
 def table_of(lines: DataFrame, name: str = "the lines") -> Table:
-    """Files of lines (``quoted.lines_of``): their headers are found in the job that looks at the splits."""
+    """Files of lines (``quoted.lines_of``) and their headers. ``line_no`` is unique over all files."""
     layout = quoted.layout_of(lines, name)
     firsts = quoted.first_records(lines, layout)
     headers = {

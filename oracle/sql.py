@@ -483,6 +483,10 @@ _CATEGORISED = f"""SELECT l.sender_va, l.receiver_va, {_cents("l.amount", "amoun
 _MOVED = f"""SELECT sku_id, merchant_id, {_cents("moved_out", "transfer_out_to_other_sku")},
     {_cents("moved_in", "transfer_in_from_other_sku")} FROM moved"""
 _PERIOD = "strftime(day, '%Y-%m') AS period_ym"
+_TYPED_SALES = f"""SELECT merchant_name, sku_id,
+      {", ".join(_cents(m, m) for m in ("total_funds_inflow", "sales_proceeds", "l2e"))},
+      {_cents("0", "merchant_top_up")}, {_cents("0", "disbursement_surplus")} FROM sales"""
+
 _RESULTS = {
     "safe_numeric": f"""SELECT sender_va AS va_number, {_cents("sum(amount)", "amount")},
       count(amount) AS n_parsed FROM ledger GROUP BY sender_va""",
@@ -514,9 +518,14 @@ _RESULTS = {
         )
     )
     + " FROM expected",
-    "typed_sales": f"""SELECT merchant_name, sku_id,
-      {", ".join(_cents(m, m) for m in ("total_funds_inflow", "sales_proceeds", "l2e"))},
-      {_cents("0", "merchant_top_up")}, {_cents("0", "disbursement_surplus")} FROM sales""",
+    "typed_sales": _TYPED_SALES,
+    "canonical_sales": _TYPED_SALES,
+    "feed_lines": """SELECT 'Supplier "' || p_partkey || '",' || chr(10) || 'of ' AS merchant,
+      'S' || p_partkey AS sku_id, p_size::VARCHAR AS total_funds_inflow,
+      p_partkey::VARCHAR AS sales_proceeds,
+      CASE WHEN p_size % 3 = 0 THEN chr(10) || p_partkey || chr(10) || chr(10) END AS l2e FROM part""",
+    "report_block": """SELECT CAST(NULL AS VARCHAR) AS note_id, 'SKU-' || p_partkey AS sku_id,
+      'VA-' || p_partkey AS va_number FROM part""",
     "typed_ledger": f"""SELECT 'S-' || l_suppkey AS sender_virtual_account_id, sender_va,
       CAST(NULL AS VARCHAR) AS sender_note_id, 'R-' || l_partkey AS receiver_virtual_account_id,
       receiver_va, CAST(NULL AS VARCHAR) AS receiver_note_id,
