@@ -8,6 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from cashweave.functions.patterns import java_pattern
 from cashweave.operators.keyed import lookup_join
 
 # Up to so many rules one expression is the faster form; the answer is the same.
@@ -18,6 +19,9 @@ CHUNK_RULES = 100
 
 UNCATEGORISED = "uncategorized"
 
+# Fixed value: of rules without a priority.
+DEFAULT_PRIORITY = 100
+
 
 class Rule(NamedTuple):
     raw_pattern: str
@@ -78,8 +82,14 @@ def _rank(rule: Rule) -> tuple:
 
 def _listed(rules: Rules) -> list[Rule]:
     if isinstance(rules, DataFrame):
-        rules = [Rule(*row) for row in rules.select(*Rule._fields).toLocalIterator()]
-    return sorted(rules, key=_rank)
+        rules = [Rule(*row) for row in _with_priority(rules).toLocalIterator()]
+    filled = [r if r.priority is not None else r._replace(priority=DEFAULT_PRIORITY) for r in rules]
+    return sorted(filled, key=_rank)
+
+
+def _with_priority(rules: DataFrame) -> DataFrame:
+    priority = F.coalesce("priority", F.lit(DEFAULT_PRIORITY)).alias("priority")
+    return rules.select(*[priority if c == "priority" else F.col(c) for c in Rule._fields])
 
 
 def _applies(remark: Column, rule: Rule) -> Column:
@@ -89,7 +99,7 @@ def _applies(remark: Column, rule: Rule) -> Column:
     if pattern.isascii() and not _REGEX_SIGNS.search(pattern):
         # Plain text needs no regex engine; remarks are lower case already.
         return remark.contains(pattern.lower())
-    return remark.rlike(f"(?iu){pattern}")
+    return remark.rlike(f"(?iu){java_pattern(pattern)}")
 
 
 def _case(remark: Column, rules: list[Rule], default: str | None) -> Column:
@@ -130,7 +140,7 @@ def _best_rule_per_remark(df: DataFrame, rules: Rules, remark: str) -> DataFrame
     """Distinct remarks and the best rule of each: exact ones by join, regex ones by expression."""
     spark = df.sparkSession
     if isinstance(rules, DataFrame):
-        table = rules.select(*Rule._fields)
+        table = _with_priority(rules)
         regex = _listed(table.where("is_regex"))
         exact = table.where(~F.coalesce("is_regex", F.lit(False)))
     else:

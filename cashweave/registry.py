@@ -236,6 +236,24 @@ def _categorise(strategy: str) -> Callable[[Tables], DataFrame]:
     return query
 
 
+# Rules with every form of pattern that Java writes otherwise.
+_POSIX_RULES = [
+    Rule(r"^[[:space:]]*merchant-[[:alpha:]]+[[:space:]]*$", "padded", True, 10),
+    Rule(r"\mint", "begins int", True, 20),
+    Rule(r"[[:<:]]sku[[:>:]]", "a sku", True, 30),
+    Rule(r"fee\M", "ends fee", True, 40),
+    Rule(r"\yinterest\y.*\yprincipal\y", "both", True, 50),
+    Rule(r"^[^[:digit:][:blank:]]{3,}-[[:alnum:]]+-[]a-z]{4,8}[[:blank:]]?", "dashes", True, 60),
+    Rule(r"(?:jr|sr)[ ]", "short", True, 70),
+    Rule(r"***=b", "a letter", True, None),
+]
+
+
+def _categorise_posix(t: Tables) -> DataFrame:
+    rows = categorise(typed.typed_ledger(t.va_txn, trim_remarks=False), _POSIX_RULES, default=UNCATEGORISED)
+    return rows.groupBy("remarks", "category_code").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _first_rows(t: Tables) -> DataFrame:
     rows = l1.universe(t.bridge, t.merchant)
     by_sku, by_va = (
@@ -422,6 +440,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # Rule lookup and the ledger
     "categorise_case": _categorise("case"),
     "categorise_join": _categorise("join"),
+    "categorise_posix": _categorise_posix,
     "va_txn": lambda t: t.txn,
     "category_breakdown": lambda t: ledger.category_breakdown(t.txn_counts),
     "va_txn_flows": lambda t: t.flows,

@@ -536,6 +536,17 @@ _RESULTS = {
       lower(trim(coalesce(remark_text, ''))) AS remarks FROM ledger_text""",
     "categorise_case": _CATEGORISED,
     "categorise_join": _CATEGORISED,
+    "categorise_posix": r"""SELECT remarks, CASE
+        WHEN regexp_matches(remarks, '^[[:space:]]*merchant-[[:alpha:]]+[[:space:]]*$') THEN 'padded'
+        WHEN regexp_matches(remarks, '\bint') THEN 'begins int'
+        WHEN regexp_matches(remarks, '\bsku\b') THEN 'a sku'
+        WHEN regexp_matches(remarks, 'fee\b') THEN 'ends fee'
+        WHEN regexp_matches(remarks, '\binterest\b.*\bprincipal\b') THEN 'both'
+        WHEN regexp_matches(remarks, '^[^0-9 \t]{3,}-[[:alnum:]]+-[a-z]{4,8}') THEN 'dashes'
+        WHEN regexp_matches(remarks, '(jr|sr) ') THEN 'short'
+        WHEN contains(remarks, 'b') THEN 'a letter' ELSE 'uncategorized' END AS category_code,
+      count(*) AS n
+      FROM (SELECT lower(coalesce(remark_text, '')) AS remarks FROM ledger_text) GROUP BY ALL""",
     "va_txn": f"""SELECT va_number, sku_id, merchant_id, category_code,
       {_cents("amount", "amount")}, {_iso("day", "occurred_at_utc")}, {_PERIOD}, remarks
       FROM txn""",
