@@ -35,6 +35,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 256 << 10, 2_000
 #: Bytes of text that a part is for.
 PART_BYTES = 64 << 20
 #: Remembered chunks: the longest, and the bytes of all (texts and ids).
-CHUNK_BYTES, MEMORY_BYTES = 48, 112 << 20
+CHUNK_BYTES, MEMORY_BYTES = 48, 160 << 20
 #: What a remembered chunk takes beside its bytes.
 _ENTRY_BYTES = 120
 #: Bytes of texts that are cut and looked up together.
@@ -168,7 +169,7 @@ class Words:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of whole texts, as little-endian unsigned 32-bit integers."""
         cut = [t.split() for t in texts]  # bytes split at ASCII white space, and at nothing else
-        self.learn(set().union(*cut) - self.known.keys())
+        self.learn(set(filterfalse(self.known.__contains__, set().union(*cut))))
         done = [b"".join(map(self.known.__getitem__, c)) for c in cut]
         if self.held > self.memory // 2:
             # What was used since the last change of generation stays for one more.
