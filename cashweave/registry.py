@@ -24,6 +24,7 @@ from cashweave.operators.categorise import (
     categorise,
     rules_frame,
 )
+from cashweave.operators.positions import with_positions
 from cashweave.plans import level1 as l1, level2 as l2, quality, reports
 from cashweave.plans.store import Store
 from cashweave.scratch import shared_folder
@@ -314,6 +315,23 @@ def _validated_mapping(t: Tables) -> DataFrame:
     return upserts.validated_mapping(t.bridge_batch, t.repmt_sales, t.repmt_sku, t.merchant)
 
 
+def _ordered_level1(t: Tables) -> DataFrame:
+    """The export with the line each row is printed on."""
+    rows = presented(l1.level1_export(t.level1))
+    first = ["SKU ID", "Account Number", "Merchant"]
+    return with_positions(rows, [*first, *[c for c in rows.columns if c not in first]])
+
+
+def _ordered_level2a(t: Tables) -> DataFrame:
+    rows = presented(t.level2a).select(*reports.PREVIEW_COLUMNS)
+    first = ["SKU ID", "Merchant"]
+    return with_positions(rows, [*first, *[c for c in rows.columns if c not in first]])
+
+
+def _ordered_rules(t: Tables) -> DataFrame:
+    return with_positions(_add_rules(t), ["priority", "raw_pattern", "category_code"])
+
+
 def _known_merchants(t: Tables) -> DataFrame:
     """Merchants on file so far: suppliers of nation 15 and above."""
     return upserts.merchant_rows(
@@ -457,6 +475,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "first_rows": _first_rows,
     "level1": lambda t: t.level1,
     "level1_export": lambda t: l1.level1_export(t.level1),
+    "level1_in_order": _ordered_level1,
+    "level2a_in_order": _ordered_level2a,
+    "rules_in_order": _ordered_rules,
     "level1_top_variance": lambda t: reports.level1_top_variance(t.level1),
     "variance_overview": lambda t: reports.variance_overview(t.level1),
     "level1_lookup": lambda t: reports.level1_rows_for(t.level1, "SKU-7", "VA-7"),

@@ -483,6 +483,12 @@ _CATEGORISED = f"""SELECT l.sender_va, l.receiver_va, {_cents("l.amount", "amoun
 _MOVED = f"""SELECT sku_id, merchant_id, {_cents("moved_out", "transfer_out_to_other_sku")},
     {_cents("moved_in", "transfer_in_from_other_sku")} FROM moved"""
 _PERIOD = "strftime(day, '%Y-%m') AS period_ym"
+def _in_order(rows: str, first: list[str], rest: list[str]) -> str:
+    order = [*first, *[c for c in rest if c not in first]]
+    keys = ", ".join(f'"{c}" NULLS LAST' for c in order)
+    return f"SELECT row_number() OVER (ORDER BY {keys}) AS position, * FROM ({rows})"
+
+
 _TYPED_SALES = f"""SELECT merchant_name, sku_id,
       {", ".join(_cents(m, m) for m in ("total_funds_inflow", "sales_proceeds", "l2e"))},
       {_cents("0", "merchant_top_up")}, {_cents("0", "disbursement_surplus")} FROM sales"""
@@ -584,6 +590,22 @@ _RESULTS = {
     + _first("va_number", "va_sku_rank"),
     "level1": f"SELECT {_level1_columns()} FROM level1",
     "level1_export": f"SELECT {_level1_columns(EXPORT_HEADINGS)} FROM level1",
+    "level1_in_order": _in_order(
+        f"SELECT {_level1_columns(EXPORT_HEADINGS)} FROM level1",
+        ["SKU ID", "Account Number", "Merchant"],
+        list(EXPORT_HEADINGS.values()),
+    ),
+    "level2a_in_order": _in_order(
+        f"SELECT {_level2a_columns(PREVIEW_COLUMNS)} FROM level2a", ["SKU ID", "Merchant"], PREVIEW_COLUMNS
+    ),
+    "rules_in_order": _in_order(
+        """SELECT raw_pattern, category_code, is_regex, priority FROM rules
+      UNION ALL SELECT 'brand#10', 'brand', true, 5
+      UNION ALL SELECT DISTINCT lower(p_brand), 'brand', false, 90 FROM part
+      WHERE p_brand <> 'Brand#10'""",
+        ["priority", "raw_pattern", "category_code"],
+        [],
+    ),
     "level1_top_variance": f"""SELECT sku_id, merchant,
       {", ".join(_cents(c, c) for c in ("amount_pulled", "amount_received", "sales_proceeds"))},
       {_cents("sales_proceeds - amount_received", "variance_sales")}
