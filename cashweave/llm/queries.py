@@ -23,7 +23,5 @@ QUERIES = {
 ORACLES = {
     "op3_url_filters": urls.OP3_SQL,
     "op10_substring_dedup": substrings.OP10_SQL,
-    "op11_conversation_repair": conversations.op11_conversation_repair,
-    "op12_token_files": tokenfiles.op12_token_files,
     "op13_filter_audit": interaction.OP13_SQL,
 }

@@ -14,6 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_all_are_registered():
     assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
+    assert all(isinstance(sql, str) for sql in contract.oracle_sql().values())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
