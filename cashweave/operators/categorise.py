@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cashweave.functions.patterns import java_pattern
 from cashweave.operators.keyed import lookup_join
+from cashweave.scratch import written
 
 # Up to so many rules one expression is the faster form; the answer is the same.
 CASE_RULES = 300
@@ -168,7 +169,9 @@ def categorise(
     ``case`` compiles the rules into one expression: no join and no shuffle.
     ``join`` looks up each distinct remark once and joins the answer back, for
     rule tables too long for that: exact rules meet remarks in an equi-join,
-    regex rules are expressions. Both give the same answer for any rules;
+    regex rules are expressions. The answers are written when this is called, so
+    that measuring and joining them looks nothing up again; df is read once for
+    its remarks and once for the result. Both give the same answer for any rules;
     ``auto`` goes by their number.
     """
     if strategy == "auto":
@@ -179,7 +182,8 @@ def categorise(
         return df.withColumn("category_code", _case(F.col(remark), _listed(rules), default))
     if strategy != "join":
         raise ValueError(f"unknown strategy {strategy!r}")
-    found = lookup_join(df, _best_rule_per_remark(df, rules, remark), remark, "left")
+    best = written(_best_rule_per_remark(df, rules, remark), "rule-of-remark")
+    found = lookup_join(df, best, remark, "left")
     if default is not None:
         found = found.withColumn(
             "category_code", F.coalesce("category_code", F.lit(default))

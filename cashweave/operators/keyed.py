@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,10 +17,6 @@ BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 2_000_000
 
 
-# Rows without a key are dealt out over so many parts.
-_SPREAD = 1024
-
-
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str
 ) -> DataFrame:
@@ -56,7 +53,11 @@ def hot_keys(df: DataFrame, key: str, per_task: int = ROWS_PER_TASK) -> DataFram
 
     The counts are pre-aggregated per input split.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    return hot_counts(df.where(F.col(key).isNotNull()).groupBy(key).count(), key, per_task)
+
+
+def hot_counts(counts: DataFrame, key: str, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The same from rows per key (column ``count``) that are known already."""
     return counts.where(F.col("count") > per_task).select(
         key, F.ceil(F.col("count") / per_task).alias("copies")
     )
@@ -68,25 +69,33 @@ def salted_join(
     key: str,
     how: str,
     per_task: int = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on one key that splits the hot keys of the left side.
 
     Left rows of a hot key are dealt out over ``copies`` salts by their input
     split, which a recomputed task reproduces; the right rows of that key are
-    repeated once per salt. Other keys have the one salt 0, and rows without a
-    key, which match nothing, are spread. Inner and left only.
+    repeated once per salt. Other keys have the one salt 0. Rows without a key,
+    which match nothing, are left out of an inner join and else have a salt for
+    each input split, so their parts grow in number and not in size. ``hot`` may
+    bring the hot keys where they are known. Inner and left only.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
-    hot = hot_keys(left, key, per_task)
+    if how == "inner":
+        left = left.where(F.col(key).isNotNull())
+    if hot is None:
+        hot = hot_keys(left, key, per_task)
     if fits_broadcast(hot):
         hot = F.broadcast(hot)
-    copies = F.when(F.col(key).isNull(), F.lit(_SPREAD)).otherwise(
-        F.coalesce(F.col("copies"), F.lit(1))
+    # The split is noted before the hot keys come in, which may take a shuffle.
+    split = left.withColumn("__split", F.spark_partition_id())
+    salt = F.when(F.col(key).isNull(), F.col("__split")).otherwise(
+        F.pmod("__split", F.coalesce(F.col("copies"), F.lit(1)))
+    )
+    dealt = split.join(hot, key, "left").withColumn("__salt", salt.cast("int")).drop(
+        "copies", "__split"
     )
-    dealt = left.join(hot, key, "left").withColumn(
-        "__salt", F.pmod(F.spark_partition_id(), copies).cast("int")
-    ).drop("copies")
     repeated = right.join(hot, key, "left").withColumn(
         "__salt",
         F.explode(
@@ -105,15 +114,16 @@ def lookup_join(
     how: str = "inner",
     rows: int = BROADCAST_ROWS,
     per_task: int = ROWS_PER_TASK,
+    hot: Callable[[], DataFrame] | None = None,
 ) -> DataFrame:
     """Row-level join of a very large side to a key table.
 
     Without a shuffle while the key table is measured to be small, else with its
-    hot keys split.
+    hot keys split; ``hot`` is asked for them only then.
     """
     if fits_broadcast(right, rows):
         return left.join(F.broadcast(right), key, how)
-    return salted_join(left, right, key, how, per_task)
+    return salted_join(left, right, key, how, per_task, hot() if hot else None)
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

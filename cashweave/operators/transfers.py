@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cashweave.functions.parsing import TOTAL
-from cashweave.operators.keyed import lookup_join
+from cashweave.operators.keyed import BROADCAST_ROWS, ROWS_PER_TASK, hot_counts, lookup_join
 from cashweave.operators.typed import ledger_rows
+from cashweave.scratch import written
 
 
 def _named_bridge(bridge: DataFrame, va: str, sku: str, merchant: str) -> DataFrame:
@@ -17,21 +20,45 @@ def _named_bridge(bridge: DataFrame, va: str, sku: str, merchant: str) -> DataFr
     )
 
 
-def inter_sku_transfers(raw: DataFrame, bridge: DataFrame) -> DataFrame:
+def inter_sku_transfers(
+    raw: DataFrame,
+    bridge: DataFrame,
+    rows: int = BROADCAST_ROWS,
+    per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Movements whose sender and receiver belong to different products.
 
     All categories count. An account shared by several products gives one row
-    for each of them.
+    for each of them. A bridge of more than ``rows`` rows is joined with the
+    accounts split that have more than ``per_task`` rows.
     """
     moves = ledger_rows(raw).select(
         "sender_va", "receiver_va", "amount", "occurred_at_utc", "period_ym"
     )
-    sent = lookup_join(
-        moves, _named_bridge(bridge, "sender_va", "from_sku_id", "from_merchant_id"), "sender_va"
-    )
-    both = lookup_join(
-        sent, _named_bridge(bridge, "receiver_va", "to_sku_id", "to_merchant_id"), "receiver_va"
-    )
+    whole = moves.where("sender_va is not null and receiver_va is not null")
+    senders = _named_bridge(bridge, "sender_va", "from_sku_id", "from_merchant_id")
+    receivers = _named_bridge(bridge, "receiver_va", "to_sku_id", "to_merchant_id")
+
+    # Rows of either join per account, from one pass over the ledger; asked for only
+    # where the bridge is too large to be broadcast.
+    @cache
+    def pairs() -> DataFrame:
+        return written(whole.groupBy("sender_va", "receiver_va").count(), "transfer-pairs")
+
+    def per_sender() -> DataFrame:
+        return hot_counts(
+            pairs().groupBy("sender_va").agg(F.sum("count").alias("count")), "sender_va", per_task
+        )
+
+    def per_receiver() -> DataFrame:
+        products = senders.groupBy("sender_va").agg(F.count(F.lit(1)).alias("products"))
+        made = pairs().join(products, "sender_va").groupBy("receiver_va")
+        return hot_counts(
+            made.agg(F.sum(F.col("count") * F.col("products")).alias("count")), "receiver_va", per_task
+        )
+
+    sent = lookup_join(whole, senders, "sender_va", rows=rows, per_task=per_task, hot=per_sender)
+    both = lookup_join(sent, receivers, "receiver_va", rows=rows, per_task=per_task, hot=per_receiver)
     return both.where(F.col("from_sku_id") != F.col("to_sku_id")).select(
         "sender_va",
         "receiver_va",

@@ -115,3 +115,19 @@ def test_order_of_the_rule_table(spark):
     first = rules_in_order(rules_frame(spark)).first()
     assert first["raw_pattern"] == "merchant-repayment"
     assert rules_frame(spark).count() == 18
+
+
+def test_join_reads_the_rows_for_remarks_and_for_the_result_only(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    remarks = spark.range(0, 400, numPartitions=4).selectExpr(
+        "if(id % 2 = 0, 'sr interest', concat('other ', id % 7)) AS remarks"
+    )
+    found = categorise(remarks.mapInArrow(counted, "remarks string"), SHIPPED_RULES, strategy="join")
+    assert dict(rows(found.groupBy("category_code").count())) == {"sr_int": 200, None: 200}
+    assert seen.value == 800

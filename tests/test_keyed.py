@@ -84,3 +84,19 @@ def test_null_safe_join(spark):
 def test_one_per_key_is_the_smallest(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 3, "z")], "k string, n int, t string")
     assert rows(keyed.one_per_key(df, ["k"])) == [(None, 3, "z"), ("a", 1, "y")]
+
+
+def test_rows_without_a_key_have_a_part_for_each_split(spark):
+    """A left join keeps them and spreads them; an inner join does not shuffle them."""
+    left = spark.range(0, 4000, numPartitions=8).select("id", F.lit(None).cast("string").alias("k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = keyed.salted_join(left, _lookup(spark), "k", "left")
+        tasks = kept.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(t["count"] for t in tasks) == 4000 and len(tasks) > 1
+        assert keyed.salted_join(left, _lookup(spark), "k", "inner").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

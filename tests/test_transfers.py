@@ -136,3 +136,42 @@ def test_totals_share_one_pass_over_the_ledger(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert len(re.findall(r"FileScan parquet \[l_", final)) == 1
+
+
+def test_rows_with_a_bridge_too_large_to_broadcast(spark, monkeypatch):
+    """Equal rows by the split joins; what is hot at either join is told from pairs of accounts."""
+    dice = random.Random(5)
+    accounts = ["VA-hot", *[f"VA-{i}" for i in range(12)], None]
+    moves = [
+        (dice.choice(accounts), "VA-hot" if i % 3 == 0 else dice.choice(accounts), str(i), "x")
+        for i in range(300)
+    ]
+    # The sender VA-many has few movements and many products: hot at the second join only.
+    moves += [("VA-many", "VA-far", "1", "x"), ("VA-many", "VA-far", "2", "x")]
+    raw = ledger(spark, *moves)
+    mapping = bridge(
+        spark,
+        *[(None, f"S{i % 5}", f"VA-{i}", "m") for i in range(12)],
+        (None, "S9", "VA-hot", "m"),
+        (None, "S8", "VA-hot", "m"),
+        (None, "S7", "VA-far", "m"),
+        (None, "S7", None, "m"),
+        *[(None, f"P{i}", "VA-many", "m") for i in range(40)],
+    )
+    asked = []
+    counts = transfers.hot_counts
+
+    def noted(*args):
+        found = counts(*args)
+        asked.append(dict(rows(found)))
+        return found
+
+    monkeypatch.setattr(transfers, "hot_counts", noted)
+    plain = rows(transfers.inter_sku_transfers(raw, mapping))
+    assert asked == []
+    assert rows(transfers.inter_sku_transfers(raw, mapping, rows=0, per_task=20)) == plain
+    first, second = asked
+    sent = [m[0] for m in moves if None not in m[:2]]
+    wanted = {a: -(-sent.count(a) // 20) for a in set(sent) if sent.count(a) > 20}
+    assert first == wanted and "VA-many" not in first
+    assert second["VA-far"] == 4 and second["VA-hot"] > 1
