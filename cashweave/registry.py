@@ -198,6 +198,65 @@ def _report_block(t: Tables) -> DataFrame:
     return records.block_of(records.records_of(lines.unionByName(inside).unionByName(below)))
 
 
+def _golden_rows(t: Tables) -> DataFrame:
+    """A reference export of all orders: columns in an order of its own, cells as people leave them."""
+    order, number = t.table("orders"), F.col("o_orderkey").cast("string")
+    customer, status = F.col("o_custkey").cast("string"), F.col("o_orderstatus")
+    price = F.format_number("o_totalprice", 2)
+    sku = F.when(status == "O", "").otherwise(F.concat(F.lit(" SKU-"), number))
+    merchant = F.when(
+        F.col("o_custkey") % 3 == 0, F.concat(F.lit('"M ""'), customer, F.lit('"",\nand ""sons"""'))
+    ).otherwise(F.concat(F.lit("M-"), customer, F.lit(" ")))
+    received = F.when(status == "P", " - ").otherwise(F.format_string('"%s"', price))
+    sold = F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(customer)
+    row = F.concat_ws(",", merchant, F.lit("x"), sku, sold, F.concat(F.lit("VA-"), number), received, F.format_string('" %s "', price))
+    top = [
+        "Formula and output,SKU ID", "", '"About', 'SKU ID, Account Number"',
+        "Merchant,,SKU ID,Sales Proceeds,Account Number,Amount Received,Amount Pulled",
+    ]
+    head = t.spark.createDataFrame([(-1, n, text) for n, text in enumerate(top)], "block long, line_no long, line string")
+    return records.golden_of(records.records_of(head.unionByName(_lines(order, "o_orderkey", row))))
+
+
+def _exported(t: Tables, df: DataFrame, spec: feeds.FeedSpec) -> str:
+    """A feed as CSV files under headings as exports have them; their folder."""
+    headings = [f"{spec.aliases[c][1].title().replace(' ', '_')} " for c in spec.columns]
+    path = f"{shared_folder(t.spark)}/export-{spec.name}-{uuid.uuid4().hex}"
+    feeds.write_csv(df.select(*spec.columns).toDF(*headings), path)
+    return path
+
+
+def _prepped(t: Tables, df: DataFrame, spec: feeds.FeedSpec) -> str:
+    """The exported feed under canonical headings; the folder of its files."""
+    path = f"{shared_folder(t.spark)}/prepped-{spec.name}-{uuid.uuid4().hex}"
+    feeds.write_csv(feeds.read_feed(t.spark, _exported(t, df, spec), spec), path)
+    return path
+
+
+def _accounts_from_files(t: Tables) -> DataFrame:
+    spec = feeds.EXTERNAL_ACCOUNTS
+    return typed.typed_external(feeds.read_feed(t.spark, _exported(t, t.external_accounts, spec), spec))
+
+
+def _repayments_from_files(t: Tables) -> DataFrame:
+    spec = feeds.REPMT_SKU
+    return typed.typed_expected(feeds.read_feed(t.spark, _exported(t, t.repmt_sku, spec), spec))
+
+
+def _ledger_from_files(t: Tables) -> DataFrame:
+    """From exported files to canonical ones, and these loaded by position."""
+    spec = feeds.VA_TXN
+    return typed.typed_ledger(feeds.load_columns(t.spark, _prepped(t, t.va_txn, spec), spec.columns))
+
+
+def _check_headers(t: Tables) -> DataFrame:
+    """Canonical files have the headings they should, exported ones do not."""
+    sales, sku = feeds.REPMT_SALES, feeds.REPMT_SKU
+    files = [(sales, _prepped(t, t.repmt_sales, sales)), (sku, _exported(t, t.repmt_sku, sku))]
+    found = {spec.name: (feeds.header_of(t.spark, path), spec.columns) for spec, path in files}
+    return quality.check_headers(t.spark, found)
+
+
 def _unread_cells(t: Tables) -> DataFrame:
     """Cells with a text that is neither an amount nor a date, by feed."""
 
@@ -311,6 +370,21 @@ def _load_mapping(t: Tables) -> DataFrame:
     ).bridge
 
 
+def _load_mapping_skus(t: Tables) -> DataFrame:
+    """The products after the load: those on file under another merchant move, those not mapped stay."""
+    other = F.sha2(F.lit("Supplier#000000000"), 256)
+    known = t.sku.where(F.substring_index("sku_id", "-", -1).cast("long") % 3 > 0)
+    gone = t.sku.select(F.concat(F.lit("GONE-"), "sku_id").alias("sku_id"), "merchant_id")
+    return upserts.load_mapping(
+        t.bridge_batch,
+        t.repmt_sales,
+        _owners(t),
+        t.merchant,
+        known.withColumn("merchant_id", other).unionByName(gone),
+        _stale_bridge(t),
+    ).sku
+
+
 def _validated_mapping(t: Tables) -> DataFrame:
     return upserts.validated_mapping(t.bridge_batch, t.repmt_sales, t.repmt_sku, t.merchant)
 
@@ -450,6 +524,12 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "canonical_sales": _canonical_sales,
     "feed_lines": _feed_lines,
     "report_block": _report_block,
+    "golden_rows": _golden_rows,
+    # Feeds as files
+    "accounts_from_files": _accounts_from_files,
+    "repayments_from_files": _repayments_from_files,
+    "ledger_from_files": _ledger_from_files,
+    "check_headers": _check_headers,
     # Typed tables
     "typed_external": lambda t: t.external,
     "typed_expected": lambda t: t.expected,
@@ -496,6 +576,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "add_bridge_rows": _add_bridge_rows,
     "validated_mapping": _validated_mapping,
     "load_mapping": _load_mapping,
+    "load_mapping_skus": _load_mapping_skus,
     "mapping_counts": lambda t: upserts.mapping_counts(t.bridge),
     "sku_coverage": lambda t: upserts.sku_coverage(t.sku, t.repmt_sales),
     # Checks and status

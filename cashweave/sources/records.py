@@ -134,7 +134,11 @@ GOLDEN_COLUMNS = {
 
 def golden_level1(spark: SparkSession, path: str) -> DataFrame:
     """Expected level-1 rows out of the reference export, in cents."""
-    records = read_records(spark, path)
+    return golden_of(read_records(spark, path), path)
+
+
+def golden_of(records: DataFrame, path: str = "the lines") -> DataFrame:
+    """Level-1 rows below the first record that has the headings, whatever their order."""
     place = F.struct("block", "line_no")
     likely = records.where(
         F.col("record").contains("SKU ID") & F.col("record").contains("Account Number")
@@ -192,6 +196,7 @@ __all__ = [
     "find_reference_export",
     "golden_in_order",
     "golden_level1",
+    "golden_of",
     "level1_amounts_export",
     "read_records",
 ]

@@ -532,6 +532,14 @@ _RESULTS = {
       CASE WHEN p_size % 3 = 0 THEN chr(10) || p_partkey || chr(10) || chr(10) END AS l2e FROM part""",
     "report_block": """SELECT CAST(NULL AS VARCHAR) AS note_id, 'SKU-' || p_partkey AS sku_id,
       'VA-' || p_partkey AS va_number FROM part""",
+    "golden_rows": f"""SELECT 'SKU-' || o_orderkey AS sku_id, 'VA-' || o_orderkey AS account_number,
+      CASE WHEN o_custkey % 3 = 0 THEN 'M "' || o_custkey || '",' || chr(10) || 'and "sons"'
+        ELSE 'M-' || o_custkey END AS merchant, {_cents("o_totalprice", "amount_pulled")},
+      {_cents("CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END", "amount_received")},
+      {_cents("CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE o_custkey END", "sales_proceeds")}
+      FROM orders WHERE o_orderstatus <> 'O'""",
+    "check_headers": """SELECT 'csv_headers' AS "check", 'fail' AS severity, false AS passed,
+      'header mismatch: repmt_sku' AS detail""",
     "typed_ledger": f"""SELECT 'S-' || l_suppkey AS sender_virtual_account_id, sender_va,
       CAST(NULL AS VARCHAR) AS sender_note_id, 'R-' || l_partkey AS receiver_virtual_account_id,
       receiver_va, CAST(NULL AS VARCHAR) AS receiver_note_id,
@@ -648,6 +656,12 @@ _RESULTS = {
       FULL JOIN (SELECT DISTINCT sku_id FROM expected) e ON e.sku_id = s.sku_id""",
     "replace_by": "SELECT * FROM replaced",
     "load_mapping": "SELECT * FROM replaced",
+    "load_mapping_skus": """SELECT DISTINCT sku_id, merchant_id FROM bridge
+      UNION ALL
+      SELECT 'GONE-' || sku_id, merchant_id FROM sku
+      UNION ALL
+      SELECT 'SKU-' || p_partkey, sha256('Supplier#000000000') FROM part
+      WHERE p_partkey % 3 > 0 AND 'SKU-' || p_partkey NOT IN (SELECT sku_id FROM bridge)""",
     "upsert_merchants": """SELECT sha256(merchant_name) AS merchant_id, merchant_name,
       lower(merchant_name) AS merchant_name_norm
       FROM (SELECT merchant_name FROM known UNION SELECT merchant_name FROM sales)""",
@@ -722,6 +736,13 @@ _RESULTS = {
       FROM (SELECT * FROM pulled ORDER BY amount DESC NULLS FIRST, va_number LIMIT 20)""",
 }
 
+# What comes through files is what went into them.
+_RESULTS |= {
+    "accounts_from_files": _RESULTS["typed_external"],
+    "repayments_from_files": _RESULTS["typed_expected"],
+    "ledger_from_files": _RESULTS["typed_ledger"],
+}
+
 
 def oracles() -> dict[str, str]:
     return {name: f"{_PRELUDE}\n{query}" for name, query in _RESULTS.items()}
