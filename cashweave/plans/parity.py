@@ -9,6 +9,8 @@ Equal rows are counted first, so a row costs nothing however often it repeats, a
 with equal counts on both sides are done with. The cells of other keys (amounts in cents
 and merchant) fall into clusters: two rows can match only if no gap wider than the
 tolerance lies between their amounts. A cluster of one cell is settled by its counts.
+Most cells are alone by their first amount already. Those are told from the others by one
+sort, and written; the rest of the clusters and their lists are of the others only.
 Only clusters of several cells, amounts a cent apart, are matched cell by cell.
 """
 
@@ -22,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cashweave.operators.keyed import null_safe_join
+from cashweave.scratch import written
 
 CENT = Decimal("0.01")
 KEYS = ["sku_id", "account_number"]
@@ -55,6 +58,25 @@ def _clusters(cells: DataFrame, tolerance: Decimal) -> DataFrame:
     return cells
 
 
+def _told_apart(cells: DataFrame, tolerance: Decimal) -> DataFrame:
+    """cells, each with whether no other of its key has a first amount within the tolerance."""
+    amount, w = F.col(AMOUNTS[0]), Window.partitionBy(*KEYS).orderBy(AMOUNTS[0])
+    gaps = [amount - F.lag(amount).over(w), F.lead(amount).over(w) - amount]
+    far = [F.coalesce(gap > F.lit(tolerance), F.lit(True)) for gap in gaps]
+    return cells.withColumn("alone", far[0] & far[1])
+
+
+def _settled(clusters: DataFrame) -> DataFrame:
+    """Rows left over of clusters of one cell."""
+    both = F.least("expected", "actual")
+    return clusters.select(
+        *KEYS,
+        (F.col("expected") - both).alias("missed"),
+        (F.col("actual") - both).alias("added"),
+        F.lit(0).cast("long").alias("renamed"),
+    )
+
+
 _LEFT = "sku_id string, account_number string, missed bigint, added bigint, renamed bigint"
 
 
@@ -102,20 +124,17 @@ def parity_counts(expected: DataFrame, actual: DataFrame, tolerance: Decimal = C
     cells = _cells(expected, actual)
     uneven = cells.where("expected <> actual").select(*KEYS).distinct()
     parts = [f"part_{i}" for i in range(len(AMOUNTS))]
-    open_cells = _clusters(null_safe_join(cells, uneven, KEYS, "left_semi"), tolerance)
-    clusters = open_cells.groupBy(*KEYS, *parts).agg(
+    # Written between the sorts, so that no task holds those of both.
+    open_cells = written(
+        _told_apart(null_safe_join(cells, uneven, KEYS, "left_semi"), tolerance), "parity-cells"
+    )
+    clusters = _clusters(open_cells.where("not alone").drop("alone"), tolerance).groupBy(*KEYS, *parts).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("expected").alias("expected"),
         F.sum("actual").alias("actual"),
         F.collect_list(F.struct(*AMOUNTS, "merchant", "expected", "actual")).alias("cells"),
     )
-    both = F.least("expected", "actual")
-    alone = clusters.where("n = 1").select(
-        *KEYS,
-        (F.col("expected") - both).alias("missed"),
-        (F.col("actual") - both).alias("added"),
-        F.lit(0).cast("long").alias("renamed"),
-    )
+    alone = _settled(open_cells.where("alone")).unionByName(_settled(clusters.where("n = 1")))
     several = clusters.where("n > 1").select(*KEYS, "cells").mapInPandas(_matched(tolerance), _LEFT)
     left = alone.unionByName(several).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in ("missed", "added", "renamed")])
     pairs = F.least("missed", "added")

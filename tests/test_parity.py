@@ -93,3 +93,15 @@ def test_many_repeats_cost_nothing(spark):
     check = quality.check_parity(many, less).first()
     assert (check["passed"], check["detail"]) == (False, "missing=1000 extra=0 amount=0 merchant=0")
     assert rows(parity.parity_differences(many, many)) == []
+
+
+def test_only_cells_near_others_are_clustered(spark, monkeypatch):
+    """Cells far from all others of their key are settled by their counts, without a list."""
+    clustered = []
+    plain = parity._clusters
+    monkeypatch.setattr(parity, "_clusters", lambda c, t: clustered.append(c.count()) or plain(c, t))
+    many = [("A", None, "M", n) for n in (0, 1, 2, 3, 3.01)]
+    few = [("A", None, "M", n) for n in (1, 3.02)]
+    found = parity.parity_counts(_mart(spark, many), _mart(spark, few))
+    assert rows(found) == [("A", None, 3, 0, 0, 0)]
+    assert clustered == [3]
