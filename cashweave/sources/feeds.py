@@ -314,11 +314,14 @@ def _rows(table: Table, wanted: list[list[int]], names: list[str], exact: bool)
             for i in range(len(names))
         ]
         data = records.join(forms, "file").where("line_no <> header")
-    cells = quoted.cells_of(F.col("record"))
+    parsed = data.select(
+        "file", "record", quoted.cells_of(F.col("record")).alias("cells"), *[p.alias(f"p{i}") for i, p in enumerate(positions)]
+    )
     if exact:
+        # Of the cells as a column: an expression that is repeated here would be computed twice.
         shape = F.concat(F.lit(f"malformed record, {len(names)} cells expected: "), F.left("record", F.lit(200)))
-        cells = F.when(F.size(cells) == len(names), cells).otherwise(F.raise_error(shape))
-    parsed = data.select("file", cells.alias("cells"), *[p.alias(f"p{i}") for i, p in enumerate(positions)])
+        whole = F.when(F.size("cells") == len(names), F.col("cells")).otherwise(F.raise_error(shape))
+        parsed = parsed.withColumn("cells", whole)
     return parsed.select(
         F.col("file").alias(SOURCE_FILE),
         *[blank_to_null(F.get("cells", f"p{i}")).alias(n) for i, n in enumerate(names)],

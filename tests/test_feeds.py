@@ -137,3 +137,12 @@ def test_feeds_of_several_files(spark, tmp_path):
         assert feeds.find_feed(spark, f"{tmp_path}/parts", "*.csv").endswith("a.csv")
     with pytest.raises(FileNotFoundError):
         feeds.find_feed(spark, str(tmp_path), "x*", "nothing/*.csv")
+
+
+def test_cells_of_a_loaded_record_are_taken_apart_once(spark, tmp_path):
+    """The check of their number does not compute them again."""
+    path = _write(tmp_path / "m.csv", 'note_id,sku_id,va_number\n"N,1",S,V\n')
+    loaded = feeds.load_columns(spark, path, feeds.MAPPING_COLUMNS)
+    assert rows(loaded) == [("N,1", "S", "V")]
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
