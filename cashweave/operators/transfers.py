@@ -207,7 +207,12 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
             *[F.sum(F.when(is_self, F.col(m))).alias(f"self_{m}") for m in _MEASURES],
         )
     )
-    inside = _inside(directed, movable, same.join(several, "sku_id", "left_semi"))
+    # Only what faces an account of a product with several can stay within it. Told on the
+    # key that ``toward`` joins on, so all pairs are shuffled once for both.
+    within = same.join(several, "sku_id", "left_semi")
+    reached = within.select(F.col("va_number").alias("far")).distinct()
+    near = directed.join(reached, "far", "left_semi").select(*directed.columns)
+    inside = _inside(near, movable, within)
     key = ["sku_id", "merchant_id", "out"]
     leaving = own_rows.join(toward, "own").select(
         *key,

@@ -175,3 +175,20 @@ def test_rows_with_a_bridge_too_large_to_broadcast(spark, monkeypatch):
     wanted = {a: -(-sent.count(a) // 20) for a in set(sent) if sent.count(a) > 20}
     assert first == wanted and "VA-many" not in first
     assert second["VA-far"] == 4 and second["VA-hot"] > 1
+
+
+def test_only_pairs_that_may_stay_within_a_product_are_looked_at(spark, monkeypatch):
+    """Pairs whose far account is not of a product with several accounts are left out before any join."""
+    seen = []
+    plain = transfers._inside
+
+    def noted(directed, movable, same):
+        seen.extend(rows(directed, "own", "far"))
+        return plain(directed, movable, same)
+
+    monkeypatch.setattr(transfers, "_inside", noted)
+    mapping = bridge(spark, (None, "S1", "VA-1", "m"), (None, "S1", "VA-2", "m"), (None, "S2", "VA-3", "m"))
+    raw = ledger(spark, ("VA-1", "VA-2", "5", "x"), ("VA-1", "VA-3", "7", "x"), ("VA-3", "VA-9", "1", "x"))
+    found = rows(transfers.transfer_totals(raw, mapping))
+    assert seen == [("VA-1", "VA-2"), ("VA-2", "VA-1"), ("VA-3", "VA-1")]
+    assert found == rows(transfers.transfers_agg(transfers.inter_sku_transfers(raw, mapping)))
