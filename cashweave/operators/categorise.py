@@ -157,6 +157,13 @@ def _best_rule_per_remark(df: DataFrame, rules: Rules, remark: str) -> DataFrame
     )
 
 
+def strategy_for(rules: Rules) -> str:
+    """``case`` for as many rules as one expression is the faster form, else ``join``."""
+    if isinstance(rules, DataFrame):
+        return "case" if rules.limit(CASE_RULES + 1).count() <= CASE_RULES else "join"
+    return "case" if len(list(rules)) <= CASE_RULES else "join"
+
+
 def categorise(
     df: DataFrame,
     rules: Rules,
@@ -176,8 +183,7 @@ def categorise(
     """
     if strategy == "auto":
         rules = rules if isinstance(rules, DataFrame) else list(rules)
-        number = rules.limit(CASE_RULES + 1).count() if isinstance(rules, DataFrame) else len(rules)
-        strategy = "case" if number <= CASE_RULES else "join"
+        strategy = strategy_for(rules)
     if strategy == "case":
         return df.withColumn("category_code", _case(F.col(remark), _listed(rules), default))
     if strategy != "join":
@@ -203,4 +209,5 @@ __all__ = [
     "categorise",
     "rules_frame",
     "rules_in_order",
+    "strategy_for",
 ]

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cashweave.scratch import written
+
 # A side is broadcast only when measured to have at most so many rows and bytes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -16,6 +18,10 @@ BROADCAST_BYTES = 64 << 20
 # that size which all rows would fill.
 ROWS_PER_TASK = 2_000_000
 
+# A task holds its part of a key table as a hash table up to so many bytes of rows, else
+# both sides are sorted.
+HASH_BYTES = 64 << 20
+
 
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str
@@ -48,6 +54,18 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADC
     return seen["n"] <= rows and (seen["width"] or 0) <= most
 
 
+def fits_hash(df: DataFrame, key: str, most: int = HASH_BYTES) -> bool:
+    """Measure (an action) whether a task's part of df, dealt by key, keeps the bound.
+
+    A part is about the rows of all keys over the number of shuffle partitions, and
+    holds at least the key that has most.
+    """
+    per_key = df.groupBy(key).agg(F.sum(_width(df).cast("long")).alias("width"))
+    seen = per_key.agg(F.max("width").alias("key"), F.sum("width").alias("all")).first()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (seen["key"] or 0) + (seen["all"] or 0) // parts <= most
+
+
 def hot_keys(df: DataFrame, key: str, per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more rows than a task should get, and into how many parts to split each.
 
@@ -70,6 +88,7 @@ def salted_join(
     how: str,
     per_task: int = ROWS_PER_TASK,
     hot: DataFrame | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Equi-join on one key that splits the hot keys of the left side.
 
@@ -78,7 +97,9 @@ def salted_join(
     repeated once per salt. Other keys have the one salt 0. Rows without a key,
     which match nothing, are left out of an inner join and else have a salt for
     each input split, so their parts grow in number and not in size. ``hot`` may
-    bring the hot keys where they are known. Inner and left only.
+    bring the hot keys where they are known; they are written, so that measuring and
+    joining them counts nothing again. ``hashed`` sorts neither side: the left rows
+    stream by a hash table of a task's right rows. Inner and left only.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join supports inner and left joins, not {how!r}")
@@ -86,6 +107,7 @@ def salted_join(
         left = left.where(F.col(key).isNotNull())
     if hot is None:
         hot = hot_keys(left, key, per_task)
+    hot = written(hot, "hot-keys")
     if fits_broadcast(hot):
         hot = F.broadcast(hot)
     # The split is noted before the hot keys come in, which may take a shuffle.
@@ -104,6 +126,8 @@ def salted_join(
             )
         ),
     ).drop("copies")
+    if hashed:
+        repeated = repeated.hint("shuffle_hash")
     return dealt.join(repeated, [key, "__salt"], how).drop("__salt")
 
 
@@ -115,15 +139,19 @@ def lookup_join(
     rows: int = BROADCAST_ROWS,
     per_task: int = ROWS_PER_TASK,
     hot: Callable[[], DataFrame] | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Row-level join of a very large side to a key table.
 
     Without a shuffle while the key table is measured to be small, else with its
-    hot keys split; ``hot`` is asked for them only then.
+    hot keys split; ``hot`` is asked for them only then. Sorted rows compress better in
+    a shuffle or file that follows. Where that is not needed, ``hashed`` saves the memory
+    of the sort, as long as a task's part of the key table is measured to be small.
     """
     if fits_broadcast(right, rows):
         return left.join(F.broadcast(right), key, how)
-    return salted_join(left, right, key, how, per_task, hot() if hot else None)
+    hashed = hashed and fits_hash(right, key)
+    return salted_join(left, right, key, how, per_task, hot() if hot else None, hashed)
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

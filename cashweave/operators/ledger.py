@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cashweave.functions.money import signed_amount, zero
-from cashweave.functions.parsing import TOTAL
-from cashweave.operators.categorise import UNCATEGORISED, Rules, categorise
+from cashweave.functions.parsing import TOTAL, period_ym
+from cashweave.operators.categorise import UNCATEGORISED, Rules, categorise, strategy_for
 from cashweave.operators.keyed import lookup_join
 from cashweave.operators.typed import ledger_rows
 
@@ -74,8 +74,28 @@ def _categorised_legs(raw: DataFrame, rules: Rules) -> DataFrame:
 
 
 def va_txn_flows(raw: DataFrame, rules: Rules, bridge: DataFrame) -> DataFrame:
-    """Signed inflow and outflow rows, one per product mapped to the account."""
-    matched = lookup_join(_categorised_legs(raw, rules), _bridge_keys(bridge), "va_number")
+    """Signed inflow and outflow rows, one per product mapped to the account.
+
+    Where the bridge is too large to be broadcast, all legs are shuffled. So they carry
+    only what the rest is told from: the month comes from the moment, and one expression
+    gives the category, after the join. Longer rule tables are looked up before it,
+    because that reads the rows twice.
+    """
+    rules = rules if isinstance(rules, DataFrame) else list(rules)
+    late = strategy_for(rules) == "case"
+    rows = ledger_rows(raw).select(
+        "sender_va", "receiver_va", "amount", "occurred_at_utc", "remarks"
+    )
+    if not late:
+        rows = categorise(rows, rules, default=UNCATEGORISED, strategy="join")
+    narrow = legs(rows).withColumn("direction", F.col("direction") == "inflow").drop(
+        "sender_va", "receiver_va"
+    )
+    matched = lookup_join(narrow, _bridge_keys(bridge), "va_number").withColumn(
+        "direction", F.when(F.col("direction"), "inflow").otherwise("outflow")
+    )
+    if late:
+        matched = categorise(matched, rules, default=UNCATEGORISED, strategy="case")
     return matched.select(
         "va_number",
         "sku_id",
@@ -85,7 +105,7 @@ def va_txn_flows(raw: DataFrame, rules: Rules, bridge: DataFrame) -> DataFrame:
         F.col("amount").alias("raw_amount"),
         signed_amount(F.col("direction"), F.col("amount")).alias("signed_amount"),
         "occurred_at_utc",
-        "period_ym",
+        period_ym(F.col("occurred_at_utc")).alias("period_ym"),
         "remarks",
     )
 

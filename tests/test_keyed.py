@@ -100,3 +100,34 @@ def test_rows_without_a_key_have_a_part_for_each_split(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_keys_are_counted_once(spark):
+    """Measuring and joining them read what was written, not the left side again."""
+    seen = spark.sparkContext.accumulator(0)
+    rows_in = _skewed(spark).rdd.map(lambda r: (seen.add(1), tuple(r))[1]).toDF("id long, k string")
+    hot = keyed.hot_keys(rows_in, "k", per_task=190)
+    joined = keyed.salted_join(_skewed(spark), _lookup(spark), "k", "inner", per_task=190, hot=hot)
+    assert joined.count() == _skewed(spark).join(_lookup(spark), "k").count()
+    assert seen.value == 3000
+
+
+def test_a_hash_table_is_bounded_by_the_largest_key_and_the_parts(spark):
+    """Rows of 15 bytes: 200 keys of one row and one of 100 rows, in two parts."""
+    n = spark.range(300).select(
+        F.when(F.col("id") < 100, "one-hot").otherwise(F.lpad(F.col("id"), 7, "0")).alias("k"),
+        F.lit(1.5).alias("v"),
+    )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = 100 * 15 + 300 * 15 // parts
+    assert keyed.fits_hash(n, "k", most) and not keyed.fits_hash(n, "k", most - 1)
+
+
+def test_a_hashed_join_sorts_nothing(spark, capsys):
+    left, right = _skewed(spark), _lookup(spark)
+    for how in ("inner", "left"):
+        hashed = keyed.lookup_join(left, right, "k", how, rows=10, per_task=190, hashed=True)
+        assert rows(hashed.select("id", "v")) == rows(left.join(right, "k", how).select("id", "v"))
+        hashed.explain("simple")
+        plan = capsys.readouterr().out
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan

@@ -124,3 +124,26 @@ def test_the_ledger_is_added_up_before_it_is_shuffled(spark, capsys):
     first = re.search(r"Exchange hashpartitioning\(va_number#\d+, direction#\d+, category", plan)
     # Below the only exchange of the ledger, that is before it.
     assert plan.index("partial_sum(amount") > first.start()
+
+
+def test_legs_carry_only_what_the_rest_is_told_from(spark, monkeypatch):
+    """Month, category and the words for the direction are made behind the join with the bridge."""
+    seen = []
+    plain = ledger.lookup_join
+
+    def noted(left, *args):
+        seen.append(sorted(left.columns))
+        return plain(left, *args)
+
+    monkeypatch.setattr(ledger, "lookup_join", noted)
+    raw = raw_ledger(spark, ("A", "B", "5", " Merchant-Repayment ", "9/30/2025"), ("B", None, "x", None, "?"))
+    mapping = bridge(spark, (None, "S1", "A", "m"), (None, "S2", "B", "m"))
+    found = rows(
+        ledger.va_txn_flows(raw, SHIPPED_RULES, mapping), "sku_id", "direction", "category_code", "period_ym"
+    )
+    assert found == [
+        ("S1", "outflow", "merchant_repayment", "2025-09"),
+        ("S2", "inflow", "merchant_repayment", "2025-09"),
+        ("S2", "outflow", "uncategorized", None),
+    ]
+    assert seen == [["amount", "direction", "occurred_at_utc", "remarks", "va_number"]]
