@@ -6,7 +6,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cashweave.functions.parsing import TOTAL
+from cashweave.functions.parsing import TOTAL, period_ym
 from cashweave.operators.keyed import BROADCAST_ROWS, ROWS_PER_TASK, hot_counts, lookup_join
 from cashweave.operators.typed import ledger_rows
 from cashweave.scratch import written
@@ -32,9 +32,8 @@ def inter_sku_transfers(
     for each of them. A bridge of more than ``rows`` rows is joined with the
     accounts split that have more than ``per_task`` rows.
     """
-    moves = ledger_rows(raw).select(
-        "sender_va", "receiver_va", "amount", "occurred_at_utc", "period_ym"
-    )
+    # Both joins may shuffle all rows, so the month is told from the moment behind them.
+    moves = ledger_rows(raw).select("sender_va", "receiver_va", "amount", "occurred_at_utc")
     whole = moves.where("sender_va is not null and receiver_va is not null")
     senders = _named_bridge(bridge, "sender_va", "from_sku_id", "from_merchant_id")
     receivers = _named_bridge(bridge, "receiver_va", "to_sku_id", "to_merchant_id")
@@ -58,7 +57,10 @@ def inter_sku_transfers(
         )
 
     sent = lookup_join(whole, senders, "sender_va", rows=rows, per_task=per_task, hot=per_sender)
-    both = lookup_join(sent, receivers, "receiver_va", rows=rows, per_task=per_task, hot=per_receiver)
+    # The first join's order makes the second shuffle small; nothing needs the second's.
+    both = lookup_join(
+        sent, receivers, "receiver_va", rows=rows, per_task=per_task, hot=per_receiver, hashed=True
+    )
     return both.where(F.col("from_sku_id") != F.col("to_sku_id")).select(
         "sender_va",
         "receiver_va",
@@ -68,7 +70,7 @@ def inter_sku_transfers(
         "from_merchant_id",
         "to_sku_id",
         "to_merchant_id",
-        "period_ym",
+        period_ym(F.col("occurred_at_utc")).alias("period_ym"),
     )
 
 

@@ -192,3 +192,30 @@ def test_only_pairs_that_may_stay_within_a_product_are_looked_at(spark, monkeypa
     found = rows(transfers.transfer_totals(raw, mapping))
     assert seen == [("VA-1", "VA-2"), ("VA-2", "VA-1"), ("VA-3", "VA-1")]
     assert found == rows(transfers.transfers_agg(transfers.inter_sku_transfers(raw, mapping)))
+
+
+def test_no_row_per_end_is_made_of_the_pairs(spark, capsys):
+    """A pair is shuffled by either account as it is, not twice as two rows."""
+    mapping = bridge(
+        spark, (None, "S1", "A", "m"), ("N2", "S1", "A", "m"), (None, "S2", "A", "m"), (None, "S1", "B", "n")
+    )
+    raw = ledger(spark, ("A", "A", "3", "x"), ("A", "B", "5", "x"), ("B", "A", "?", "x"), ("C", "A", "1", "x"))
+    found = transfers.transfer_totals(raw, mapping)
+    found.explain("simple")
+    assert "inline(" not in capsys.readouterr().out
+    assert rows(found) == rows(transfers.transfers_agg(transfers.inter_sku_transfers(raw, mapping)))
+
+
+def test_the_second_join_of_transfer_rows_is_not_sorted(spark, capsys):
+    mapping = bridge(spark, (None, "S1", "A", "m"), (None, "S2", "B", "m"))
+    raw = ledger(spark, ("A", "B", "5", "x"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = transfers.inter_sku_transfers(raw, mapping, rows=0)
+        moved.explain("simple")
+        plan = capsys.readouterr().out
+        assert "ShuffledHashJoin [receiver_va" in plan and "SortMergeJoin [receiver_va" not in plan
+        assert rows(moved, "from_sku_id", "to_sku_id", "period_ym") == [("S1", "S2", "2025-09")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
