@@ -142,14 +142,18 @@ def _inside(directed: DataFrame, movable: DataFrame, same: DataFrame) -> DataFra
     products with their other accounts. Which makes fewer rows is counted for
     each account beforehand, and each account takes the cheaper one.
     """
+    # Only pairs of two such accounts are looked at further, and are told once for all
+    # uses: each takes all columns, else its shuffle would be one of its own.
+    owners = movable.select("own").distinct()
+    directed = directed.join(owners, "own", "left_semi").select(*directed.columns)
     far = same.withColumnRenamed("va_number", "far")
     accounts = same.groupBy("sku_id").agg(F.count(F.lit(1)).alias("accounts"))
     products = movable.join(accounts, "sku_id").groupBy("own").agg(
         F.count(F.lit(1)).alias("products"), F.sum("accounts").alias("by_product")
     )
-    # A pair has a row at least. It is told by all measures, because with columns left
-    # out this would be a pass of its own over the ledger, and so its sums are shared.
-    some = F.col("n") + F.col("n_amounts") + F.abs("amount") > 0
+    # A pair has a row at least. It is told by all columns, because with some left out
+    # this would be a pass of its own over the ledger, and so its sums are shared.
+    some = F.col("n") + F.col("n_amounts") + F.abs("amount") + F.length("far") + F.col("out").cast("int") > 0
     partners = directed.groupBy("own").agg(F.sum(F.when(some, 1)).alias("partners"))
     way = products.join(partners, "own").select(
         "own", (F.col("products") * F.col("partners") <= F.col("by_product")).alias("by_partner")
@@ -184,45 +188,41 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
             F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
         )
     )
-    directed = _both_ends(
-        pairs,
-        {"own": "sender_va", "far": "receiver_va"},
-        {"own": "receiver_va", "far": "sender_va"},
-    )
     mapped = _named_bridge(bridge, "va_number", "sku_id", "merchant_id")
     same = mapped.groupBy("va_number", "sku_id").agg(F.count(F.lit(1)).alias("same_rows"))
-    facing = same.groupBy(F.col("va_number").alias("far")).agg(
-        F.sum("same_rows").alias("all_rows")
-    )
+    facing = same.groupBy("va_number").agg(F.sum("same_rows").alias("all_rows"))
     several = same.groupBy("sku_id").count().where("count > 1").select("sku_id")
     own_rows = mapped.join(same, ["va_number", "sku_id"]).withColumnRenamed("va_number", "own")
     movable = mapped.join(several, "sku_id", "left_semi").withColumnRenamed("va_number", "own")
 
+    # A pair is shuffled by its receiver for the sending end and by its sender for the
+    # receiving one, each once: for ``toward``, and for what may stay within a product,
+    # which must face an account of a product with several.
+    within = same.join(several, "sku_id", "left_semi")
+    reached = within.select("va_number").distinct()
     # Conditions on the pair stay inside the sums: as filters they would reach
-    # the scan and make each use of ``pairs`` read the ledger again.
-    is_self = F.col("own") == F.col("far")
-    toward = (
-        directed.join(facing, "far")
-        .groupBy("own", "out")
-        .agg(
-            *[F.sum(_times(m, "all_rows")).alias(m) for m in _MEASURES],
-            *[F.sum(F.when(is_self, F.col(m))).alias(f"self_{m}") for m in _MEASURES],
+    # the scan and make each use of ``pairs`` read the ledger again. Pairs are added up
+    # by the bridge rows they face and multiplied behind that, which is exact as well.
+    is_self = F.col("sender_va") == F.col("receiver_va")
+    ends, nearby = [], []
+    for out, own, far in ((True, "sender_va", "receiver_va"), (False, "receiver_va", "sender_va")):
+        met = pairs.join(facing.withColumnRenamed("va_number", far), far)
+        sums = met.groupBy(F.col(own).alias("own"), "all_rows", is_self.alias("is_self")).agg(
+            *[F.sum(m).alias(m) for m in _MEASURES]
         )
-    )
-    # Only what faces an account of a product with several can stay within it. Told on the
-    # key that ``toward`` joins on, so all pairs are shuffled once for both.
-    within = same.join(several, "sku_id", "left_semi")
-    reached = within.select(F.col("va_number").alias("far")).distinct()
-    near = directed.join(reached, "far", "left_semi").select(*directed.columns)
-    inside = _inside(near, movable, within)
+        ends.append(sums.withColumn("out", F.lit(out)))
+        near = pairs.join(reached.withColumnRenamed("va_number", far), far, "left_semi")
+        nearby.append(
+            near.select(*_MEASURES, F.lit(out).alias("out"), F.col(own).alias("own"), F.col(far).alias("far"))
+        )
+    toward = ends[0].unionByName(ends[1])
+    inside = _inside(nearby[0].unionByName(nearby[1]), movable, within)
     key = ["sku_id", "merchant_id", "out"]
-    leaving = own_rows.join(toward, "own").select(
-        *key,
-        *[
-            (F.col(m) - F.coalesce(_times(f"self_{m}", "same_rows"), F.lit(0))).alias(m)
-            for m in _MEASURES
-        ],
+    of_itself = F.when(F.col("is_self"), F.col("same_rows")).otherwise(F.lit(0))
+    leaving = own_rows.join(toward, "own").withColumn("rows", F.col("all_rows") - of_itself).select(
+        *key, *[_times(m, "rows").alias(m) for m in _MEASURES]
     )
+    is_self = F.col("own") == F.col("far")
     staying = inside.select(
         *key, *[F.when(~is_self, -_times(m, "same_rows")).alias(m) for m in _MEASURES]
     )
