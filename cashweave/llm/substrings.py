@@ -31,7 +31,7 @@ from cashweave.llm.base import planes, slices, table, unnamed, unplanes
 from cashweave.llm.tokens import spans, window_hashes, word_hashes
 
 BATCH_WINDOWS = 1 << 19
-BUCKET_WINDOWS = 1 << 21
+BUCKET_WINDOWS = 1 << 20
 HASH_BYTES = 7
 _PACKED = "bucket int, hashes binary, docs binary, twins binary, places binary"
 _MARKS = "bucket int, docs binary, twins binary, places binary"
@@ -83,9 +83,11 @@ def _decided(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """For each entry: is it of the smallest document of its hash; order is as given."""
     order = np.argsort(hashes, kind="stable")
     begins = _runs(hashes[order])
-    least = np.minimum.reduceat(docs[order], begins) if len(begins) else docs[:0]
+    sorted_docs = docs[order]
+    if len(begins):
+        sorted_docs -= np.repeat(np.minimum.reduceat(sorted_docs, begins), np.diff(np.append(begins, len(docs))))
     smallest = np.empty(len(docs), bool)
-    smallest[order] = docs[order] == np.repeat(least, np.diff(np.append(begins, len(docs))))
+    smallest[order] = sorted_docs == 0
     return smallest, order
 
 
@@ -147,13 +149,29 @@ def _window_packer(window: int, bits: int, doc_buckets: int):
     return pack
 
 
+def _joined(raws: pa.ChunkedArray, width: int, kind: type, value) -> np.ndarray:
+    """One column of packed rows as one array; beside it only one row is unpacked at a time."""
+    buffers = [raw.as_buffer() for raw in raws]
+    ends = np.cumsum([0, *(b.size // width for b in buffers)]).tolist()
+    out = np.empty(ends[-1], kind)
+    for at, end, raw in zip(ends[:-1], ends[1:], buffers, strict=True):
+        out[at:end] = value(unplanes(raw, width), slice(at, end))
+    return out
+
+
 def _unpack(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = []
-    for doc, twin, step in zip(*(rows.column(c).to_pylist() for c in ("docs", "twins", "places")), strict=True):
-        docs, twins = _undelta(unplanes(doc, 8)), _undelta(unplanes(twin, 4)).astype(np.int32)
-        parts.append((docs, twins, _unsteps(unplanes(step, 4), docs, twins).astype(np.int32)))
-    docs, twins, places = (np.concatenate(p) for p in zip(*parts, strict=True))
-    return docs, twins, places
+    docs = _docs(rows)
+    return docs, *_twins_places(rows, docs)
+
+
+def _docs(rows: pa.Table) -> np.ndarray:
+    return _joined(rows.column("docs"), 8, np.int64, lambda z, _: _undelta(z))
+
+
+def _twins_places(rows: pa.Table, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    twins = _joined(rows.column("twins"), 4, np.int32, lambda z, _: _undelta(z))
+    places = _joined(rows.column("places"), 4, np.int32, lambda z, at: _unsteps(z, docs[at], twins[at]))
+    return twins, places
 
 
 def _judge(doc_buckets: int):
@@ -162,10 +180,12 @@ def _judge(doc_buckets: int):
     def judge(key: tuple, rows: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:  # decided before
             return pa.table([pa.array([-1 - b for b in rows.column("bucket").to_pylist()], pa.int32()), *(rows.column(c) for c in ("docs", "twins", "places"))], schema=_MARK_SCHEMA)
-        hashes = np.concatenate([unplanes(raw, HASH_BYTES) for raw in rows.column("hashes").to_pylist()])
-        docs, twins, places = _unpack(rows)
-        smallest, _ = _decided(hashes, docs)
-        docs, twins, places = docs[~smallest], twins[~smallest], places[~smallest]
+        hashes = _joined(rows.column("hashes"), HASH_BYTES, np.uint64, lambda z, _: z)
+        docs = _docs(rows)
+        gone = ~_decided(hashes, docs)[0]
+        del hashes
+        twins, places = _twins_places(rows, docs)
+        docs, twins, places = docs[gone], twins[gone], places[gone]
         order = np.lexsort((places, docs))
         docs, twins, places = docs[order], twins[order], places[order]
         packed = list(_rows(_doc_bucket(docs, doc_buckets), doc_buckets, _MARK_SCHEMA, docs, twins, places))

@@ -47,3 +47,24 @@ def test_layout_is_kept(spark):
 
 def test_empty(none):
     assert substrings.dedup_substrings(none).collect() == []
+
+
+def test_memory_of_a_bucket():
+    """A bucket's windows are unpacked once, and sorted in under 58 bytes each."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n, dice, packed = 20_000, np.random.default_rng(1), []
+    for _ in range(10):
+        docs, twins, places = np.sort(dice.integers(0, 1 << 30, n)), np.zeros(n, np.int32), dice.integers(0, 1000, n).astype(np.int32)
+        packed += substrings._rows(np.zeros(n, np.int64), 1, substrings._PACKED_SCHEMA, docs, twins, places, dice.integers(0, 160_000, n).astype(np.uint64))
+    rows, judge = pa.Table.from_batches(packed), substrings._judge(64)
+    judge((pa.scalar(0),), rows)
+    tracemalloc.start()
+    try:
+        judge((pa.scalar(0),), rows)
+        assert tracemalloc.get_traced_memory()[1] < 58 * 10 * n
+    finally:
+        tracemalloc.stop()
