@@ -30,6 +30,7 @@ an empty folder with the schema; columns other than doc_id and text are not read
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
@@ -83,6 +84,9 @@ class Words:
     """
 
     def __init__(self, path: str, memory: int = MEMORY_BYTES):
+        # One text is asked for at a time: the library's pool would only be a thread for each
+        # core of the machine in every task, and a switch of threads for each question.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)

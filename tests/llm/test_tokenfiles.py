@@ -1,7 +1,11 @@
 """Token folders: ids against the library, the layout of the files, reading them in part."""
 
 import glob
+import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -112,3 +116,17 @@ def test_empty(spark, none, tmp_path):
     assert tf.read_tokens(spark, path).collect() == []
     assert tf.stream_between(spark, path, 0, 10).collect() == []
     assert tf.with_crc32(tf.read_tokens(spark, path)).collect() == []
+
+
+def test_words_are_asked_for_in_the_task_itself():
+    """The library starts no threads of its own; told in a process that has none of them yet."""
+    code = (
+        "import os, sys\n"
+        "import tokenizers\n"
+        "from cashweave.llm import tokenfiles as tf\n"
+        "before = len(os.listdir('/proc/self/task'))\n"
+        "assert len(tf.Words(sys.argv[1]).encode([b\"it isn't one word\"])) == 1\n"
+        "assert len(os.listdir('/proc/self/task')) == before\n"
+    )
+    env = os.environ | {"PYTHONPATH": str(Path(tf.__file__).parents[2])}
+    subprocess.run([sys.executable, "-c", code, MODEL], check=True, env=env, timeout=120)
