@@ -10,7 +10,8 @@ again the neighbouring pair that forms the piece of the highest score, leftmost
 If no piece goes on with the space mark after another character, as in most models,
 merges never cross into the next run of space marks. Such chunks are then encoded by
 themselves and remembered, and a chunk costs one look-up when it comes again. The
-memory has two generations of fixed size, so frequent chunks stay.
+memory has two generations of so many bytes, so frequent chunks stay. Unknown short
+chunks are merged together: each round does the next merge of every one of them.
 
 Tasks need the model file at the same path on every machine; the path is a parameter.
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +35,21 @@ from pyspark.sql import functions as F
 from cashweave.llm.base import slices, table, unnamed
 
 MARK = "▁"
-MEMORY = 400_000
-SCAN = 24
-_NEVER = float("-inf")
+#: Remembered chunks: the bytes of all, the longest, and what one takes beside its bytes.
+MEMORY, CHUNK_BYTES = 64 << 20, 48
+_ENTRY_BYTES = 120
+#: Bytes of texts that are cut and looked up together.
+BATCH_BYTES = 2 << 20
+#: Characters of chunks that are merged together, and how many chunks are.
+SHORT, ROWS = 32, 4096
+#: The space mark in chunks, a byte that UTF-8 never has.
+_MARK_BYTE = b"\xff"
+#: What fills rows of symbols up, and the bits of a symbol.
+_BITS = 21
+_FILL = (1 << _BITS) - 1
+_SPREAD = 0x9E3779B97F4A7C15
+#: A piece in a text: its id and its bytes in the normalised text.
+_CELL = np.dtype([("id", "<i4"), ("width", "<u2")])
 #: Kinds of pieces in model files.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _ENCODED = "doc_id long, ids array<int>, begins array<int>, ends array<int>, decoded string"
@@ -130,9 +144,8 @@ class Pieces:
         self.names = [p.piece for p in model.pieces]
         self.kinds = [p.type or NORMAL for p in model.pieces]
         self.ids = {p.piece: (i, p.score) for i, p in enumerate(model.pieces) if self.kinds[i] in (NORMAL, USER, UNUSED)}
-        self.scores = {n: score for n, (_, score) in self.ids.items()}
         self.raw = [self._raw(n, k) for n, k in zip(self.names, self.kinds, strict=True)]
-        self.cells = {n: (i.to_bytes(4, "little"), len(n.encode()).to_bytes(2, "little"), self.raw[i]) for n, (i, _) in self.ids.items()}
+        self.texts = pa.array(self.raw, pa.large_binary())
         self.unknown = self.kinds.index(UNKNOWN)
         self.end = self.names.index("</s>")
         self.bytes = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(self.names, self.kinds, strict=True)) if k == BYTE}
@@ -142,8 +155,46 @@ class Pieces:
         if unused:
             raise ValueError(f"{path}: unused pieces are not supported")
         apart = not user and not any(MARK in n.lstrip(MARK) for n in self.ids)
-        self.chunks = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if apart else re.compile("(?s).+")
-        self.known = _Memory(self._chunk, memory)
+        self.chunks = re.compile(rb"\xff*[^\xff]+|\xff+" if apart else rb"(?s).+")
+        self.memory, self.known, self.old, self.held = memory, {}, {}, 0
+        self._symbols()
+
+    def _symbols(self) -> None:
+        """Numbers for symbols: a piece has its id, other characters have numbers behind; and what pairs of them form."""
+        # The cells of symbols end to end (start, size), and the symbol of each character met so far.
+        self.cells = np.array([(i, len(n.encode())) for i, n in enumerate(self.names)], _CELL)
+        self.start, self.size = np.arange(len(self.names)), np.ones(len(self.names), np.int64)
+        self.characters = np.full(0x110000, -1, np.int32)
+        self._meet(sorted({c for n in self.ids for c in n}))
+        number = {n: i for n, (i, _) in self.ids.items()} | {chr(c): int(self.characters[c]) for c in np.flatnonzero(self.characters >= 0).tolist()}
+        pairs = {number[n[:k]] << _BITS | number[n[k:]]: i for n, (i, _) in self.ids.items() for k in range(1, len(n)) if n[:k] in number and n[k:] in number}
+        # A table with open places, the next one when one is taken; -1 is an open one.
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift, self.places = np.uint64(64 - bits), 1 << bits
+        keys, formed = [-1] * self.places, [-1] * self.places
+        for pair, piece in pairs.items():
+            at = (pair * _SPREAD & (1 << 64) - 1) >> 64 - bits
+            while keys[at] >= 0:
+                at = (at + 1) % self.places
+            keys[at], formed[at] = pair, piece
+        self.pairs, self.formed = np.array(keys, np.int64), np.array(formed, np.int64)
+        # By piece; the last is for pairs that form none.
+        self.scores = np.full(len(self.names) + 1, -np.inf)
+        for i, score in self.ids.values():
+            self.scores[i] = score
+
+    def _meet(self, characters: list[str]) -> None:
+        """Symbols for characters that have none."""
+        for c in characters:
+            if c in self.ids:
+                self.characters[ord(c)] = self.ids[c][0]
+        others = [c for c in characters if c not in self.ids]
+        self.characters[[ord(c) for c in others]] = len(self.start) + np.arange(len(others))
+        cells = [self._other(c) for c in others]
+        size = np.array([len(c) // _CELL.itemsize for c in cells], np.int64)
+        self.start = np.append(self.start, len(self.cells) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.cells = np.append(self.cells, np.frombuffer(b"".join(cells), _CELL))
 
     @staticmethod
     def _raw(name: str, kind: int) -> bytes:
@@ -177,20 +228,47 @@ class Pieces:
             out, place = mark + out, np.concatenate([np.full(3, place[0]), place])
         return out, place
 
+    def _form(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The pieces that pairs of symbols form, -1 for none."""
+        pair = (left << _BITS | right).reshape(-1)
+        with np.errstate(over="ignore"):
+            at = ((pair.view(np.uint64) * np.uint64(_SPREAD)) >> self.shift).view(np.int64)
+        key = self.pairs[at]
+        out = np.where(key == pair, self.formed[at], -1)
+        open_ = np.flatnonzero((key != pair) & (key >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) % self.places
+            key = self.pairs[at[open_]]
+            hit = key == pair[open_]
+            out[open_[hit]] = self.formed[at[open_[hit]]]
+            open_ = open_[~hit & (key >= 0)]
+        return out.reshape(left.shape)
+
+    def _merge_rows(self, rows: np.ndarray) -> np.ndarray:
+        """Rows of symbols, filled up by one place at least, after all merges."""
+        done, live, columns = np.empty_like(rows), np.arange(len(rows)), np.arange(rows.shape[1] - 1)
+        formed = self._form(rows[:, :-1], rows[:, 1:])
+        while len(live):
+            scores = self.scores[formed]
+            at = scores.argmax(axis=1)  # the leftmost of the best
+            open_ = scores[np.arange(len(live)), at] > -np.inf
+            if not open_.all():
+                done[live[~open_]] = rows[~open_]
+                rows, formed, at, live = rows[open_], formed[open_], at[open_], live[open_]
+            each, later = np.arange(len(live)), columns > at[:, None]
+            piece = formed[each, at]
+            rows[:, :-1] = np.where(later, rows[:, 1:], rows[:, :-1])
+            formed[:, :-1] = np.where(later[:, :-1], formed[:, 1:], formed[:, :-1])
+            formed[:, -1] = -1
+            rows[each, at] = piece
+            formed[each, at] = self._form(piece, rows[each, at + 1])
+            each, at, piece = each[at > 0], at[at > 0] - 1, piece[at > 0]
+            formed[each, at] = self._form(rows[each, at], piece)
+        return done
+
     def _merge(self, text: str) -> list[str]:
-        symbols, ids, score_of = list(text), self.ids, self.scores.get
-        if len(symbols) <= SCAN:
-            scores = [score_of(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
-            while scores and (best := max(scores)) != _NEVER:
-                i = scores.index(best)
-                symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-                del scores[i]
-                if i < len(scores):
-                    scores[i] = score_of(symbols[i] + symbols[i + 1], _NEVER)
-                if i:
-                    scores[i - 1] = score_of(symbols[i - 1] + symbols[i], _NEVER)
-            return symbols
-        # Long chunks: the same order from a heap over linked symbols.
+        """The same order from a heap over linked symbols, for one text of any length."""
+        symbols, ids = list(text), self.ids
         left, right = list(range(-1, len(symbols) - 1)), list(range(1, len(symbols) + 1))
         heap: list[tuple[float, int, int, str]] = []
 
@@ -214,26 +292,64 @@ class Pieces:
                 offer(left[i], i)
         return [s for s in symbols if s]
 
-    def _chunk(self, chunk: str) -> tuple[bytes, bytes, str]:
-        """(ids, bytes of each piece in the normalised text, decoded) of one chunk."""
-        of = self.cells.get
+    def _chunk(self, chunk: str) -> bytes:
+        """The cells of one chunk."""
         if self.user is None:
             symbols = self._merge(chunk)
         else:
             symbols = [p for k, part in enumerate(self.user.split(chunk)) for p in ([part] if k % 2 else self._merge(part)) if p]
-        cells = [of(p) or self._other(p) for p in symbols]
-        if len(cells) == 1:
-            ids, widths, raw = cells[0]
-        else:
-            ids, widths, raw = map(b"".join, zip(*cells, strict=True))
-        return ids, widths, _replaced(raw)
+        return b"".join([self.cells[self.ids[p][0]].tobytes() if p in self.ids else self._other(p) for p in symbols])
 
-    def _other(self, symbol: str) -> tuple[bytes, bytes, bytes]:
+    def _other(self, symbol: str) -> bytes:
         """A character that is no piece: its bytes, whose spans end where the character ends."""
         raw = symbol.encode()
         if not self.bytes:
-            return self.unknown.to_bytes(4, "little"), len(raw).to_bytes(2, "little"), self.raw[self.unknown]
-        return b"".join(self.bytes[b].to_bytes(4, "little") for b in raw), bytes(2 * len(raw) - 2) + len(raw).to_bytes(2, "little"), raw
+            return _cell(self.unknown, len(raw))
+        return b"".join([*(_cell(self.bytes[b], 0) for b in raw[:-1]), _cell(self.bytes[raw[-1]], len(raw))])
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        """The cells of chunks that are not known."""
+        again = chunks & self.old.keys()
+        self._remember(list(again), list(map(self.old.__getitem__, again)))
+        fresh = list(chunks - again)
+        if not fresh:
+            return
+        joined = b"".join(fresh)
+        size = np.fromiter(map(len, fresh), np.int64, len(fresh))
+        begins_character = (np.frombuffer(joined, np.uint8) & 0xC0) != 0x80
+        counts = np.add.reduceat(begins_character, np.cumsum(size) - size, dtype=np.int64)
+        codes = np.frombuffer(_marked(joined).encode("utf-32-le"), "<u4")
+        symbols = self.characters[codes].astype(np.int64)
+        if (symbols < 0).any():
+            self._meet(list(map(chr, np.unique(codes[symbols < 0]).tolist())))
+            symbols = self.characters[codes].astype(np.int64)
+        first = np.cumsum(counts) - counts
+        symbols = np.append(symbols, np.full(SHORT + 1, _FILL))
+        order = np.argsort(counts, kind="stable")
+        short = int(np.searchsorted(counts[order], SHORT, "right")) if self.user is None else 0
+        for lo in range(0, short, ROWS):
+            some = order[lo : min(short, lo + ROWS)]
+            columns = np.arange(counts[some[-1]] + 1)
+            rows = np.where(columns < counts[some][:, None], symbols[first[some][:, None] + columns], _FILL)
+            rows = self._merge_rows(rows)
+            full = rows != _FILL
+            flat = rows[full]
+            total = np.cumsum(self.size[flat])
+            raw = self.cells[np.repeat(self.start[flat] - total + self.size[flat], self.size[flat]) + np.arange(total[-1])].tobytes()
+            edges = [0, *(total[np.cumsum(full.sum(axis=1)) - 1] * _CELL.itemsize).tolist()]
+            self._remember([fresh[k] for k in some.tolist()], [raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
+        long = [fresh[k] for k in order[short:].tolist()]
+        self._remember(long, [self._chunk(_marked(c)) for c in long])
+
+    def _remember(self, chunks: list[bytes], cells: list[bytes]) -> None:
+        self.known.update(zip(chunks, cells, strict=True))
+        self.held += sum(map(len, chunks)) + sum(map(len, cells)) + _ENTRY_BYTES * len(chunks)
+
+    def _forget(self) -> None:
+        """What was used since the last change of generation stays for one more."""
+        for chunk in [c for c in self.known if len(c) > CHUNK_BYTES]:
+            del self.known[chunk]
+        self.old, self.known, self.held = self.known, {}, 0
 
     def _text(self, ids) -> str:
         """Pieces as text, the space marks as spaces and all of them kept."""
@@ -245,18 +361,43 @@ class Pieces:
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, str]:
         """(ids with the end id, begin and end byte of each in the text, the ids decoded)."""
-        out, place = self.normalise(text.encode())
-        known = self.known
-        done = [known[c] for c in self.chunks.findall(out.decode())]
-        id_bytes, widths, texts = zip(*done, strict=True) if done else ((), (), ())
-        ids = np.frombuffer(b"".join(id_bytes), "<i4")
-        ends = np.cumsum(np.frombuffer(b"".join(widths), "<u2"), dtype=np.int64)
-        begins = np.concatenate([[0], ends])[: len(ends)]
-        decoded = "".join(texts)
-        if (self.prefix or self.trim) and decoded[:1] == " ":
-            decoded = decoded[1:]
-        last = len(text.encode()) if len(ids) else 0
-        return np.append(ids, np.int32(self.end)), np.append(place[begins], last), np.append(place[ends], last), decoded
+        _, ids, begins, ends, decoded = self.encode_all([text.encode()])
+        return ids, begins, ends, decoded[0].decode()
+
+    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        """(first[d] to first[d + 1] are the ids of text d, ids, begins, ends, the texts decoded)."""
+        normal, places = zip(*map(self.normalise, texts), strict=True)
+        mark, cut = MARK.encode(), self.chunks.findall
+        chunks = [cut(n.replace(mark, _MARK_BYTE)) for n in normal]
+        self._learn(set(filterfalse(self.known.__contains__, set().union(*chunks))))
+        known = self.known.__getitem__
+        cells = [b"".join(map(known, c)) for c in chunks]
+        if self.held > self.memory // 2:
+            self._forget()
+        counts = np.array([len(c) // _CELL.itemsize for c in cells], np.int64)
+        flat = np.frombuffer(b"".join(cells), _CELL)
+        owner = np.repeat(np.arange(len(texts)), counts)
+        # Each text's places have one more, for its end.
+        ends = np.cumsum(flat["width"], dtype=np.int64) + owner
+        place = np.concatenate(places)
+        first = np.concatenate([[0], np.cumsum(counts)])
+        raw = self.texts.take(pa.array(flat["id"]))
+        at = np.frombuffer(raw.buffers()[1], np.int64)[: len(flat) + 1][first].tolist() if len(flat) else [0] * len(first)
+        data, cut_off = (raw.buffers()[2] or b"") if len(flat) else b"", self.prefix or self.trim
+        decoded = [bytes(data[a + (cut_off and data[a : a + 1] == b" ") : b]) if a < b else b"" for a, b in zip(at[:-1], at[1:], strict=True)]
+        # The end id stands behind the last byte of a text that has pieces.
+        last, size = first[1:], np.array([len(t) if n else 0 for t, n in zip(texts, counts.tolist(), strict=True)], np.int64)
+        ids = np.insert(flat["id"], last, self.end)
+        begins, ends = np.insert(place[ends - flat["width"]], last, size), np.insert(place[ends], last, size)
+        return first + np.arange(len(first)), ids, begins, ends, decoded
+
+
+def _cell(piece: int, width: int) -> bytes:
+    return np.array([(piece, width)], _CELL).tobytes()
+
+
+def _marked(chunks: bytes) -> str:
+    return chunks.replace(_MARK_BYTE, MARK.encode()).decode()
 
 
 def _replaced(raw: bytes) -> str:
@@ -267,24 +408,6 @@ def _replaced(raw: bytes) -> str:
         return raw[: e.start].decode() + "�" + _replaced(raw[e.start + 1 :])
 
 
-class _Memory(dict):
-    """Chunks seen lately; when full, what was used since the last change of generation stays."""
-
-    def __init__(self, make, size: int):
-        super().__init__()
-        self.make, self.size, self.old = make, size, {}
-
-    def __missing__(self, key: str):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 _models: dict[str, Pieces] = {}
 
 
@@ -300,12 +423,11 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _model(model)
         for whole in batches:
-            for lo, hi, _, _ in slices(whole.column(1)):
-                batch = whole.slice(lo, hi - lo)
-                done = [pieces.encode(t or "") for t in batch.column(1).to_pylist()]
-                at = np.concatenate([[0], np.cumsum([len(d[0]) for d in done])]).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([d[k] for d in done]).astype(np.int32))) for k in range(3)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *lists, pa.array([d[3] for d in done], pa.string())], names=["doc_id", "ids", "begins", "ends", "decoded"])
+            for lo, hi, data, at in slices(whole.column(1), BATCH_BYTES):
+                raw, at = data.tobytes(), at.tolist()
+                first, *columns, decoded = pieces.encode_all([raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
+                lists = [pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(c.astype(np.int32))) for c in columns]
+                yield pa.RecordBatch.from_arrays([whole.column(0).slice(lo, hi - lo), *lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "begins", "ends", "decoded"])
 
     source = unnamed(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     return source.mapInArrow(batches_of, _ENCODED)

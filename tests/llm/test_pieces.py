@@ -1,6 +1,8 @@
 import random
 import struct
+import tracemalloc
 
+import numpy as np
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
@@ -32,6 +34,25 @@ def test_equals_the_library(library, small):
         assert list(zip(begins.tolist(), ends.tolist(), strict=True))[:-1] == spans
 
 
+def test_memory_is_bounded_in_bytes(library):
+    """However long and many the chunks are; many texts at once are as each by itself."""
+    own, rng = pieces.Pieces(PATH, memory=1 << 20), random.Random(7)
+    word = lambda n: "".join(rng.choices("abcdeßé漢\n.,#", k=n))
+    texts = [" ".join(word(rng.randint(1, 60)) for _ in range(400)) for _ in range(60)] + [word(20_000) for _ in range(8)]
+    tracemalloc.start()
+    for text in texts:
+        assert own.encode(text)[0].tolist() == library.encode(text, add_eos=True)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 3 << 20
+    first, ids, begins, ends, decoded = own.encode_all([t.encode() for t in ["", *texts]])
+    for k, text in enumerate(["", *texts]):
+        one = slice(first[k], first[k + 1])
+        for found, alone in zip((ids[one], begins[one], ends[one]), pieces.Pieces.encode(own, text), strict=False):
+            assert np.array_equal(found, alone)
+        assert decoded[k].decode() == library.decode(ids[one].tolist())
+
+
 def _trie(entries: dict[bytes, int]) -> list[int]:
     """A double array of the model files' form, places taken first come first served."""
     units, taken = {0: 0}, {0}
