@@ -32,7 +32,6 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -57,7 +56,7 @@ CHUNK_BYTES, MEMORY_BYTES = 48, 160 << 20
 #: What a remembered chunk takes beside its bytes.
 _ENTRY_BYTES = 120
 #: Bytes of texts that are cut and looked up together.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 #: Bytes of unknown chunks that go to the library as one text.
 _ASKED_BYTES = 1 << 15
 _TABLES = {
@@ -107,8 +106,9 @@ class Words:
         return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.dtype("<u4"))
 
     def _letters(self, word: str) -> bytes:
-        ids = [t.id for t in self.model.tokenize(word.translate(self.mapped))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        # Letters of ASCII are mapped to themselves.
+        tokens = self.model.tokenize(word if word.isascii() else word.translate(self.mapped))
+        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
 
     def _ask(self, chunks: list[bytes]) -> Iterator[bytes]:
         """The ids of chunks that are asked for as one text."""
@@ -140,21 +140,27 @@ class Words:
             self.known.update(zip(again, map(self.old.__getitem__, again), strict=True))
             self.held += int(len(again) * self.average)
         asked, size = [], 0
-        known, part = self.known, self._part
+        known, old, part, tokenize, held = self.known, self.old, self._part, self.model.tokenize, 0
         for chunk in chunks - again:
             letters = chunk.rstrip(_ENDS) if self.parts else b""
             if letters.isalpha():  # bytes: A to Z only
                 rest, low = chunk[len(letters) :], letters.lower()
-                ids = known.get(low) or part(low.decode(), True)
+                ids = known.get(low)
+                if ids is None:
+                    ids = old.get(low) or b"".join([t.id.to_bytes(4, "little") for t in tokenize(low.decode())])
+                    known[low] = ids
+                    held += len(low) + len(ids) + _ENTRY_BYTES
                 if rest:
                     ids += known.get(rest) or part(rest.decode(), False)
-                known[chunk] = ids
-                self.held += len(chunk) + len(ids) + _ENTRY_BYTES
+                if rest or low != chunk:  # else it is known by now
+                    known[chunk] = ids
+                    held += len(chunk) + len(ids) + _ENTRY_BYTES
                 continue
             word = _WORD.fullmatch(chunk.decode()) if self.parts else None
             if word:
                 ids = self._part(word[1].lower(), True)
-                self._remember(chunk, ids + self._part(word[2], False) if word[2] else ids)
+                if word[2] or chunk not in known:
+                    self._remember(chunk, ids + self._part(word[2], False) if word[2] else ids)
             elif self.between is None or len(chunk) > CHUNK_BYTES or any(m in chunk for m in self.marks):
                 self._remember(chunk, self._ids(chunk.decode()).tobytes())
             else:
@@ -165,6 +171,7 @@ class Words:
                     asked, size = [], 0
         if asked:
             self._learned(asked)
+        self.held += held
 
     def _learned(self, asked: list[bytes]) -> None:
         for chunk, ids in zip(asked, self._ask(asked), strict=True):

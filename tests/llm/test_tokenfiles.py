@@ -64,6 +64,13 @@ def test_chunks_are_exact(small, memory):
     assert words.held <= memory // 2
 
 
+def test_remembered_bytes_are_counted_once(small):
+    """A word of small letters is its own first piece, and one entry."""
+    words = tf.Words(MODEL)
+    words.encode([b"plain words in Mixed CASE, twice: plain, w\xc3\xb6rter W\xc3\xb6rter w\xc3\xb6rter.", *((r["text"] or "").encode() for r in small.limit(40).collect())])
+    assert words.held == sum(len(c) + len(i) + tf._ENTRY_BYTES for c, i in words.known.items())
+
+
 def test_probes_decide(small):
     """Where words are not what they seem, whole chunks are asked for."""
     words = tf.Words(MODEL)
