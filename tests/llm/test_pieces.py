@@ -53,6 +53,41 @@ def test_memory_is_bounded_in_bytes(library):
         assert decoded[k].decode() == library.decode(ids[one].tolist())
 
 
+def test_short_chunks_are_merged_together(library, monkeypatch):
+    """No short chunk takes the way of the long ones."""
+    own, rng = pieces.Pieces(PATH), random.Random(11)
+    monkeypatch.setattr(own, "_merge", None)
+    text = " ".join("".join(rng.choices("abcdeinrstuéß漢\n.,", k=rng.randint(1, pieces.SHORT - 1))) for _ in range(5_000))
+    assert own.encode(text)[0].tolist() == library.encode(text, add_eos=True)
+
+
+@pytest.mark.parametrize("bytewise", [True, False])
+def test_characters_that_are_no_pieces(tmp_path, bytewise):
+    """Some stand in longer pieces, one has a tie of scores beside it; with byte pieces and without."""
+    model = pb.ModelProto()
+    with open(PATH, "rb") as file:
+        model.ParseFromString(file.read())
+    gone = {"q", "x", "é"}
+    kept = [p for p in model.pieces if p.piece not in gone and (bytewise or p.type != pieces.BYTE)]
+    for p in kept:
+        p.score = -100.0 if p.piece in ("qu", "ue", "ex") else p.score
+    del model.pieces[:]
+    model.pieces.extend(kept)
+    model.trainer_spec.byte_fallback = bytewise
+    path = tmp_path / "own.model"
+    path.write_bytes(model.SerializeToString())
+    library, own, rng = sentencepiece.SentencePieceProcessor(model_file=str(path)), pieces.Pieces(str(path)), random.Random(13)
+    for _ in range(300):
+        text = "".join(rng.choices("qxéue ant\U0001f642漢", k=rng.randint(0, 70)))
+        ids, _, ends, decoded = own.encode(text)
+        if bytewise:
+            assert ids.tolist() == library.encode(text, add_eos=True)
+            assert decoded == library.decode(ids.tolist())
+        assert not len(ids) > 1 or ends[-2] == len(text.encode())
+        for chunk in (c for c in own.known if len(c) < 30):
+            assert own.known[chunk] == own._chunk(pieces._marked(chunk))  # as by the heap
+
+
 def _trie(entries: dict[bytes, int]) -> list[int]:
     """A double array of the model files' form, places taken first come first served."""
     units, taken = {0: 0}, {0}
