@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cashweave.functions.parsing import TOTAL, period_ym
 from cashweave.operators.keyed import BROADCAST_ROWS, ROWS_PER_TASK, hot_counts, lookup_join
 from cashweave.operators.typed import ledger_rows
-from cashweave.scratch import written
+from cashweave.scratch import Kept, written
 
 
 def _named_bridge(bridge: DataFrame, va: str, sku: str, merchant: str) -> DataFrame:
@@ -167,17 +167,9 @@ def _inside(directed: DataFrame, movable: DataFrame, same: DataFrame) -> DataFra
     return first.unionByName(second.select(*first.columns))
 
 
-def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Same result as ``transfers_agg`` of all transfer rows, without them.
-
-    The ledger is added up per pair of accounts first. A bridge row transfers to
-    all bridge rows of the other account except those of its own product. So
-    its total is the one of its account (``toward``: each pair times the bridge
-    rows facing it) less the part that stays within the product: on the account
-    itself, or on other accounts of the same product (``inside``). No product
-    of one account is ever paired with the products of the other, nor each
-    product with each counterparty where that is more than it need be.
-    """
+def _by_pairs(raw: DataFrame, facing: DataFrame, reached: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``toward`` and ``near`` of :func:`transfer_totals`, from the ledger added up per pair
+    of accounts, as parts of the plan that uses them."""
     pairs = (
         ledger_rows(raw)
         .where(F.col("sender_va").isNotNull() & F.col("receiver_va").isNotNull())
@@ -188,18 +180,9 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
             F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
         )
     )
-    mapped = _named_bridge(bridge, "va_number", "sku_id", "merchant_id")
-    same = mapped.groupBy("va_number", "sku_id").agg(F.count(F.lit(1)).alias("same_rows"))
-    facing = same.groupBy("va_number").agg(F.sum("same_rows").alias("all_rows"))
-    several = same.groupBy("sku_id").count().where("count > 1").select("sku_id")
-    own_rows = mapped.join(same, ["va_number", "sku_id"]).withColumnRenamed("va_number", "own")
-    movable = mapped.join(several, "sku_id", "left_semi").withColumnRenamed("va_number", "own")
-
     # A pair is shuffled by its receiver for the sending end and by its sender for the
     # receiving one, each once: for ``toward``, and for what may stay within a product,
     # which must face an account of a product with several.
-    within = same.join(several, "sku_id", "left_semi")
-    reached = within.select("va_number").distinct()
     # Conditions on the pair stay inside the sums: as filters they would reach
     # the scan and make each use of ``pairs`` read the ledger again. Pairs are added up
     # by the bridge rows they face and multiplied behind that, which is exact as well.
@@ -215,8 +198,87 @@ def transfer_totals(raw: DataFrame, bridge: DataFrame) -> DataFrame:
         nearby.append(
             near.select(*_MEASURES, F.lit(out).alias("out"), F.col(own).alias("own"), F.col(far).alias("far"))
         )
-    toward = ends[0].unionByName(ends[1])
-    inside = _inside(nearby[0].unionByName(nearby[1]), movable, within)
+    return ends[0].unionByName(ends[1]), nearby[0].unionByName(nearby[1])
+
+
+def _by_movements(
+    raw: DataFrame, facing: DataFrame, reached: DataFrame, kept: Kept
+) -> tuple[DataFrame, DataFrame]:
+    """The same from one pass whose sums are kept.
+
+    A movement meets the bridge once at each end, so it is shuffled twice, not five times
+    as it is or as a pair. What it adds to is told behind both joins: the totals of its two
+    accounts, and those of its pair if an end is of a product with several accounts
+    (``near_ends``: 1 the sender, 2 the receiver, 3 both). Added up in the task first, few
+    rows of a hot account leave it.
+    """
+    faced = facing.join(reached.withColumn("is_near", F.lit(True)), "va_number", "left").select(
+        "va_number", "all_rows", F.coalesce("is_near", F.lit(False)).alias("is_near")
+    )
+    met = ledger_rows(raw).select("sender_va", "receiver_va", "amount")
+    for end in ("sender", "receiver"):
+        met = met.join(faced.toDF(f"{end}_va", f"{end}_rows", f"{end}_near"), f"{end}_va")
+    near_ends = F.col("sender_near").cast("int") + 2 * F.col("receiver_near").cast("int")
+    is_self = (F.col("sender_va") == F.col("receiver_va")).alias("is_self")
+
+    def sum_of(own: str, far: Column, all_rows: Column, out: Column, near: Column) -> Column:
+        return F.struct(
+            F.col(own).alias("own"),
+            far.cast("string").alias("far"),
+            all_rows.cast("long").alias("all_rows"),
+            is_self,
+            out.cast("boolean").alias("out"),
+            near.alias("near_ends"),
+        )
+
+    nothing, not_near = F.lit(None), F.lit(0)
+    sums_of = F.array(
+        sum_of("sender_va", nothing, F.col("receiver_rows"), F.lit(True), not_near),
+        sum_of("receiver_va", nothing, F.col("sender_rows"), F.lit(False), not_near),
+        F.when(near_ends > 0, sum_of("sender_va", F.col("receiver_va"), nothing, nothing, near_ends)),
+    )
+    sums = kept(
+        met.select("amount", F.inline(F.array_compact(sums_of)))
+        .groupBy("own", "far", "all_rows", "is_self", "out", "near_ends")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count("amount").alias("n_amounts"),
+            F.coalesce(F.sum("amount"), F.lit(0)).alias("amount"),
+        ),
+        "transfer-sums",
+    )
+    toward = sums.where("near_ends = 0").select("own", "all_rows", "is_self", *_MEASURES, "out")
+    sent, got = (
+        sums.where(told).select(*_MEASURES, F.lit(out).alias("out"), F.col(own).alias("own"), F.col(far).alias("far"))
+        for told, out, own, far in (("near_ends >= 2", True, "own", "far"), ("near_ends in (1, 3)", False, "far", "own"))
+    )
+    return toward, sent.unionByName(got)
+
+
+def transfer_totals(raw: DataFrame, bridge: DataFrame, kept: Kept | None = None) -> DataFrame:
+    """Same result as ``transfers_agg`` of all transfer rows, without them.
+
+    The ledger is added up first. A bridge row transfers to all bridge rows of the
+    other account except those of its own product. So its total is the one of its
+    account (``toward``: the movements times the bridge rows facing it) less the part
+    that stays within the product: on the account itself, or on other accounts of the
+    same product (``inside``). No product of one account is ever paired with the
+    products of the other, nor each product with each counterparty where that is more
+    than it need be. Where the sums may be ``kept``, less is shuffled for them.
+    """
+    mapped = _named_bridge(bridge, "va_number", "sku_id", "merchant_id")
+    same = mapped.groupBy("va_number", "sku_id").agg(F.count(F.lit(1)).alias("same_rows"))
+    facing = same.groupBy("va_number").agg(F.sum("same_rows").alias("all_rows"))
+    several = same.groupBy("sku_id").count().where("count > 1").select("sku_id")
+    own_rows = mapped.join(same, ["va_number", "sku_id"]).withColumnRenamed("va_number", "own")
+    movable = mapped.join(several, "sku_id", "left_semi").withColumnRenamed("va_number", "own")
+    within = same.join(several, "sku_id", "left_semi")
+    reached = within.select("va_number").distinct()
+    if kept:
+        toward, near = _by_movements(raw, facing, reached, kept)
+    else:
+        toward, near = _by_pairs(raw, facing, reached)
+    inside = _inside(near, movable, within)
     key = ["sku_id", "merchant_id", "out"]
     of_itself = F.when(F.col("is_self"), F.col("same_rows")).otherwise(F.lit(0))
     leaving = own_rows.join(toward, "own").withColumn("rows", F.col("all_rows") - of_itself).select(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cashweave.functions.money import round_cents
 from cashweave.operators.existence import exists_in
 from cashweave.plans.level2 import PREVIEW_COLUMNS
+from cashweave.scratch import Kept, as_it_is
 
 
 def _sales_gap() -> Column:
@@ -85,9 +86,15 @@ def level2a_preview(mart: DataFrame, n: int = 100) -> DataFrame:
     )
 
 
-def drilldown(level1: DataFrame, sales: DataFrame, level2a: DataFrame, like: str) -> DataFrame:
+def drilldown(
+    level1: DataFrame, sales: DataFrame, level2a: DataFrame, like: str, kept: Kept = as_it_is
+) -> DataFrame:
     """Level 1 next to the reported totals and the waterfall of the products
-    whose id is LIKE the pattern."""
+    whose id is LIKE the pattern.
+
+    ``sales`` may be rows or totals. ``kept`` gets what is shown of either mart, so that
+    each can be a job of its own.
+    """
     wanted = F.col("sku_id").like(like)
     reported = (
         sales.where(wanted)
@@ -105,10 +112,11 @@ def drilldown(level1: DataFrame, sales: DataFrame, level2a: DataFrame, like: str
         "Fund Transferred to Other SKU",
         "Fund Transferred from Other SKU",
     ).where(wanted)
+    cash = level1.where(wanted).select("sku_id", "amount_pulled", "amount_received", "sales_proceeds")
     return (
-        level1.where(wanted)
-        .join(reported, "sku_id", "left")
-        .join(waterfall, "sku_id", "left")
+        kept(cash, "drilldown-cash")
+        .join(kept(reported, "drilldown-reported"), "sku_id", "left")
+        .join(kept(waterfall, "drilldown-waterfall"), "sku_id", "left")
         .select(
             "sku_id",
             "csv_total_funds_inflow",

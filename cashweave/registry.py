@@ -27,7 +27,7 @@ from cashweave.operators.categorise import (
 from cashweave.operators.positions import with_positions
 from cashweave.plans import level1 as l1, level2 as l2, quality, reports
 from cashweave.plans.store import Store
-from cashweave.scratch import shared_folder
+from cashweave.scratch import passing, shared_folder, written
 from cashweave.session import configure
 from cashweave.sources import feeds, records
 from cashweave.sources.bound import Bound
@@ -469,6 +469,22 @@ def _key_differences(t: Tables) -> DataFrame:
     return quality.key_differences(t.sales, t.expected, ["sku_id"])
 
 
+def _drilldown(t: Tables) -> DataFrame:
+    """The report over the bound tables, in steps.
+
+    Each feed is read once, into totals that are written, and each mart is a job of its
+    own. So disk holds the shuffles of one step, not those of all.
+    """
+    with passing(t.spark) as kept:
+        moved = kept(transfers.transfer_totals(t.va_txn, t.bridge, kept), "transfer-totals")
+        flows = kept(t.flow_totals, "flow-totals")
+        sold = kept(typed.sale_totals(t.sales), "sale-totals")
+        pulls = kept(typed.pull_totals(t.external), "pull-totals")
+        mart = l1.level1(t.bridge, t.merchant, pulls, flows, sold)
+        two_a = l2.level2a(ledger.flows_pivot(flows), t.expected, t.sku, sold, moved, t.merchant)
+        return reports.drilldown(mart, sold, two_a, "SKU-%", written)
+
+
 def _checks(t: Tables) -> DataFrame:
     """The suite over the bound tables, as one frame of results.
 
@@ -566,7 +582,7 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "level2a": lambda t: t.level2a,
     "level2a_preview": lambda t: reports.level2a_preview(t.level2a),
     "level2b": lambda t: t.level2b,
-    "drilldown": lambda t: reports.drilldown(t.level1, t.sales, t.level2a, "SKU-%"),
+    "drilldown": _drilldown,
     # Reference data
     "insert_ignore": _insert_ignore,
     "upsert": _upsert,
