@@ -137,22 +137,23 @@ def account_totals(raw: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
+def of_products(totals: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Flow totals out of account totals."""
+    return totals.join(_bridge_keys(bridge), "va_number").select(
+        "va_number",
+        "sku_id",
+        "merchant_id",
+        "category_code",
+        "direction",
+        "raw_amount",
+        signed_amount(F.col("direction"), F.col("raw_amount")).alias("signed_amount"),
+        "n_rows",
+    )
+
+
 def flow_totals(raw: DataFrame, rules: Rules, bridge: DataFrame) -> DataFrame:
     """``va_txn_flows`` added up per account, direction and category."""
-    return (
-        account_totals(raw, rules)
-        .join(_bridge_keys(bridge), "va_number")
-        .select(
-            "va_number",
-            "sku_id",
-            "merchant_id",
-            "category_code",
-            "direction",
-            "raw_amount",
-            signed_amount(F.col("direction"), F.col("raw_amount")).alias("signed_amount"),
-            "n_rows",
-        )
-    )
+    return of_products(account_totals(raw, rules), bridge)
 
 
 def received(flows: DataFrame, codes: tuple[str, ...] = RECEIVED_CODES) -> DataFrame:

@@ -477,7 +477,9 @@ def _drilldown(t: Tables) -> DataFrame:
     """
     with passing(t.spark) as kept:
         moved = kept(transfers.transfer_totals(t.va_txn, t.bridge, kept), "transfer-totals")
-        flows = kept(t.flow_totals, "flow-totals")
+        # Without products and merchants, whose ids are most of a row of flow totals.
+        totals = kept(ledger.account_totals(t.va_txn, SHIPPED_RULES), "account-totals")
+        flows = ledger.of_products(totals, t.bridge)
         sold = kept(typed.sale_totals(t.sales), "sale-totals")
         pulls = kept(typed.pull_totals(t.external), "pull-totals")
         mart = l1.level1(t.bridge, t.merchant, pulls, flows, sold)
