@@ -206,7 +206,7 @@ def _by_movements(
 ) -> tuple[DataFrame, DataFrame]:
     """The same from one pass whose sums are kept.
 
-    A movement meets the bridge once at each end, so it is shuffled twice, not five times
+    A movement meets the bridge once at each end, so it is shuffled twice, not three times
     as it is or as a pair. What it adds to is told behind both joins: the totals of its two
     accounts, and those of its pair if an end is of a product with several accounts
     (``near_ends``: 1 the sender, 2 the receiver, 3 both). Added up in the task first, few
